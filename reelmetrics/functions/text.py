@@ -19,7 +19,10 @@ LABEL_SCORES = {"positive": 1, "neutral": 0, "negative": -1}
 
 def clean_comment(comment: Column) -> Column:
     """Drop both quote characters and wrap the text in double quotes."""
-    return F.concat(F.lit('"'), F.translate(comment.cast("string"), "'\"", ""), F.lit('"'))
+    bare = comment.cast("string")
+    for quote in ("'", '"'):
+        bare = F.replace(bare, F.lit(quote), F.lit(""))
+    return F.concat(F.lit('"'), bare, F.lit('"'))
 
 
 def lexicon_score(

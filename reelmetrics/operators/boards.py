@@ -56,19 +56,17 @@ def category_totals(log: DataFrame, videos: DataFrame, key: str) -> DataFrame:
 def peak_hour(hourly: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hour of day with most views per ``keys``; ties to the later hour.
 
-    ``hourly`` has ``hour_offset`` 0..23 and ``views_count``. Views are summed
-    per hour in 24 slots of one aggregation, so one exchange is enough; slot
-    and hour are packed into one number to compare.
+    Views are summed over everything but keys and hour first. Count and hour
+    (0..23) are packed into one number, which a hash aggregate can maximise
+    where a struct would need a sort.
     """
-    slots = [f"slot_{hour}" for hour in range(24)]
-    summed = hourly.groupBy(*keys).agg(
-        *(
-            F.sum(F.when(F.col("hour_offset") == hour, F.col("views_count"))).alias(slot)
-            for hour, slot in enumerate(slots)
-        )
+    packed = F.col("views") * 24 + F.col("hour_offset")
+    return (
+        hourly.groupBy(*keys, "hour_offset")
+        .agg(F.sum("views_count").alias("views"))
+        .groupBy(*keys)
+        .agg((F.max(packed) % 24).alias("max_interaction_time"))
     )
-    packed: list[Column] = [F.col(slot) * 24 + hour for hour, slot in enumerate(slots)]
-    return summed.select(*keys, (F.greatest(*packed) % 24).alias("max_interaction_time"))
 
 
 def global_peak(log: DataFrame, actions: Sequence[str], hour: Column) -> DataFrame:

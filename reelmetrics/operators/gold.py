@@ -91,6 +91,20 @@ def _levels_from_one_row(totals: DataFrame) -> DataFrame:
     return totals.select(F.inline(rows))
 
 
+def history_of_levels(windows: DataFrame, key: str, value: int) -> DataFrame:
+    """``history`` from rows ``(level, key, counters)``; a missing level is zero."""
+    totals = windows.where(F.col(key) == F.lit(int(value))).agg(
+        *(
+            F.coalesce(F.sum(F.when(F.col("level") == level, F.col(m))), F.lit(0)).alias(
+                f"{level}__{m}"
+            )
+            for level in LEVELS
+            for m in VIEWS_LIKES_MINUTES
+        )
+    )
+    return _levels_from_one_row(totals)
+
+
 def history(silver: DataFrame, key: str, value: int, as_of: int, month_days: int = 30) -> DataFrame:
     """Five rows for one video or channel; no activity gives zeros."""
     hour = F.col("hour_timestamp")

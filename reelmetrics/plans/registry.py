@@ -40,7 +40,9 @@ def _log(spark, sf, *kinds, **limits) -> DataFrame:
 
 
 def _comments(spark, sf) -> DataFrame:
-    return testbed.scored_comments(_log(spark, sf, "comments"), spark, sf)
+    return testbed.scored_comments(
+        _log(spark, sf, "comments"), testbed.document_scores(spark, sf)
+    )
 
 
 # -- ingest and expressions -----------------------------------------------
@@ -415,8 +417,10 @@ def merge_additive_video_hour(spark, sf):
 
 @query
 def merge_additive_comments(spark, sf):
+    # One frame of scores, so that its exchange is run once and reused.
+    scores = testbed.document_scores(spark, sf)
     parts = [
-        rollups.comment_counts(testbed.scored_comments(part, spark, sf))
+        rollups.comment_counts(testbed.scored_comments(part, scores))
         for part in _increments(spark, sf, "comments")
     ]
     return _merged(parts, ["video_id"], ["comments_count", "all_comments_count", "positive_count"])

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.functions.measures import VIEWS_LIKES_MINUTES
-from reelmetrics.functions.timing import LEVELS, Level
+from reelmetrics.functions.timing import Level
 from reelmetrics.operators.boards import top_k
+from reelmetrics.operators.gold import history_of_levels
 from reelmetrics.operators.rollups import by_id
 from reelmetrics.sources.stored import Lake
 
@@ -25,15 +25,6 @@ def top_liked(gold: DataFrame, key: str, level: str, k: int = 10) -> DataFrame:
     return top_k(at_level(gold, level), "likes_count", key, k)
 
 
-def history(gold: DataFrame, key: str, value: int) -> DataFrame:
-    """Five rows for one video or channel; a missing level is zero."""
-    found = by_id(gold, key, value)
-    levels = found.sparkSession.createDataFrame([(level,) for level in LEVELS], "level string")
-    return levels.join(found, "level", "left").select(
-        "level", *(F.coalesce(F.col(m), F.lit(0)).alias(m) for m in VIEWS_LIKES_MINUTES)
-    )
-
-
 def video_comments(gold_comments: DataFrame, video_id: int) -> DataFrame:
     return by_id(gold_comments, "video_id", video_id).select(
         F.col("positive_count").alias("comments_positive_count"),
@@ -78,10 +69,10 @@ class Dashboard:
         return top_liked(self.lake.gold("channel").rows(), "channel_id", level, k)
 
     def video_history(self, video_id: int) -> DataFrame:
-        return history(self.lake.gold("video").rows(), "video_id", video_id)
+        return history_of_levels(self.lake.gold("video").rows(), "video_id", video_id)
 
     def channel_history(self, channel_id: int) -> DataFrame:
-        return history(self.lake.gold("channel").rows(), "channel_id", channel_id)
+        return history_of_levels(self.lake.gold("channel").rows(), "channel_id", channel_id)
 
     def comments(self, video_id: int) -> DataFrame:
         return video_comments(self.lake.gold("comments").rows(), video_id)

@@ -113,7 +113,7 @@ class StoredTable:
             return False
         part = f"{writer}-{batch_id:010d}"
         self._write(increment, part)
-        manifest["parts"] = [p for p in manifest["parts"] if p != part] + [part]
+        manifest["parts"].append(part)
         manifest["batches"][writer] = batch_id
         self._commit(manifest)
         return True
@@ -139,6 +139,18 @@ class StoredTable:
         manifest["parts"] = [*kept, part]
         self._commit(manifest)
 
+    def tidy(self, increments: int = 48, folds: int = 16) -> None:
+        """Fold new increments once there are many, and the folds once they are.
+
+        A row is so rewritten about once per tier, not once per increment.
+        """
+        parts = self._manifest()["parts"]
+        folded = sum(p.startswith("fold-") for p in parts)
+        if folded > folds:
+            self.fold()
+        elif len(parts) - folded > increments:
+            self.fold(keep=folded)
+
     def publish(self, snapshot: DataFrame) -> None:
         """Replace the content by ``snapshot``; keys it lacks are gone."""
         part = f"snapshot-{uuid.uuid4().hex}"

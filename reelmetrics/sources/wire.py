@@ -66,6 +66,9 @@ def decode(raw: DataFrame) -> DataFrame:
     corrupt = T.StructField("_corrupt", T.StringType())
     schema = T.StructType([*WIRE_ANY.fields, corrupt])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    # As a generator's output the parsed message is computed once per row; as a
+    # plain column it would be parsed again in every filter and projection.
+    parsed = F.explode(F.array(F.from_json("value", schema, options))).alias("message")
     message = F.col("message")
     ok = (
         F.col("topic").isin(*TOPICS)
@@ -77,7 +80,7 @@ def decode(raw: DataFrame) -> DataFrame:
         & (~F.col("topic").isin("views", "likes") | message["seconds_offset"].isNotNull())
         & ((F.col("topic") != "comments") | message["comment"].isNotNull())
     )
-    return raw.withColumn("message", F.from_json("value", schema, options)).withColumn(
+    return raw.select("topic", "value", parsed).withColumn(
         _REJECT, ~F.coalesce(ok, F.lit(False))
     )
 

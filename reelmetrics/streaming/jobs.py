@@ -80,7 +80,9 @@ def add_increments(
     rows = batch.select(*(c for c in _ROLLUP_COLUMNS if c in batch.columns)).persist()
     try:
         for name in tables:
-            lake.silver(name).add(SILVER_ROLLUPS[name](rows), writer, batch_id)
+            table = lake.silver(name)
+            table.add(SILVER_ROLLUPS[name](rows), writer, batch_id)
+            table.tidy()
     finally:
         rows.unpersist()
 
