@@ -59,7 +59,7 @@ TOPIC_EXTRAS = {
     "comments": ("video_id", "comment_score"),
 }
 
-# One log for all topics, partitioned by action and event_date.
+# The log. Each action has its own files, partitioned by event_date.
 BRONZE = _struct(
     ("action", STRING),
     ("timestamp_seconds", LONG),
@@ -74,7 +74,9 @@ BRONZE = _struct(
     ("comment_score", INT),
     ("event_date", T.DateType()),
 )
-BRONZE_PARTITIONS = ("action", "event_date")
+
+# Messages that could not be decoded.
+REJECTS = _struct(("topic", STRING), ("value", STRING), ("ingest_time", T.TimestampType()))
 
 
 @dataclass(frozen=True)

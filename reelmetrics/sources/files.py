@@ -24,6 +24,9 @@ class Folder:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(root)]
 
+    def create(self) -> None:
+        self._fs.mkdirs(self._hadoop(self.path))
+
     def has_folder(self, name: str) -> bool:
         child = self._hadoop(f"{self.path}/{name}")
         return self._fs.exists(child) and self._fs.getFileStatus(child).isDirectory()

@@ -18,9 +18,15 @@ from pyspark.sql import types as T
 
 from reelmetrics.functions.timing import day_of
 from reelmetrics.operators.merges import sum_measures
-from reelmetrics.schemas import BRONZE, BRONZE_PARTITIONS, GOLD, SILVER, TableSpec
+from reelmetrics.operators.rollups import union_actions
+from reelmetrics.schemas import BRONZE, GOLD, REJECTS, SILVER, TOPICS, TableSpec
 from reelmetrics.sources.files import Folder
 
+ORIGINS = ("stream", "bulk")
+
+# The folder names the action, so files do not hold it.
+_ON_DISK = T.StructType([f for f in BRONZE.fields if f.name != "action"])
+
 # Sort orders inside bronze files, one per access path. File statistics then
 # let a lookup skip row groups, which replaces one copy of the log per path.
 LAYOUTS = {
@@ -169,16 +175,46 @@ class StoredTable:
 
 
 class Lake:
-    """The tables of one deployment."""
+    """The tables of one deployment.
+
+    The log has one folder per action and origin. A folder written by a
+    streaming sink is read through the sink's own commit log, which would hide
+    files of any other writer, so bulk loads have folders of their own.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.bronze_path = f"{self.root}/bronze/actions"
-        self.rejects_path = f"{self.root}/bronze/rejects"
+
+    def log_path(self, action: str, origin: str) -> str:
+        return f"{self.root}/bronze/{origin}/{action}"
+
+    def rejects_path(self, topic: str) -> str:
+        return f"{self.root}/bronze/rejects/{topic}"
+
+    def _log(self, reader) -> DataFrame:
+        """All log folders as one; a filter on action drops whole folders."""
+        return union_actions(
+            [
+                reader.schema(_ON_DISK)
+                .parquet(self.log_path(action, origin))
+                .withColumn("action", F.lit(action))
+                .select(*BRONZE.names)
+                for action in TOPICS
+                for origin in ORIGINS
+            ]
+        )
 
     def bronze(self) -> DataFrame:
-        return self.spark.read.schema(BRONZE).parquet(self.bronze_path)
+        return self._log(self.spark.read)
+
+    def bronze_stream(self) -> DataFrame:
+        return self._log(self.spark.readStream)
+
+    def rejects(self) -> DataFrame:
+        return union_actions(
+            [self.spark.read.schema(REJECTS).parquet(self.rejects_path(t)) for t in TOPICS]
+        )
 
     def silver(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/silver", SILVER[name])
@@ -187,24 +223,28 @@ class Lake:
         return StoredTable(self.spark, f"{self.root}/gold", GOLD[name])
 
     def ensure(self) -> Lake:
+        """Create what is missing, empty."""
+        for topic in TOPICS:
+            for path in (*(self.log_path(topic, o) for o in ORIGINS), self.rejects_path(topic)):
+                Folder(self.spark, path).create()
         for name in SILVER:
             self.silver(name).ensure()
         for name in GOLD:
             self.gold(name).ensure()
         return self
 
+    def bulk_append(self, actions: DataFrame, action: str, layout: str = "video") -> None:
+        """Append bronze rows of one action in batch.
 
-def bulk_append(actions: DataFrame, path: str, layout: str = "video") -> None:
-    """Append bronze rows in batch.
-
-    Rows are rebalanced by disk partition: adaptive execution gives a hot
-    action or day several tasks and packs small ones together.
-    """
-    (
-        actions.select(*BRONZE.names)
-        .hint("rebalance", *BRONZE_PARTITIONS)
-        .sortWithinPartitions(*BRONZE_PARTITIONS, *LAYOUTS[layout])
-        .write.mode("append")
-        .partitionBy(*BRONZE_PARTITIONS)
-        .parquet(path)
-    )
+        Rows are rebalanced by day: adaptive execution gives a hot day several
+        tasks and packs small days together.
+        """
+        (
+            actions.where(F.col("action") == action)
+            .select(*_ON_DISK.names)
+            .hint("rebalance", "event_date")
+            .sortWithinPartitions("event_date", *LAYOUTS[layout])
+            .write.mode("append")
+            .partitionBy("event_date")
+            .parquet(self.log_path(action, "bulk"))
+        )

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelmetrics.functions.text import lexicon_score
 from reelmetrics.operators.rollups import SILVER_ROLLUPS
-from reelmetrics.schemas import BRONZE_PARTITIONS
 from reelmetrics.sources.stored import Lake
 from reelmetrics.sources.wire import parse_actions, quarantine, to_bronze
 
@@ -38,16 +37,18 @@ def _trigger(period: str | None) -> dict:
 def start_bronze(
     raw: DataFrame,
     lake: Lake,
+    topic: str,
     checkpoint: str,
     period: str | None = None,
     scorer=lexicon_score,
 ) -> StreamingQuery:
-    """Append well-formed messages to the bronze log."""
+    """Append one topic's well-formed messages to its log folder."""
     return (
-        to_bronze(parse_actions(raw), scorer)
+        to_bronze(parse_actions(raw.where(F.col("topic") == topic)), scorer)
+        .drop("action")
         .writeStream.format("parquet")
-        .partitionBy(*BRONZE_PARTITIONS)
-        .option("path", lake.bronze_path)
+        .partitionBy("event_date")
+        .option("path", lake.log_path(topic, "stream"))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(period))
         .start()
@@ -55,14 +56,14 @@ def start_bronze(
 
 
 def start_rejects(
-    raw: DataFrame, lake: Lake, checkpoint: str, period: str | None = None
+    raw: DataFrame, lake: Lake, topic: str, checkpoint: str, period: str | None = None
 ) -> StreamingQuery:
-    """Keep malformed messages for inspection."""
+    """Keep one topic's malformed messages for inspection."""
     _, bad = quarantine(raw)
     return (
         bad.withColumn("ingest_time", F.current_timestamp())
         .writeStream.format("parquet")
-        .option("path", lake.rejects_path)
+        .option("path", lake.rejects_path(topic))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(period))
         .start()

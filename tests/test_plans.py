@@ -1,0 +1,134 @@
+"""The physical plans we rely on at scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelmetrics.operators import boards, breakdowns, gold, merges, rollups
+from reelmetrics.plans.registry import QUERIES
+from reelmetrics.sources import testbed, wire
+from reelmetrics.sources.testbed import AS_OF
+
+
+def plan(frame) -> str:
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]
+
+
+def exchanges(frame) -> int:
+    return len(re.findall(r"\bExchange ", plan(frame)))
+
+
+@pytest.fixture
+def log(spark, sf_dir):
+    return testbed.actions(spark, sf_dir)
+
+
+@pytest.mark.parametrize(
+    "rollup",
+    [rollups.video_hour, rollups.channel_hour, rollups.ages, rollups.video_minute,
+     rollups.channel_counts, rollups.channel_minute, rollups.video_totals],
+)
+def test_a_rollup_is_one_exchange_after_partial_sums(log, rollup):
+    text = plan(rollup(log))
+    assert exchanges(rollup(log)) == 1
+    assert "partial_count" in text.split("Exchange")[1]
+    assert "Sort" not in text
+
+
+def test_combined_counts_need_no_join(log):
+    frame = breakdowns.anchored(log, ["video_id"])
+    assert exchanges(frame) == 1 and "Join" not in plan(frame)
+
+
+def test_all_levels_are_one_scan_and_exchange(spark, log):
+    silver = rollups.video_hour(log)
+    assert exchanges(gold.window_totals_all(silver, "video_id", AS_OF)) == 2
+    assert plan(gold.window_totals_all(silver, "video_id", AS_OF)).count("FileScan") == 1
+
+
+def test_top_k_keeps_k_rows_per_task(log):
+    frame = boards.top_k(gold.window_totals_raw(log, "video_id"), "views_count", "video_id")
+    text = plan(frame)
+    assert "TakeOrderedAndProject(limit=10" in text
+    assert exchanges(frame) == 1  # numbering the ten rows needs no further one
+
+
+def test_group_boards_limit_before_the_exchange(spark, sf_dir):
+    text = plan(QUERIES["top_videos_per_category_week"](spark, sf_dir))
+    partial = text.index("Partial", text.index("WindowGroupLimit"))
+    assert text.index("Exchange hashpartitioning(category") < partial
+    assert "BroadcastHashJoin" in text
+
+
+def test_dedup_limits_before_the_exchange(log):
+    text = plan(merges.dedup_last_write(log, ["video_id"], ["event_id"]))
+    assert len(re.findall(r"WindowGroupLimit .*(Partial|Final)", text)) == 2
+
+
+def test_scans_read_only_needed_columns(spark, sf_dir):
+    text = plan(QUERIES["channel_views"](spark, sf_dir))
+    assert "ReadSchema: struct<event_type:string,props:string>" in text
+    text = plan(QUERIES["rolling_top_videos_day"](spark, sf_dir))
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,props:string>" in text
+
+
+def test_limits_reach_the_scan(spark, sf_dir):
+    frame = QUERIES["gold_video_last_day"](spark, sf_dir)
+    scan = frame._jdf.queryExecution().executedPlan().toString()
+    scan = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    pushed = next(line for line in scan.splitlines() if line.startswith("PushedFilters"))
+    assert "GreaterThanOrEqual(ts,2024-01-30T00:00)" in pushed
+    assert "In(event_type, [click,purchase,view])" in pushed
+
+
+def test_messages_are_parsed_once(spark):
+    raw = spark.createDataFrame([("likes", "{}")], "topic string, value string")
+    assert plan(wire.parse_actions(raw)).count("from_json") == 1
+
+
+def test_queries_stay_in_the_jvm(spark, sf_dir):
+    for name in ("silver_countries", "scored_comments", "parse_actions_json", "gold_interaction"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "Python" not in text and "CartesianProduct" not in text
+        assert "NestedLoop" not in text
+
+
+def test_peak_hour_stays_a_hash_aggregate(spark, sf_dir):
+    text = plan(QUERIES["gold_interaction"](spark, sf_dir))
+    assert "SortAggregate" not in text
+
+
+def test_large_lookup_shuffles_and_splits_a_hot_user(spark, sf_dir):
+    """Above the broadcast threshold the country join splits skewed partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        hot = spark.range(0, 200_000, 1, 8).select(
+            F.when(n % 3 == 0, 1).otherwise(n % 15).cast("long").alias("user_id"),
+            (11 + n % 9).cast("int").alias("video_id"),
+            F.lit(1).alias("channel_id"),
+            F.lit("first_views").alias("action"),
+            F.xxhash64(n).alias("noise"),
+        )
+        counts = rollups.countries(testbed.with_country(hot, spark, sf_dir))
+        assert counts.agg(F.sum("views_count")).first()[0] == 200_000
+        joined = testbed.with_country(hot, spark, sf_dir).groupBy("user_country").agg(
+            F.max("noise").alias("noise")
+        )
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
