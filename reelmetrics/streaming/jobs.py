@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelmetrics.functions.text import lexicon_score
 from reelmetrics.operators.rollups import SILVER_ROLLUPS
+from reelmetrics.plans.refresh import refresh_gold
 from reelmetrics.sources.stored import Lake
 from reelmetrics.sources.wire import parse_actions, quarantine, to_bronze
 
@@ -110,3 +113,26 @@ def start_silver(
         .trigger(**_trigger(period))
         .start()
     )
+
+
+def start_gold(
+    lake: Lake,
+    checkpoint: str,
+    period: str = GOLD_PERIOD,
+    clock: Callable[[], float] = time.time,
+    month_days: int = 30,
+) -> StreamingQuery:
+    """Publish the gold tables every ``period``.
+
+    The ticks come from Spark's rate source, not from new data: windows move on
+    even when no message arrives.
+    """
+    ticks = lake.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return (
+        ticks.writeStream.foreachBatch(
+            lambda _, batch_id: refresh_gold(lake, int(clock()), month_days)
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(period))
+        .start()
+    )

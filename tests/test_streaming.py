@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,19 @@ def test_batch_that_failed_half_way_is_completed(spark, tmp_path, make_log):
     assert as_rows(lake.silver("country_views").read()) == [("EGYPT", 2)]
 
 
+def test_gold_is_published_on_ticks(spark, tmp_path, make_log):
+    lake = Lake(spark, str(tmp_path / "lake")).ensure()
+    lake.silver("video_hour").add(rollups.video_hour(make_log({}, {})), "w", 0)
+    query = jobs.start_gold(lake, str(tmp_path / "ck"), period="1 second", clock=lambda: 60.0)
+    deadline = time.time() + 60
+    while query.lastProgress is None and query.isActive and time.time() < deadline:
+        time.sleep(0.5)
+    query.stop()
+    assert query.exception() is None
+    board = Dashboard(lake)
+    assert as_rows(board.top_watched_videos("last_hour")) == [(11, 2, 0, 0, 1)]
+
+
 def event_files(spark, folder, *files):
     schema = "action string, video_id int, timestamp_seconds long"
     os.makedirs(folder, exist_ok=True)
