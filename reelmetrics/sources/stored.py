@@ -12,9 +12,10 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from reelmetrics.functions.timing import day_of
 from reelmetrics.operators.merges import sum_measures
@@ -107,6 +108,9 @@ class StoredTable:
         if self.spec.partitions:
             # Few files per partition value, large values split over tasks.
             frame = frame.hint("rebalance", *self.spec.partitions)
+        # Sorted by key, so that a lookup skips row groups.
+        inner = [k for k in self.spec.key_names if k not in self.spec.partitions]
+        frame = frame.sortWithinPartitions(*self.spec.partitions, *inner)
         writer = frame.write.mode("overwrite")
         if self.spec.partitions:
             writer = writer.partitionBy(*self.spec.partitions)
@@ -192,7 +196,7 @@ class Lake:
     def rejects_path(self, topic: str) -> str:
         return f"{self.root}/bronze/rejects/{topic}"
 
-    def _log(self, reader) -> DataFrame:
+    def _log(self, reader: DataFrameReader | DataStreamReader) -> DataFrame:
         """All log folders as one; a filter on action drops whole folders."""
         return union_actions(
             [
@@ -208,8 +212,9 @@ class Lake:
     def bronze(self) -> DataFrame:
         return self._log(self.spark.read)
 
-    def bronze_stream(self) -> DataFrame:
-        return self._log(self.spark.readStream)
+    def bronze_stream(self, max_files: int = 1000) -> DataFrame:
+        """The log as a stream; ``max_files`` per folder bound one micro-batch."""
+        return self._log(self.spark.readStream.option("maxFilesPerTrigger", max_files))
 
     def rejects(self) -> DataFrame:
         return union_actions(

@@ -43,9 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.schema(_SCHEMAS[known]).parquet(path)
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> DataFrame:
     """The events as a file stream, stored as one file or as a folder of files."""
-    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema).option(
+        "maxFilesPerTrigger", max_files
+    )
     if Folder(spark, sf_dir).has_folder("events.parquet"):
         return reader.parquet(f"{sf_dir}/events.parquet")
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -116,15 +118,6 @@ def with_country(log: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_document(log: DataFrame, documents: DataFrame) -> DataFrame:
-    """Attach ``documents`` so that the comments cycle through all of them."""
-    total = documents.agg(F.count(F.lit(1))).scalar()
-    comments = log.where(F.col("action") == "comments")
-    return comments.withColumn("doc_id", F.col("event_id") % total).join(
-        documents, "doc_id", "left"
-    )
-
-
 def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score.
 
@@ -137,8 +130,10 @@ def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_comments(log: DataFrame, scores: DataFrame) -> DataFrame:
-    """Comment rows of ``log`` with their score."""
-    return _with_document(log, scores)
+    """Comment rows of ``log`` with their score; they cycle through all documents."""
+    total = scores.agg(F.count(F.lit(1))).scalar()
+    comments = log.where(F.col("action") == "comments")
+    return comments.withColumn("doc_id", F.col("event_id") % total).join(scores, "doc_id", "left")
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,17 +78,20 @@ def add_increments(
 ) -> None:
     """Roll one batch up into every silver table, each exactly once.
 
-    The batch is read once; the cache is only a saving, a lost block is
-    recomputed from the batch's input.
+    A batch for several tables is read once; the cache is only a saving, a lost
+    block is recomputed from the batch's input.
     """
-    rows = batch.select(*(c for c in _ROLLUP_COLUMNS if c in batch.columns)).persist()
+    rows = batch.select(*(c for c in _ROLLUP_COLUMNS if c in batch.columns))
+    if len(tables) > 1:
+        rows = rows.persist()
     try:
         for name in tables:
             table = lake.silver(name)
             table.add(SILVER_ROLLUPS[name](rows), writer, batch_id)
             table.tidy()
     finally:
-        rows.unpersist()
+        if len(tables) > 1:
+            rows.unpersist()
 
 
 def writer_name(checkpoint: str) -> str:
