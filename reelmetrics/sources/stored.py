@@ -117,8 +117,18 @@ class StoredTable:
         writer.parquet(f"{self.path}/part={part}")
 
     def add(self, increment: DataFrame, writer: str, batch_id: int) -> bool:
-        """Add an increment's counters once; False if it is already in."""
+        """Add an increment's counters once; False if it is already in.
+
+        ``writer`` is ``name`` or ``name.run``. Batch ids of another run of the
+        same writer mean other rows, so a second run is refused.
+        """
         manifest = self._manifest()
+        name = writer.split(".")[0]
+        if any(w != writer and w.split(".")[0] == name for w in manifest["batches"]):
+            raise RuntimeError(
+                f"{self.path} was fed by another run of {name}: its checkpoint is gone. "
+                "clear() the table and rebuild it from the log."
+            )
         if batch_id <= manifest["batches"].get(writer, -1):
             return False
         part = f"{writer}-{batch_id:010d}"
@@ -169,6 +179,10 @@ class StoredTable:
         manifest["parts"] = [part]
         self._commit(manifest)
 
+    def clear(self) -> None:
+        """Empty the table and forget its writers, before a rebuild."""
+        self._commit({"parts": [], "batches": {}})
+
     def vacuum(self) -> None:
         """Delete parts no manifest entry names. Run it while nobody reads."""
         live = {f"part={p}" for p in self._manifest()["parts"]}
@@ -227,6 +241,14 @@ class Lake:
     def gold(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/gold", GOLD[name])
 
+    def register_views(self) -> None:
+        """Temporary views ``bronze``, ``silver_*`` and ``gold_*`` of the present content."""
+        self.bronze().createOrReplaceTempView("bronze")
+        for name in SILVER:
+            self.silver(name).read().createOrReplaceTempView(f"silver_{name}")
+        for name in GOLD:
+            self.gold(name).rows().createOrReplaceTempView(f"gold_{name}")
+
     def ensure(self) -> Lake:
         """Create what is missing, empty."""
         for topic in TOPICS:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reelmetrics.functions.text import lexicon_score
 from reelmetrics.operators.rollups import SILVER_ROLLUPS
 from reelmetrics.plans.refresh import refresh_gold
+from reelmetrics.sources.files import Folder
 from reelmetrics.sources.stored import Lake
 from reelmetrics.sources.wire import parse_actions, quarantine, to_bronze
 
@@ -94,9 +96,10 @@ def add_increments(
             rows.unpersist()
 
 
-def writer_name(checkpoint: str) -> str:
-    """A writer is a checkpoint: its batch ids only ever grow."""
-    return hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+def writer_name(lake: Lake, checkpoint: str) -> str:
+    """A writer is a checkpoint path, its run the query id kept in the checkpoint."""
+    run = json.loads(Folder(lake.spark, checkpoint).read("metadata"))["id"]
+    return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}.{run}"
 
 
 def start_silver(
@@ -107,11 +110,12 @@ def start_silver(
     tables=tuple(SILVER_ROLLUPS),
 ) -> StreamingQuery:
     """Keep the silver tables up to date with the bronze stream."""
-    writer = writer_name(checkpoint)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_increments(lake, batch, writer_name(lake, checkpoint), batch_id, tables)
+
     return (
-        bronze.writeStream.foreachBatch(
-            lambda batch, batch_id: add_increments(lake, batch, writer, batch_id, tables)
-        )
+        bronze.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(period))
         .start()

@@ -70,6 +70,25 @@ def test_folding_keeps_the_sums(lake, make_log):
     assert table.read().agg(F.sum("views_count")).first()[0] == total
 
 
+def test_a_lost_checkpoint_is_refused_until_the_table_is_cleared(lake, make_log):
+    table = lake.silver("ages")
+    table.add(rollups.ages(make_log({})), "stream.run1", 0)
+    with pytest.raises(RuntimeError, match="rebuild"):
+        table.add(rollups.ages(make_log({}, {})), "stream.run2", 0)
+    table.clear()
+    assert table.add(rollups.ages(make_log({}, {})), "stream.run2", 0)
+    assert as_rows(table.read(), "views_count") == [(2,)]
+
+
+def test_tables_answer_sql(spark, lake, make_log):
+    lake.ensure().bulk_append(bronze_rows(make_log({}, {"user_country": "CHINA"})), "first_views")
+    lake.silver("countries").add(rollups.countries(lake.bronze()), "w", 0)
+    lake.register_views()
+    counted = spark.sql("SELECT country, sum(views_count) FROM silver_countries GROUP BY country")
+    raw = spark.sql("SELECT user_country, count(*) FROM bronze GROUP BY user_country")
+    assert as_rows(counted) == as_rows(raw) == [("CHINA", 1), ("EGYPT", 1)]
+
+
 def test_publish_replaces(spark, lake):
     table = lake.gold("comments")
     schema = "video_id int, comments_count long, positive_count long"
