@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmetrics.functions.measures import VIEWS_LIKES_MINUTES, count_of
-from reelmetrics.functions.timing import LEVELS, window_start, window_starts
+from reelmetrics.functions.timing import LEVELS, Level, window_start, window_starts
+
+WINDOW_LEVELS = tuple(level for level in LEVELS if level != Level.ALLTIME.value)
 
 
 def _since(silver: DataFrame, start: int) -> DataFrame:
     rows = silver.where(F.col("hour_timestamp") >= start)
-    if "event_date" in silver.columns and start > 0:
+    if "event_date" in silver.columns:
         rows = rows.where(F.col("event_date") >= F.to_date(F.timestamp_seconds(F.lit(start))))
     return rows
 
@@ -39,18 +41,29 @@ def window_totals(
 
 
 def window_totals_all(
-    silver: DataFrame, key: str, as_of: int, month_days: int = 30
+    silver: DataFrame,
+    key: str,
+    as_of: int,
+    month_days: int = 30,
+    levels: Sequence[str] = LEVELS,
 ) -> DataFrame:
-    """All levels as rows ``(level, key, counters)`` from one scan and exchange."""
-    starts = window_starts(as_of, month_days)
+    """Several levels as rows ``(level, key, counters)`` from one scan and exchange.
+
+    Only hours since the earliest of the levels are read.
+    """
+    starts = {level: window_start(level, as_of, month_days) for level in levels}
     hour = F.col("hour_timestamp")
-    wide = silver.groupBy(key).agg(
-        F.max(hour).alias("last_hour_seen"),
-        *(
-            F.sum(F.when(hour >= start, F.col(m)).otherwise(0)).alias(f"{level}__{m}")
-            for level, start in starts.items()
-            for m in VIEWS_LIKES_MINUTES
-        ),
+    wide = (
+        _since(silver, min(starts.values()))
+        .groupBy(key)
+        .agg(
+            F.max(hour).alias("last_hour_seen"),
+            *(
+                F.sum(F.when(hour >= start, F.col(m)).otherwise(0)).alias(f"{level}__{m}")
+                for level, start in starts.items()
+                for m in VIEWS_LIKES_MINUTES
+            ),
+        )
     )
     rows = F.array(
         *(
@@ -69,6 +82,16 @@ def window_totals_all(
     )
 
 
+def window_totals_served(
+    hours: DataFrame, totals: DataFrame, key: str, as_of: int, month_days: int = 30
+) -> DataFrame:
+    """All levels: the windows from recent hours, all time from the kept totals."""
+    alltime = totals.groupBy(key).agg(*_sums(VIEWS_LIKES_MINUTES))
+    return window_totals_all(hours, key, as_of, month_days, WINDOW_LEVELS).unionByName(
+        alltime.select(F.lit(Level.ALLTIME.value).alias("level"), key, *VIEWS_LIKES_MINUTES)
+    )
+
+
 def window_totals_raw(log: DataFrame, key: str) -> DataFrame:
     """Counters per ``key`` straight from log rows already limited to a window."""
     return (

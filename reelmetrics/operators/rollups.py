@@ -86,6 +86,15 @@ def channel_hour(log: DataFrame) -> DataFrame:
     return rollup(log, ["channel_id", _hour()], (*VIEWS_LIKES_MINUTES, "subscribes_count"))
 
 
+def video_total(log: DataFrame) -> DataFrame:
+    """All-time counters, kept so that they need not be summed over all hours."""
+    return rollup(log, ["video_id"], VIEWS_LIKES_MINUTES)
+
+
+def channel_total(log: DataFrame) -> DataFrame:
+    return rollup(log, ["channel_id"], (*VIEWS_LIKES_MINUTES, "subscribes_count"))
+
+
 def ages(log: DataFrame) -> DataFrame:
     age = F.col("user_age").alias("age")
     return rollup(log, ["video_id", "channel_id", age], VIEWS_LIKES_MINUTES)
@@ -183,6 +192,8 @@ def record_total(log: DataFrame) -> DataFrame:
 SILVER_ROLLUPS = {
     "video_hour": video_hour,
     "channel_hour": channel_hour,
+    "video_total": video_total,
+    "channel_total": channel_total,
     "ages": ages,
     "countries": countries,
     "interaction": interaction,

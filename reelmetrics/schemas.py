@@ -113,6 +113,8 @@ SILVER = {
             (*_COUNTS, "subscribes_count"),
             ("event_date",),
         ),
+        TableSpec("video_total", (_VIDEO,), _COUNTS),
+        TableSpec("channel_total", (_CHANNEL,), (*_COUNTS, "subscribes_count")),
         TableSpec("ages", (_VIDEO, _CHANNEL, _AGE), _COUNTS),
         TableSpec("countries", (_VIDEO, _CHANNEL, _COUNTRY), _COUNTS),
         TableSpec(

@@ -29,6 +29,18 @@ def test_gold_equals_the_log(log, key, rollup):
         assert as_rows(raw, key, *COUNTS) == counted
 
 
+@pytest.mark.parametrize(
+    "key,hours,totals",
+    [("video_id", rollups.video_hour, rollups.video_total),
+     ("channel_id", rollups.channel_hour, rollups.channel_total)],
+)
+@pytest.mark.parametrize("month_days", [28, 30])
+def test_kept_totals_serve_all_time(log, key, hours, totals, month_days):
+    from_hours = gold.window_totals_all(hours(log), key, AS_OF, month_days)
+    served = gold.window_totals_served(hours(log), totals(log), key, AS_OF, month_days)
+    assert as_rows(served) == as_rows(from_hours)
+
+
 @pytest.mark.parametrize("key,value,rollup", [("video_id", 55, rollups.video_hour),
                                               ("channel_id", 5, rollups.channel_hour),
                                               ("video_id", 9999, rollups.video_hour)])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_rows
 from reelmetrics.operators import rollups
+from reelmetrics.operators.gold import window_totals_served
 from reelmetrics.plans.refresh import refresh_gold
 from reelmetrics.plans.serving import Dashboard
 from reelmetrics.schemas import BRONZE, GOLD, SILVER
@@ -135,6 +136,21 @@ def test_layouts_sort_within_files(lake, make_log, layout):
     assert len(stored) == 40 and stored == sorted(stored)
 
 
+def test_gold_reads_only_the_days_of_its_windows(lake, make_log):
+    days = [86_400 * d for d in (1, 40, 99, 100)]
+    lake.silver("video_hour").add(
+        rollups.video_hour(make_log(*({"timestamp_seconds": s} for s in days))), "w", 0
+    )
+    silver = lake.silver("video_hour")
+    served = window_totals_served(silver.rows(), silver.rows(), "video_id", 100 * 86_400)
+    plan = served._jdf.queryExecution().executedPlan().toString()
+    assert "(event_date#" in plan and ">= 1970-04-01)" in plan.split("PartitionFilters")[1]
+    counted = {r.level: r.views_count for r in served.collect()}
+    assert counted == {
+        "last_hour": 1, "last_day": 1, "last_week": 2, "last_month": 2, "alltime": 4
+    }
+
+
 def test_gold_from_increments_and_dashboard(lake, make_log):
     as_of = 10 * HOUR + 100
     log = [
