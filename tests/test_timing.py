@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import as_rows
@@ -43,3 +45,15 @@ def test_columns(spark):
         (86_399, 82_800, 23, 1_439, "1970-01-01 23:59:59", "1970-01-01"),
         (90_061, 90_000, 1, 1_501, "1970-01-02 01:01:01", "1970-01-02"),
     ]
+
+
+@given(st.integers(0, 4_000_000_000), st.sampled_from(timing.LEVELS[:-1]), st.integers(1, 31))
+def test_a_window_holds_its_as_of(as_of, level, month_days):
+    size = {
+        "last_hour": timing.HOUR,
+        "last_day": DAY,
+        "last_week": timing.WEEK,
+        "last_month": month_days * DAY,
+    }[level]
+    start = window_start(level, as_of, month_days)
+    assert start % size == 0 and start <= as_of < start + size
