@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -13,23 +12,64 @@ from pyspark.sql import functions as F
 
 #: n-grams of a profile, of a document's list, and the longest n-gram (three code points fit one long).
 PROFILE, LISTED, LONGEST = 400, 300, 3
-NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
 
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter; planes above the third hold none."""
+    table = np.zeros(0x110000, bool)
+    table[:0x40000] = [chr(point).isalpha() for point in range(0x40000)]
+    return table
+
+
+_LETTERS: list[np.ndarray] = []
+
+
+def counted_keys(keys: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys below `bins` with counts, by counting where bins are few and by sorting where not."""
+    if bins > 1 << 18:
+        return np.unique(keys, return_counts=True)
+    counts = np.bincount(keys, minlength=1)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams (code points packed 21 bits each) of the lower-cased words, spaces around, with counts."""
-    words = NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    if not words:
+    """Distinct n-grams of the lower-cased words with counts; keys are code points packed 21 bits each.
+
+    A space stands around each word; single letters and n-grams with a space at one end count, none reaches over one.
+    """
+    if not _LETTERS:
+        _LETTERS.append(letter_table())
+    points = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    letter = _LETTERS[0][points]
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]  # one space after each word
+    kept[0] = True
+    points = np.where(letter, points, 32)[kept]
+    if len(points) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    points = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    found, key = [points[points != 32]], points
-    for n in range(1, LONGEST):
-        key = (key[:-1] << 21) | points[n:]
-        found.append(key)
-    inside = found[-1]  # no n-gram reaches over a space
-    found[-1] = inside[((inside >> 21) & 0x1FFFFF) != 32]
-    return np.unique(np.concatenate(found), return_counts=True)
+    alphabet = np.unique(points) if len(points) < 1000 else np.flatnonzero(np.bincount(points))
+    code = np.zeros(alphabet[-1] + 1, np.int64)
+    code[alphabet] = np.arange(len(alphabet))
+    space, size = code[32], len(alphabet)
+    own = code[points]
+    keys, counts = [], []
+    for n in range(1, LONGEST + 1):
+        key, inner = own[: len(own) - n + 1], np.ones(len(own) - n + 1, bool)
+        for i in range(1, n):
+            key = key * size + own[i : len(own) - n + 1 + i]
+            if i < n - 1:
+                inner &= own[i : len(own) - n + 1 + i] != space
+        if n == 1:
+            inner = key != space
+        found, number = counted_keys(key[inner], size**n)
+        packed = np.zeros(len(found), np.int64)
+        for i in range(n):
+            packed = (packed << 21) | alphabet[(found // size ** (n - 1 - i)) % size]
+        keys.append(packed)
+        counts.append(number)
+    return np.concatenate(keys), np.concatenate(counts)
 
 
 def ranked(keys: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
@@ -46,7 +86,7 @@ def learn_profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lang, texts in frame.groupby("lang")["text"]:
-                keys, counts = ngrams(" ".join(texts))
+                keys, counts = ngrams("\n".join(texts))
                 yield pd.DataFrame({"lang": lang, "gram": keys, "n": counts})
 
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")

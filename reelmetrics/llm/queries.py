@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, tokencounts
+from . import htmltext, langid, licenses, quality, tokencounts
 from .common import read
 from .packing import packed
 
@@ -56,11 +56,25 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
+    "op6_html_text": op6_html_text,
+    "op9_licenses": op9_licenses,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_licenses": licenses.twin_sql(),
+}

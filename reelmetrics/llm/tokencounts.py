@@ -37,8 +37,10 @@ class PrefixTrie:
 
     def __init__(self, scores: dict[str, float], limit: int = 1_000_000) -> None:
         self.scores, self.limit = scores, limit
-        self.widest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - 10
+        # Every ending of a piece, with the piece's score if it is one: a search backwards stops at the first other.
+        self.endings: dict[str, float | None] = {piece[i:]: None for piece in scores for i in range(len(piece))}
+        self.endings.update(scores)
         self.clear()
 
     def clear(self) -> None:
@@ -56,27 +58,32 @@ class PrefixTrie:
     def insert(self, text: str) -> tuple[int, int]:
         if len(self.best) > self.limit:
             self.clear()
-        child, best, scores = self.child, self.best, self.scores
-        path = [0]
+        child, best, endings = self.child, self.best, self.endings
+        node, path = 0, [0]
         for end, char in enumerate(text, 1):
-            key = (path[-1], char)
-            node = child.get(key)
+            key = (node, char)
+            before, node = node, child.get(key)
             if node is None:
-                before = best[path[-1]]
-                found = (before[0] + self.unknown, -before[1] - len(char.encode("utf-8", "surrogatepass")), before[2] + 1)
-                if char in scores:
-                    found = (before[0] + scores[char], -before[1] - 1, before[2])
-                for start in range(max(0, end - self.widest), end - 1):
-                    score = scores.get(text[start:end])
-                    if score is not None:
+                score, tokens, unknown = best[before]
+                if endings.get(char) is None:
+                    score, tokens, unknown = score + self.unknown, tokens + len(char.encode("utf-8", "surrogatepass")), unknown + 1
+                else:
+                    score, tokens = score + endings[char], tokens + 1
+                start = end - 1
+                while start:
+                    start -= 1
+                    piece = text[start:end]
+                    if piece not in endings:
+                        break
+                    own = endings[piece]
+                    if own is not None:
                         at = best[path[start]]
-                        other = (at[0] + score, -at[1] - 1, at[2])
-                        if other > found:
-                            found = other
+                        if (own := own + at[0]) > score or (own == score and at[1] + 1 < tokens):
+                            score, tokens, unknown = own, at[1] + 1, at[2]
                 node = child[key] = len(best)
-                best.append((found[0], -found[1], found[2]))
+                best.append((score, tokens, unknown))
             path.append(node)
-        return best[path[-1]][1:]
+        return best[node][1:]
 
 
 def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
