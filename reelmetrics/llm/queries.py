@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, licenses, quality, tokencounts
+from . import htmltext, langid, licenses, quality, tokencounts, vectors
 from .common import read
 from .packing import packed
 
@@ -37,6 +37,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings at cosine 0.9."""
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every document over the pieces of a public vocabulary."""
     return tokencounts.token_counts(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -68,6 +73,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_vectors": op2_vectors,
     "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
@@ -75,6 +81,25 @@ QUERIES = {
     "op9_licenses": op9_licenses,
 }
 
+#: All pairs by brute force; groups by spreading the least id over the links.
+OP2_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a, usable b
+  WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(id, low) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.id),
+least AS (SELECT id, min(low) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON id = e.vec_id LEFT JOIN counts c ON c.vec_id = e.vec_id"""
+
 ORACLE: dict[str, str] = {
+    "op2_vectors": OP2_SQL,
     "op9_licenses": licenses.twin_sql(),
 }
