@@ -153,11 +153,12 @@ class LineField:
         return np.clip(np.add.reduceat(good * weight, at) / np.add.reduceat(weight, at), 0.0, 1.0)
 
 
-def train(labelled: DataFrame, most_docs: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES) -> LineField:
-    """A field fitted to at most `most_docs` rows (text, label 0 or 1), chosen by a hash of the text.
+def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES) -> LineField:
+    """A field fitted to the texts (doc_id, text) of at most `most_docs` label rows (doc_id, label 0 or 1).
 
-    Rows without text or label teach nothing. Of a sampled text the first `most_lines` lines are used; scoring
-    reads every line. Without rows the field is blank and scores 0.5.
+    The label rows are chosen by a hash of their id, then sent to the texts: at most `most_docs` pairs of numbers.
+    Rows without id, text or label teach nothing; of several texts with a chosen id each teaches. The first
+    `most_lines` lines of a chosen text are used; scoring reads every line. Without rows the field is blank and scores 0.5.
     """
 
     @F.pandas_udf("size int, rows array<double>")
@@ -168,9 +169,10 @@ def train(labelled: DataFrame, most_docs: int = TRAIN_DOCS, most_lines: int = TR
             out.append((len(rows), with_neighbours(rows).ravel()))
         return pd.DataFrame(out, columns=["size", "rows"])
 
-    known = labelled.where(F.col("text").isNotNull() & F.col("label").isin(0, 1))
-    sample = known.orderBy(F.xxhash64("text"), "text", "label").limit(most_docs).select("label", features("text").alias("f"))
-    rows = sorted(sample.select("label", "f.size", "f.rows").collect(), key=repr)
+    known = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "label")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most_docs)
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    rows = sorted(texts.select("label", features("text").alias("f")).select("label", "f.size", "f.rows").collect(), key=repr)
     if not rows:
         return LineField.blank()
     matrix = np.vstack([np.array(r["rows"]).reshape(r["size"], -1) for r in rows])

@@ -27,7 +27,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from labelled rows that are not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    field = quality.train(docs.where(remainder(4) != 2).join(labels, "doc_id").select("text", "label"))
+    field = quality.train(docs, labels.where(remainder(4) != 2))
     scored = quality.score(docs, field).withColumnRenamed("quality_score", "score")
     return scored.select(
         "doc_id",
