@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, licenses, quality, tokencounts, vectors
+from . import htmltext, jaccard, langid, licenses, quality, tokencounts, vectors
 from .common import read
 from .packing import packed
 
@@ -66,6 +66,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(read(spark, sf_dir, "pages"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose sets of three-word shingles have Jaccard similarity 0.9."""
+    return jaccard.jaccard_groups(read(spark, sf_dir, "documents"), 3, 90)
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return licenses.scan(read(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
     "op6_html_text": op6_html_text,
+    "op7_jaccard": op7_jaccard,
     "op9_licenses": op9_licenses,
 }
 
@@ -99,7 +105,30 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN least ON id = e.vec_id LEFT JOIN counts c ON c.vec_id = e.vec_id"""
 
+#: Every pair of documents that share a shingle, counted in full.
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM words),
+grams AS (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS o, any_value(a.n + b.n) AS n
+  FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * o >= 90 * (n - o)),
+reach(r, low) AS (
+  SELECT r, doc_id FROM sets
+  UNION
+  SELECT l.b, reach.low FROM reach JOIN links l ON l.a = reach.r),
+least AS (SELECT r, min(low) AS component_id FROM reach GROUP BY r)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN least USING (r)"""
+
 ORACLE: dict[str, str] = {
     "op2_vectors": OP2_SQL,
+    "op7_jaccard": OP7_SQL,
     "op9_licenses": licenses.twin_sql(),
 }

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from .common import saved
 from .components import components
 
-#: Vectors of a tile's side, and how many leading dimensions the first steps take.
-TILE, STEPS = 2048, (16, 32)
+#: Vectors of a block and of a tile inside it, and how many leading dimensions the first steps take.
+BLOCK, TILE, STEPS = 4096, 2048, (16, 32)
 #: Slack of the single-precision bounds; what passes them is decided in double precision.
 SLACK = 1e-4
 
@@ -48,22 +48,22 @@ def near_pairs(left: np.ndarray, right: np.ndarray, exact_left: np.ndarray, exac
     The product over the leading dimensions is bounded by the norms of the rest; pairs that cannot reach the
     threshold stop, the others take the next dimensions; survivors are decided in double precision.
     """
-    at, total = 0, None
-    for to in STEPS:
-        if to >= left.shape[1]:
-            break
+    width = left.shape[1]
+    at, total, dense = 0, np.zeros((len(left), len(right)), np.float32), True
+    for to in [*(step for step in STEPS if step < width), width]:
         rest = np.sqrt((left[:, to:] ** 2).sum(1)), np.sqrt((right[:, to:] ** 2).sum(1))
-        if total is None:
-            total = left[:, :to] @ right[:, :to].T
-            i, j = np.nonzero(total + rest[0][:, None] * rest[1][None, :] >= threshold - SLACK)
-            total = total[i, j]
+        if dense:
+            total += left[:, at:to] @ right[:, at:to].T
+            open_ = total + rest[0][:, None] * rest[1][None, :] >= threshold - SLACK
+            dense = to < width and np.count_nonzero(open_) > open_.size // 20
+            if not dense:
+                i, j = np.nonzero(open_)
+                total = total[i, j]
         else:
             total = total + np.einsum("ij,ij->i", left[i, at:to], right[j, at:to])
             open_ = total + rest[0][i] * rest[1][j] >= threshold - SLACK
             i, j, total = i[open_], j[open_], total[open_]
         at = to
-    if total is None:
-        i, j = np.nonzero(left @ right.T >= threshold - SLACK)
     keep = np.zeros(len(i), bool)
     for a in range(0, len(i), 1 << 16):
         b = slice(a, a + (1 << 16))
@@ -89,12 +89,12 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tile: int = TILE) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding).
 
     Null, empty or zero vectors, and those with null or non-finite components, link with nothing; so do vectors of
     different lengths. Equal vectors are one node with a count, so copies cost nothing. Nodes are dealt into blocks of
-    about `tile`; each pair of blocks is one row of work whose task reads two blocks and returns link counts and a
+    about `block`; each pair of blocks is one row of work whose task reads two blocks and returns link counts and a
     spanning forest, never its pairs. Rows without an id take part in no component but count as links.
     """
     doubles = F.col("embedding").cast("array<double>")
@@ -106,7 +106,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tile: int = TILE
     nodes = nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", F.size("v"))
     nodes = saved(nodes)
     found = [
-        links_of_width(nodes.where(F.col("width") == row["width"]), row["width"], row["n"], threshold, tile)
+        links_of_width(nodes.where(F.col("width") == row["width"]), row["width"], row["n"], threshold, block)
         for row in nodes.groupBy("width").agg(F.count("*").alias("n")).collect()
     ]
     if not found:
@@ -131,23 +131,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tile: int = TILE
     )
 
 
-def links_of_width(nodes: DataFrame, width: int, count: int, threshold: float, tile: int) -> DataFrame:
+def links_of_width(nodes: DataFrame, width: int, count: int, threshold: float, block: int) -> DataFrame:
     """(node, n, null): links to n further rows; (node, null, other): links of a spanning forest.
 
     Blocks are hash ranges of the nodes. Block pairs are spread over the cluster; each block's rows go to every
     pair it is in, as one packed row.
     """
     axes = principal_axes(nodes, width)
-    blocks = -(-count // tile)
+    blocks = -(-count // block)
     slot = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = unit_rows(frame["v"])
-            for block, own in frame.groupby("block"):
+            for number, own in frame.groupby("block"):
                 at = own.index.to_numpy()
                 yield pd.DataFrame({
-                    "block": [block],
+                    "block": [number],
                     "nodes": [own["node"].to_numpy("<i8").tobytes()],
                     "copies": [own["copies"].to_numpy("<i8").tobytes()],
                     "rows": [rows[at].astype("<f8").tobytes()],
@@ -164,8 +164,8 @@ def links_of_width(nodes: DataFrame, width: int, count: int, threshold: float, t
     schema = "node long, n long, other long"
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        def side(block):
-            own = frame[frame["block"] == block]
+        def side(number):
+            own = frame[frame["block"] == number]
             nodes = np.frombuffer(b"".join(own["nodes"]), "<i8")
             copies = np.frombuffer(b"".join(own["copies"]), "<i8")
             rows = np.frombuffer(b"".join(own["rows"]), "<f8").reshape(len(nodes), -1)
@@ -176,7 +176,13 @@ def links_of_width(nodes: DataFrame, width: int, count: int, threshold: float, t
         right = left if x == y else side(y)
         if not len(left[0]) or not len(right[0]):
             return pd.DataFrame({"node": [], "n": [], "other": []}).astype("Int64")
-        i, j = near_pairs(left[3], right[3], left[2], right[2], threshold)
+        found = [
+            (i + a, j + b)
+            for a in range(0, len(left[0]), TILE)
+            for b in range(a if x == y else 0, len(right[0]), TILE)
+            for i, j in [near_pairs(*(s[k][at : at + TILE] for k in (3, 2) for s, at in ((left, a), (right, b))), threshold)]
+        ]
+        i, j = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
         if x == y:
             upper = i < j
             i, j = i[upper], j[upper]
