@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, jaccard, langid, licenses, quality, tokencounts, vectors
+from . import htmltext, jaccard, langid, licenses, linededup, quality, tokencounts, vectors
 from .common import read
 from .packing import packed
 
@@ -76,6 +76,12 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat, or nearly repeat, an earlier one."""
+    kept = linededup.dedup_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_vectors": op2_vectors,
@@ -85,6 +91,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op7_jaccard": op7_jaccard,
     "op9_licenses": op9_licenses,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: All pairs by brute force; groups by spreading the least id over the links.
