@@ -108,6 +108,17 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """The input with the document of least id of every group of jaccard_groups; equal rows stay once.
+
+    Documents without n-grams stay. A group of documents that all lack an id keeps them but for equal rows.
+    """
+    groups = jaccard_groups(docs, width, threshold)
+    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.join(saved(kept), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    return named.dropDuplicates(["doc_id", "text"])
+
+
 def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """key, own (n-grams) of the wanted sets, once each, from the texts.
 

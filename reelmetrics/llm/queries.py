@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, jaccard, langid, licenses, linededup, quality, tokencounts, vectors
+from . import decontam, htmltext, jaccard, langid, licenses, linededup, quality, tokencounts, vectors
 from .common import read
 from .packing import packed
 
@@ -71,6 +71,12 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read(spark, sf_dir, "documents"), 3, 90)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document, numbers, names and units changed or not."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.decontaminate(docs, read(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return licenses.scan(read(spark, sf_dir, "documents"))
@@ -90,6 +96,7 @@ QUERIES = {
     "op5_langid": op5_langid,
     "op6_html_text": op6_html_text,
     "op7_jaccard": op7_jaccard,
+    "op8_decontamination": op8_decontamination,
     "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
 }
