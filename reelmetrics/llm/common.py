@@ -38,6 +38,15 @@ def mapped(df: DataFrame, schema: str, rows: Callable[[pd.DataFrame], pd.DataFra
     return df.mapInPandas(batches, schema)
 
 
+def texts_with_id(docs: DataFrame) -> DataFrame:
+    """doc_id as text, and text: pandas would round a batch's long ids if one of them is null."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def with_long_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 class WordIds(dict):
     """64-bit hashes of byte strings, remembered up to a bound of entries."""
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_map, mapped, membership_map, saved, windows
+from .common import in_map, mapped, membership_map, saved, texts_with_id, windows, with_long_id
 
 #: Words of a window, words of it that must be no placeholder, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
@@ -146,7 +146,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
 
     def doc_rows(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc, text in zip(frame["doc_id"].astype("Int64"), frame["text"]):
+        for doc, text in zip(frame["doc_id"], frame["text"]):
             kinds, hashes, numbers = canonical(text)
             for own in widths:
                 if len(kinds) < own:
@@ -154,11 +154,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
                 at, found = template_windows(kinds, hashes, own, literals)
                 hit = in_map(found, bits)
                 out += [(doc, own, int(i), int(h), slots_of(kinds, numbers, i, own)) for i, h in zip(at[hit], found[hit].view(np.int64))]
-        return pd.DataFrame(out, columns=["doc_id", "width", "place", "hash", "values"]).astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=["doc_id", "width", "place", "hash", "values"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    found = mapped(source, "doc_id long, width int, place int, hash long, values array<string>", doc_rows)
-    matched = found.join(known, ["hash", "width"]).where(F.size("slots") == F.size("values"))
+    source = texts_with_id(docs).where("text is not null")
+    found = mapped(source, "doc_id string, width int, place int, hash long, values array<string>", doc_rows)
+    matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size("values"))
     matched = saved(matched.select(
         "doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", "n_windows", F.arrays_zip("slots", "values").alias("pairs")
     ))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, saved, shingles
+from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, saved, shingles, texts_with_id, with_long_id
 from .components import linked_groups
 
 #: Parts a set is cut into for the suffix filter.
@@ -33,7 +33,7 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     Rare first: by the class of an n-gram's count over all rows (a sketch of fixed size), then by its hash. Any
     fixed order gives whole results; the classes keep frequent n-grams out of the prefixes.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = texts_with_id(docs)
 
     def hashes(frame: pd.DataFrame) -> np.ndarray:
         return np.concatenate([np.zeros(0, np.uint64), *(shingles(text, width) for text in frame["text"])])
@@ -45,16 +45,19 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
         for text in frame["text"]:
             own = shingles(text, width)
             if not len(own):
-                out.append((None, 0, None, None))
+                out.append((pd.NA, 0, None, None))
                 continue
             order = np.lexsort((own, classes[(own & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)]))
             first = own[order[: prefix_length(len(own), threshold)]].view(np.int64)
             parts = np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PARTS)
             out.append((set_key(own), len(own), first, parts))
-        found = pd.DataFrame(out, columns=["key", "n", "prefix", "parts"]).astype({"key": "Int64"})
-        return pd.concat([frame[["doc_id"]].astype("Int64").reset_index(drop=True), found], axis=1)
+        keys, sizes, prefixes, parts = zip(*out) if out else ([], [], [], [])
+        return pd.DataFrame({
+            "doc_id": frame["doc_id"].to_numpy(), "key": pd.array(keys, "Int64"), "n": sizes, "prefix": pd.Series(prefixes, dtype=object),
+            "parts": pd.Series(parts, dtype=object),
+        })
 
-    return saved(mapped(source, "doc_id long, key long, n int, prefix array<long>, parts array<int>", rows))
+    return saved(with_long_id(mapped(source, "doc_id string, key long, n int, prefix array<long>, parts array<int>", rows)))
 
 
 def may_link(threshold: int):
@@ -134,7 +137,7 @@ def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 key = set_key(own)
                 if key not in out and in_map(np.array([key], np.int64).view(np.uint64), bits)[0]:
                     out[key] = own.view(np.int64)
-        return pd.DataFrame({"key": list(out), "own": list(out.values())})
+        return pd.DataFrame({"key": list(out), "own": pd.Series(list(out.values()), dtype=object)})
 
     found = mapped(docs.select("text"), "key long, own array<long>", rows)
     return saved(found.join(wanted, "key", "left_semi").dropDuplicates(["key"]))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_map, mapped, membership_map, mix, saved
+from .common import in_map, mapped, membership_map, mix, saved, texts_with_id, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
@@ -166,10 +166,10 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     edits, directly or over others. The line first by (doc_id, line number) stays. Blank lines are never touched.
     Ids that are null come last; rows with one id count as one document, so each keeps the lines that come first.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    source = texts_with_id(docs).where("text is not null")
 
     def named(frame: pd.DataFrame) -> pd.DataFrame:
-        ids = frame["doc_id"].astype("Int64").reset_index(drop=True)
+        ids = frame["doc_id"].to_numpy()
         parts = []
         for at, number, lines in chunks(frame):
             keys = [None] * len(lines)
@@ -178,11 +178,11 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
                 for i, row in zip(long_, segment_keys([lines[i] for i in long_], edits)):
                     keys[i] = row
             parts.append(pd.DataFrame({
-                "doc_id": ids.iloc[at].reset_index(drop=True), "line": number, "node": [line_name(x) for x in lines], "keys": keys,
+                "doc_id": ids[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
             }))
-        return pd.concat(parts) if parts else pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "line": [], "node": [], "keys": []})
+        return pd.concat(parts) if parts else pd.DataFrame([], columns=["doc_id", "line", "node", "keys"])
 
-    lines = saved(mapped(source, "doc_id long, line int, node long, keys array<long>", named))
+    lines = saved(with_long_id(mapped(source, "doc_id string, line int, node long, keys array<long>", named)))
     entries = lines.where("keys is not null").select(F.explode("keys").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = saved(shared.where("low <> high").select("key"))
@@ -197,7 +197,7 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
                 hit = in_map(keys.view(np.uint64), bits)
                 for i in np.flatnonzero(hit.any(1)).tolist():
                     out[line_name(own[i])] = own[i], np.unique(keys[i][hit[i]])
-        return pd.DataFrame({"node": list(out), "body": [b for b, _ in out.values()], "keys": [k for _, k in out.values()]})
+        return pd.DataFrame({"node": list(out), "body": pd.Series([b for b, _ in out.values()], dtype=object), "keys": pd.Series([k for _, k in out.values()], dtype=object)})
 
     found = mapped(source.select("text"), "node long, body string, keys array<long>", candidates)
     entries = found.select("node", "body", F.explode("keys").alias("key")).join(shared, "key", "left_semi")

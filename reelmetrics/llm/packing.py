@@ -11,12 +11,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, texts_with_id, with_long_id
 
 #: Open windows a task, and tasks whose leftovers meet in one task of the next round.
 OPEN_WINDOWS, FAN_IN = 8, 32
 PIECES = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
+    "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "capacity long, ids binary"
 )
 COLUMNS = [part.split()[0] for part in PIECES.split(", ")]
@@ -153,7 +153,7 @@ class Packer:
     def taken(self) -> pd.DataFrame:
         frame = pd.DataFrame(self.rows, columns=COLUMNS)
         self.rows = []
-        return frame.astype({"doc_id": "Int64", "capacity": "Int64"})
+        return frame.astype({"capacity": "Int64"})
 
 
 def packed(docs: DataFrame, tokenizer_path: str, size: int = 1024, spaces: int = OPEN_WINDOWS, end_id: int = 0) -> DataFrame:
@@ -175,7 +175,7 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 1024, spaces: int =
         encoder = TokenBytes(tokenizer_path)
         packer = Packer(size, spaces, TaskContext.get().partitionId() << 36)
         for frame in frames:
-            for doc_id, text in zip(frame["doc_id"].astype("Int64").tolist(), frame["text"]):
+            for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 ids = encoder.of(text) + end
                 packer.add(doc_id, 0, ids, len(ids) // 4)
                 if len(packer.rows) >= 50_000:
@@ -198,7 +198,7 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 1024, spaces: int =
 
         return run
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = texts_with_id(docs)
     done = saved(source.mapInPandas(first, PIECES))
     out, turn = [done.where("capacity is not null")], 0
     rest = done.where("capacity is null")
@@ -218,4 +218,4 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 1024, spaces: int =
     result = out[0]
     for part in out[1:]:
         result = result.unionByName(part)
-    return result
+    return with_long_id(result)

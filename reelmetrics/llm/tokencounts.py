@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import texts_with_id, with_long_id
+
 MARK = "▁"
 
 
@@ -103,6 +105,6 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
                 found = [trie.count(word) for word in words]
                 rows.append((len(words), sum(n for n, _ in found), sum(n for _, n in found)))
             counts = pd.DataFrame(rows, columns=["n_words", "n_tokens", "n_unknown"])
-            yield pd.concat([frame[["doc_id"]].astype("Int64").reset_index(drop=True), counts], axis=1)
+            yield counts.assign(doc_id=frame["doc_id"].to_numpy())
 
-    return docs.select("doc_id", "text").mapInPandas(counted, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return with_long_id(texts_with_id(docs).mapInPandas(counted, "doc_id string, n_words long, n_tokens long, n_unknown long"))
