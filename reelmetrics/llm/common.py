@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,27 +46,30 @@ def with_long_id(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-class WordIds(dict):
-    """64-bit hashes of byte strings, remembered up to a bound of entries."""
+class Powers:
+    """Powers of an odd hash base and of its inverse modulo 2**64, as far as needed."""
 
-    LIMIT = 500_000
+    base = 0x9E3779B97F4A7C15
+    up = np.ones(1, np.uint64)
+    down = np.ones(1, np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) <= n:
+            size = max(n + 1, 1 << 16)
+            for name, base in (("up", cls.base), ("down", pow(cls.base, -1, 1 << 64))):
+                values = np.full(size, base, np.uint64)
+                values[0] = 1
+                setattr(cls, name, np.cumprod(values))
+        return cls.up, cls.down
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
-
-WORDS = WordIds()
-
-
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased; none of a null text."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def part_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs [start, end) of a sequence of 64-bit values, equal wherever equal runs stand."""
+    up, down = Powers.to(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -77,6 +79,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A 64-bit value for every byte, and which bytes are ASCII white space.
+BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words between ASCII white space, A-Z lower-cased; none of a null text."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+    edge = np.diff(SPACES[data].view(np.int8), prepend=1, append=1)
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return mix(part_hashes(BYTES[data], starts, ends) ^ (ends - starts).astype(np.uint64))
+
+
 def windows(ids: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of `width` ids; a shorter sequence is one run, an empty one has none."""
     width = min(width, len(ids))
@@ -90,40 +107,51 @@ def windows(ids: np.ndarray, width: int) -> np.ndarray:
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of a text's word shingles."""
-    return np.unique(windows(WORDS.of(ascii_words(text)), width))
+    return np.unique(windows(word_hashes(text), width))
 
 
 #: Cells of a count sketch (one byte each once counted) and bits of a membership map, whatever the input's size.
-SKETCH_CELLS, SKETCH_PARTS, MAP_BITS = 1 << 20, 256, 1 << 25
+SKETCH_CELLS, SKETCH_PARTS, MAP_BITS = 1 << 22, 1024, 1 << 25
 
 
-def count_sketch(df: DataFrame, hashes: Callable[[pd.DataFrame], np.ndarray]) -> np.ndarray:
-    """Classes (quarter powers of two) of the counts of hashes over all rows, by hash % SKETCH_CELLS.
+def count_sketch(df: DataFrame, hashes: Callable[[pd.DataFrame], Iterator[np.ndarray]]) -> np.ndarray:
+    """Classes of the counts of hashes over all rows, by hash % SKETCH_CELLS: the count, from 64 on quarter powers of two.
 
     Tasks add up fixed arrays and send the non-empty cells in SKETCH_PARTS slices; each slice is added
-    up as a stream. What comes to the driver is one byte a cell: 1 MB at every input size.
+    up as a stream. What comes to the driver is one byte a cell: 4 MB at every input size.
     """
     size = SKETCH_CELLS // SKETCH_PARTS
 
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(SKETCH_CELLS, np.int64)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            at, n = np.unique(np.concatenate(held) & np.uint64(SKETCH_CELLS - 1), return_counts=True)
+            cells[at.astype(np.int64)] += n
+            held.clear()
+
         for frame in frames:
-            found = hashes(frame) & np.uint64(SKETCH_CELLS - 1)
-            cells += np.bincount(found.astype(np.int64), minlength=SKETCH_CELLS)
+            for found in hashes(frame):
+                held.append(found)
+                if sum(map(len, held)) > 1 << 18 or len(held) > 256:
+                    add()
+        if held:
+            add()
         for part in range(SKETCH_PARTS):
             own = cells[part * size : (part + 1) * size]
             at = np.flatnonzero(own)
             if len(at):
-                yield pd.DataFrame({"part": [part], "at": [at.astype("<u2").tobytes()], "n": [own[at].astype("<i8").tobytes()]})
+                yield pd.DataFrame({"part": [part], "at": [at.astype("<u2").tobytes()], "n": [own[at].astype("<u4").tobytes()]})
 
     def total(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for frame in frames:
             for part, at, n in zip(frame["part"], frame["at"], frame["n"]):
                 own = sums.setdefault(part, np.zeros(size, np.int64))
-                own[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+                own[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4")
         for part, own in sums.items():
-            classes = np.where(own > 0, 1 + np.floor(4 * np.log2(np.maximum(own, 1))), 0)
+            classes = np.where(own < 64, own, 40 + np.floor(4 * np.log2(np.maximum(own, 1))))
             yield pd.DataFrame({"part": [part], "classes": [classes.astype(np.uint8).tobytes()]})
 
     found = df.mapInPandas(partial, "part int, at binary, n binary").repartition("part").mapInPandas(total, "part int, classes binary")

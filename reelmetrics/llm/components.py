@@ -23,9 +23,10 @@ def components(links: DataFrame) -> DataFrame:
         both = rest.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(rest.select(F.col("b").alias("node"), F.col("a").alias("to")))
         least = both.groupBy("node").agg(F.min("to").alias("to"))
         points = saved(least.select("node", F.least("node", "to").alias("component")))
+        step = points.select(F.col("node").alias("component"), F.col("component").alias("next"))
         for _ in range(2):
-            step = points.select(F.col("node").alias("component"), F.col("component").alias("next"))
-            points = saved(points.join(step, "component").select("node", F.col("next").alias("component")))
+            points = points.join(step, "component").select("node", F.col("next").alias("component"))
+        points = saved(points)
         if labels is None:
             labels = points
         else:
@@ -40,37 +41,48 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def linked_groups(buckets: DataFrame, may_link: Callable[[str, str], str], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(
+    buckets: DataFrame, attributes: DataFrame, may_link: Callable[[str, str], str], verify: Callable[[DataFrame], DataFrame], turns: int = 2
+) -> DataFrame:
     """Components (node, component) of the links that `verify` finds among nodes which share a key.
 
-    buckets: key, node and further columns. may_link(x, y): SQL condition over columns x.*, y.* of two rows of a
-    bucket. verify: pairs (a, b) to true links (a, b). A bucket's nodes are first compared with two nodes of it
-    (the least and the greatest by a hash that is the same in all buckets). Then only pairs of different components
-    are compared, so a large group of near copies costs its size, not its square. No link between components is lost.
+    buckets: key, node and small columns. attributes: one row per node with what may_link(x, y), an SQL condition
+    over x.* and y.* of two rows of a bucket, also needs. verify: pairs (a, b) to true links (a, b). In each turn a bucket's
+    nodes are compared with two of them, the least and the greatest by a hash that is the same in all
+    buckets; then only pairs of different components are. So a large group of near copies costs its size, not its
+    square, and no link between components is lost.
     """
-    ordered = buckets.withColumn("_order", F.xxhash64("node"))
-    fields = [c for c in ordered.columns if c != "key"]
-    row = F.struct("_order", *[c for c in fields if c != "_order"])
-    heads = ordered.groupBy("key").agg(F.min(row).alias("x"), F.max(row).alias("z"))
-    heads = saved(heads.where("x.node <> z.node"))
-    shared = saved(ordered.join(heads.select("key"), "key"))
-    y = shared.select("key", F.struct(*fields).alias("y"))
-    tried = y.join(heads, "key")
-    pairs = tried.where(f"x.node <> y.node and {may_link('x', 'y')}").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = tried.where(f"z.node <> y.node and {may_link('z', 'y')}").select(F.col("z.node").alias("a"), F.col("y.node").alias("b"))
-    first = saved(verify(saved(once(pairs.unionByName(more)))))
-    groups = components(first)
-
-    placed = shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    placed = saved(placed)
-    mixed = saved(placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key"))
-    open_rows = saved(placed.join(mixed, "key"))
-    side = F.struct(*fields, "group")
-    x = open_rows.select("key", side.alias("x"))
-    y = open_rows.select("key", side.alias("y"))
-    across = x.join(y, "key").where(f"x.group < y.group and {may_link('x', 'y')}")
-    second = verify(saved(once(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))))
-    return components(first.unionByName(second))
+    ends = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    ends = saved(ends.where("low <> high").select("key"))
+    shared = saved(buckets.join(ends, "key").join(attributes, "node"))
+    side = F.struct("group", *[c for c in shared.columns if c != "key"])
+    placed, links, groups = shared.withColumn("group", F.col("node")), None, None
+    for turn in range(turns + 1):
+        ordered = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), side.alias("row"))
+        heads = placed.groupBy("key").agg(
+            F.min(ordered).alias("x"), F.max(ordered).alias("z"), F.min("group").alias("low"), F.max("group").alias("high")
+        )
+        heads = saved(heads.where("low <> high").select("key", "x.row", F.col("z.row").alias("last")))
+        if heads.isEmpty():
+            break
+        y = placed.select("key", side.alias("y"))
+        if turn < turns:
+            tried = y.join(heads, "key")
+            pairs = [
+                tried.where(f"{x}.group <> y.group and {may_link(x, 'y')}").select(F.col(f"{x}.node").alias("a"), F.col("y.node").alias("b"))
+                for x in ("row", "last")
+            ]
+            pairs = pairs[0].unionByName(pairs[1])
+        else:
+            open_ = saved(placed.join(heads.select("key"), "key"))
+            x, y = (open_.select("key", side.alias(s)) for s in "xy")
+            pairs = x.join(y, "key").where(f"x.group < y.group and {may_link('x', 'y')}")
+            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        found = verify(saved(once(pairs)))
+        links = found if links is None else links.unionByName(found)
+        groups = components(links)
+        placed = saved(shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"))
+    return groups if groups is not None else shared.select("node", F.col("node").alias("component")).limit(0)
 
 
 def once(pairs: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 
 import numpy as np
 import pandas as pd
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, saved, shingles, texts_with_id, with_long_id
 from .components import linked_groups
 
-#: Parts a set is cut into for the suffix filter.
-PARTS = 16
+#: Words of the parity sketch that bounds how far two sets differ (the suffix filter), 64 bits each.
+SKETCH_WORDS = 4
 
 
 def set_key(values: np.ndarray) -> int:
@@ -22,21 +24,28 @@ def set_key(values: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).astype(np.int64))
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """Bit i: whether an odd number of the set's elements falls on i. Two sets differ in at least as many elements as
+    their parities differ in bits."""
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) & (64 * SKETCH_WORDS - 1), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def prefix_length(n: int, threshold: int) -> int:
     """Two sets of at least `threshold` percent Jaccard share one of this many first elements."""
     return n - -(-threshold * n // 100) + 1 if n else 0
 
 
 def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """doc_id, key, n, prefix (rare first) and parts of every row; null key for texts without words.
+    """doc_id, key, n, prefix (rare first) and parity of every row; null key for texts without words.
 
     Rare first: by the class of an n-gram's count over all rows (a sketch of fixed size), then by its hash. Any
     fixed order gives whole results; the classes keep frequent n-grams out of the prefixes.
     """
     source = texts_with_id(docs)
 
-    def hashes(frame: pd.DataFrame) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint64), *(shingles(text, width) for text in frame["text"])])
+    def hashes(frame: pd.DataFrame) -> Iterator[np.ndarray]:
+        return (shingles(text, width) for text in frame["text"])
 
     classes = count_sketch(source.select("text"), hashes)
 
@@ -49,25 +58,29 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
                 continue
             order = np.lexsort((own, classes[(own & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)]))
             first = own[order[: prefix_length(len(own), threshold)]].view(np.int64)
-            parts = np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PARTS)
-            out.append((set_key(own), len(own), first, parts))
-        keys, sizes, prefixes, parts = zip(*out) if out else ([], [], [], [])
+            out.append((set_key(own), len(own), first, parity(own)))
+        keys, sizes, prefixes, parities = zip(*out) if out else ([], [], [], [])
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "key": pd.array(keys, "Int64"), "n": sizes, "prefix": pd.Series(prefixes, dtype=object),
-            "parts": pd.Series(parts, dtype=object),
+            "parity": pd.Series(parities, dtype=object),
         })
 
-    return saved(with_long_id(mapped(source, "doc_id string, key long, n int, prefix array<long>, parts array<int>", rows)))
+    return saved(with_long_id(mapped(source, "doc_id string, key long, n int, prefix array<long>, parity array<long>", rows)))
 
 
 def may_link(threshold: int):
-    """Length and positional filters on rows with n and at (place in the rare-first order): the overlap that is
-    still possible at the first shared n-gram reaches what the threshold asks."""
+    """Length, positional and suffix filters on rows with n, at (place in the rare-first order) and parity words p0, p1, ...
+
+    Positional: the overlap that is still possible at a shared n-gram reaches what the threshold asks. Suffix: a lower
+    bound of the symmetric difference does not exceed what the threshold leaves.
+    """
 
     def condition(x: str, y: str) -> str:
+        differ = " + ".join(f"bit_count({x}.p{i} ^ {y}.p{i})" for i in range(SKETCH_WORDS))
         return (
             f"{x}.n * 100 >= {y}.n * {threshold} and {y}.n * 100 >= {x}.n * {threshold} and "
-            f"(least({x}.at, {y}.at) + least({x}.n - {x}.at, {y}.n - {y}.at)) * {100 + threshold} >= {threshold} * ({x}.n + {y}.n)"
+            f"(least({x}.at, {y}.at) + least({x}.n - {x}.at, {y}.n - {y}.at)) * {100 + threshold} >= {threshold} * ({x}.n + {y}.n) and "
+            f"({differ}) * {100 + threshold} <= {100 - threshold} * ({x}.n + {y}.n)"
         )
 
     return condition
@@ -83,25 +96,21 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
     """
     rows = described(docs, width, threshold)
     sets = saved(rows.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts")
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
     ))
-    buckets = sets.select(F.col("key").alias("node"), "n", F.posexplode("prefix").alias("at", "key"))
-    parts = sets.select("key", "n", "parts")
+    buckets = sets.select(F.col("key").alias("node"), F.posexplode("prefix").alias("at", "key"))
+    attributes = sets.select(F.col("key").alias("node"), "n", *[F.col("parity")[i].alias(f"p{i}") for i in range(SKETCH_WORDS)])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Suffix filter by the parts' sizes, then the exact overlap of the pairs that are left."""
-        a, b = (parts.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("parts").alias(f"parts_{s}")) for s in "ab")
-        shared = F.aggregate(F.zip_with("parts_a", "parts_b", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-        enough = shared * (100 + threshold) >= threshold * (F.col("n_a") + F.col("n_b"))
-        left = saved(pairs.join(a, "a").join(b, "b").where(enough).select("a", "b"))
-        wanted = saved(left.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        """The exact overlap of the candidate pairs."""
+        wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
         content = contents(docs, wanted, width)
         a, b = (content.select(F.col("key").alias(s), F.col("own").alias(f"own_{s}")) for s in "ab")
         both = F.size(F.array_intersect("own_a", "own_b"))
         union = F.size("own_a") + F.size("own_b") - both
-        return saved(left.join(a, "a").join(b, "b").where(both * 100 >= union * threshold).select("a", "b"))
+        return saved(pairs.join(a, "a").join(b, "b").where(both * 100 >= union * threshold).select("a", "b"))
 
-    groups = linked_groups(buckets, may_link(threshold), verify)
+    groups = linked_groups(buckets, attributes, may_link(threshold), verify)
     placed = sets.select("key", "first").join(groups.withColumnRenamed("node", "key"), "key", "left")
     placed = saved(placed.withColumn("component", F.coalesce("component", "key")))
     least = saved(placed.groupBy("component").agg(F.min("first").alias("component_id")))
