@@ -9,34 +9,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_map, mapped, membership_map, mix, saved, texts_with_id, with_long_id
+from .common import Powers, in_map, mapped, membership_map, mix, part_hashes, saved, texts_with_id, windows, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
 EDITS, LEAST_CHARS = 2, 20
 #: Characters whose hashes a task holds at once.
 CHUNK = 1 << 20
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-class Powers:
-    """Powers of the hash base and of its inverse modulo 2**64, as far as needed."""
-
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
-
-    @classmethod
-    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) <= n:
-            size = max(n + 1, 1 << 16)
-            for name, base in (("up", BASE), ("down", INVERSE)):
-                values = np.full(size, base, np.uint64)
-                values[0] = 1
-                setattr(cls, name, np.cumprod(values))
-        return cls.up, cls.down
-
-
 def probes(edits: int) -> list[tuple[int, int, int]]:
     """(shorter, segment, shift): where a line looks for segments of lines `shorter` than itself by 0 to `edits`.
 
@@ -58,9 +37,7 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
     Lines that share no key differ by more than `edits`. A probe outside the line repeats the line's first key.
     """
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    up, down = Powers.to(len(points))
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(mix((points + np.uint64(1)) * BASE) * up[: len(points)], out=sums[1:])
+    values = mix((points + np.uint64(1)) * np.uint64(Powers.base))
     length = np.array([len(line) for line in lines], np.int64)
     start = np.cumsum(length) - length
     columns = []
@@ -73,12 +50,38 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
         inside = (at >= 0) & (at + width <= length) & (width > 0)
         a = np.where(inside, start + at, 0)
         b = np.where(inside, a + width, 0)
-        part = (sums[b] - sums[a]) * down[a]
-        key = mix(part ^ mix(of.astype(np.uint64) * np.uint64(64) + np.uint64(segment)))
+        key = mix(part_hashes(values, a, b) ^ mix(of.astype(np.uint64) * np.uint64(64) + np.uint64(segment)))
         columns.append(np.where(inside, key, columns[0]) if columns else key)
     return np.column_stack(columns).view(np.int64)
 
 
+#: Lengths of the character runs whose parities bound the edits between two lines.
+RUNS = (1, 2, 3)
+
+
+def parities(line: str) -> list[int]:
+    """For each run length a long whose bit i tells whether an odd number of the line's runs falls on i.
+
+    An edit takes away and adds at most as many runs as a run is long, so near lines differ in few bits.
+    """
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    found = []
+    for width in RUNS:
+        odd = np.bincount((windows(points, width) >> np.uint64(40)).astype(np.int64) & 63, minlength=64) & 1
+        found.append(int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0]))
+    return found
+
+
+def may_be_near(edits: int):
+    """SQL condition on n (characters) and p0, p1, ... (parities) of two lines."""
+
+    def condition(x: str, y: str) -> str:
+        bits = " and ".join(f"bit_count({x}.p{i} ^ {y}.p{i}) <= {2 * width * edits}" for i, width in enumerate(RUNS))
+        return f"abs({x}.n - {y}.n) <= {edits} and {bits}"
+
+    return condition
+
+
 def line_name(line: str) -> int:
     """64-bit name of a line, signed."""
     value = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
@@ -189,21 +192,21 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     bits = membership_map(shared, "key")
 
     def candidates(frame: pd.DataFrame) -> pd.DataFrame:
-        out: dict[int, tuple[str, np.ndarray]] = {}
+        out: dict[int, tuple] = {}
         for _, _, own in chunks(frame):
             own = list({line for line in own if len(line) >= least_chars})
             if own:
                 keys = segment_keys(own, edits)
                 hit = in_map(keys.view(np.uint64), bits)
                 for i in np.flatnonzero(hit.any(1)).tolist():
-                    out[line_name(own[i])] = own[i], np.unique(keys[i][hit[i]])
-        return pd.DataFrame({"node": list(out), "body": pd.Series([b for b, _ in out.values()], dtype=object), "keys": pd.Series([k for _, k in out.values()], dtype=object)})
+                    out[line_name(own[i])] = own[i], np.unique(keys[i][hit[i]]), parities(own[i])
+        columns = {"body": [b for b, _, _ in out.values()], "keys": [k for _, k, _ in out.values()], "p": [p for _, _, p in out.values()]}
+        return pd.DataFrame({"node": list(out), **{name: pd.Series(values, dtype=object) for name, values in columns.items()}})
 
-    found = mapped(source.select("text"), "node long, body string, keys array<long>", candidates)
-    entries = found.select("node", "body", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
-    entries = saved(entries.dropDuplicates(["key", "node"]))
-    bodies = saved(entries.select("node", "body").dropDuplicates(["node"]))
-    buckets = entries.select("key", "node", F.char_length("body").alias("n"))
+    found = saved(mapped(source.select("text"), "node long, body string, keys array<long>, p array<long>", candidates).dropDuplicates(["node"]))
+    entries = found.select("node", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
+    bodies = found.select("node", "body")
+    attributes = found.select("node", F.char_length("body").alias("n"), *[F.col("p")[i].alias(f"p{i}") for i in range(len(RUNS))])
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -213,7 +216,7 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
         a, b = (bodies.select(F.col("node").alias(s), F.col("body").alias(f"body_{s}")) for s in "ab")
         return saved(pairs.join(a, "a").join(b, "b").where(near("body_a", "body_b")).select("a", "b"))
 
-    groups = linked_groups(buckets, lambda x, y: f"abs({x}.n - {y}.n) <= {edits}", verify)
+    groups = linked_groups(entries, attributes, may_be_near(edits), verify)
 
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     firsts = saved(lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(groups, "node", "left"))
@@ -231,7 +234,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     """
     dropped = kept_first(docs, edits, least_chars).select(F.col("doc_id").alias("_id"), "dropped")
     own = docs.drop("n_lines", "n_removed", "_id", "dropped")
-    joined = own.join(dropped, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    joined = own.join(dropped.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
     some = F.size(F.filter(lines, lambda x: F.length(F.trim(x)) > 0))

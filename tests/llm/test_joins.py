@@ -53,7 +53,7 @@ def test_linked_groups_keep_links_between_any_members(spark):
 
     links = [(a, b) for a in numbers for b in numbers if a < b and b - a in (1, 7)]
     nodes = {n for pair in links for n in pair}
-    found = {r["node"]: r["component"] for r in linked_groups(rows, lambda x, y: "true", verify).collect()}
+    found = {r["node"]: r["component"] for r in linked_groups(rows, rows.select("node").distinct(), lambda x, y: "true", verify).collect()}
     assert found == least_reachable(nodes, links)
 
 
@@ -159,6 +159,11 @@ def test_jaccard_groups_equal_brute_force(spark, width, threshold):
 
 
 def edit_distance(a, b):
+    while a and b and a[-1] == b[-1] and len(a) > 1000:
+        cut = next((n for n in (len(a) // 2, 1) if a[-n:] == b[-n:] and n < len(b)), 0)
+        if not cut:
+            break
+        a, b = a[:-cut], b[:-cut]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
