@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -39,18 +40,28 @@ def lexicon_score(
     return F.signum(total).cast("int")
 
 
+# Loaded models of this process, by the scorer that loaded them.
+_MODELS: dict[str, Callable[[list[str]], list[str | int]]] = {}
+
+
 def model_score(
     load: Callable[[], Callable[[list[str]], list[str | int]]], batch_size: int = 8
 ) -> Callable[[Column], Column]:
     """Adapt a text classifier to a scorer.
 
-    ``load`` runs once per Python worker and returns a function from a list of
+    ``load`` runs once per Python process, whatever the number of its tasks, and returns a function from a list of
     texts to labels or scores; it is called with at most ``batch_size`` texts.
     """
 
+    name = uuid.uuid4().hex
+
     @F.pandas_udf("int")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        classify = load()
+        from reelmetrics.functions.text import _MODELS as models  # the process's, not a pickled copy
+
+        classify = models.get(name)
+        if classify is None:
+            classify = models[name] = load()
         for texts in batches:
             found = texts.dropna()
             scores: list[int] = []

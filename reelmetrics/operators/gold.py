@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmetrics.functions.measures import VIEWS_LIKES_MINUTES, count_of
@@ -13,13 +13,20 @@ from reelmetrics.functions.timing import LEVELS, Level, window_start, window_sta
 WINDOW_LEVELS = tuple(level for level in LEVELS if level != Level.ALLTIME.value)
 
 
-def _since(silver: DataFrame, start: int) -> DataFrame:
+def _within(silver: DataFrame, start: int, as_of: int | None = None) -> DataFrame:
+    """Hours from ``start`` to the one that holds ``as_of``; without it there is no end."""
     rows = silver.where(F.col("hour_timestamp") >= start)
+    if as_of is not None:
+        rows = rows.where(F.col("hour_timestamp") <= as_of)
     if "event_date" in silver.columns:
         rows = rows.where(F.col("event_date") >= F.to_date(F.timestamp_seconds(F.lit(start))))
     return rows
 
 
+def _endless(level: str) -> bool:
+    return level == Level.ALLTIME.value
+
+
 def _sums(measures: Sequence[str]):
     return [F.sum(m).alias(m) for m in measures]
 
@@ -35,9 +42,13 @@ def channel_countries(silver: DataFrame) -> DataFrame:
 def window_totals(
     silver: DataFrame, key: str, level: str, as_of: int, month_days: int = 30
 ) -> DataFrame:
-    """Counters per ``key`` since the start of the window that holds ``as_of``."""
+    """Counters per ``key`` from the start of the window that holds ``as_of`` to its hour.
+
+    All time has no end.
+    """
     start = window_start(level, as_of, month_days)
-    return _since(silver, start).groupBy(key).agg(*_sums(VIEWS_LIKES_MINUTES))
+    end = None if Level(level) is Level.ALLTIME else as_of
+    return _within(silver, start, end).groupBy(key).agg(*_sums(VIEWS_LIKES_MINUTES))
 
 
 def window_totals_all(
@@ -53,13 +64,18 @@ def window_totals_all(
     """
     starts = {level: window_start(level, as_of, month_days) for level in levels}
     hour = F.col("hour_timestamp")
+
+    def inside(level: str, start: int) -> Column:
+        return hour >= start if level == Level.ALLTIME.value else hour.between(start, as_of)
+
     wide = (
-        _since(silver, min(starts.values()))
+        _within(silver, min(starts.values()), None if Level.ALLTIME.value in starts else as_of)
         .groupBy(key)
         .agg(
-            F.max(hour).alias("last_hour_seen"),
+            F.max(hour).alias("last_hour_ever"),
+            F.max(F.when(hour <= as_of, hour)).alias("last_hour_seen"),
             *(
-                F.sum(F.when(hour >= start, F.col(m)).otherwise(0)).alias(f"{level}__{m}")
+                F.sum(F.when(inside(level, start), F.col(m)).otherwise(0)).alias(f"{level}__{m}")
                 for level, start in starts.items()
                 for m in VIEWS_LIKES_MINUTES
             ),
@@ -76,8 +92,13 @@ def window_totals_all(
         )
     )
     return (
-        wide.select(key, "last_hour_seen", F.inline(rows))
-        .where(F.col("last_hour_seen") >= F.col("start"))
+        wide.select(key, "last_hour_seen", "last_hour_ever", F.inline(rows))
+        .where(
+            F.when(F.col("level") == Level.ALLTIME.value, F.col("last_hour_ever")).otherwise(
+                F.col("last_hour_seen")
+            )
+            >= F.col("start")
+        )
         .select("level", key, *VIEWS_LIKES_MINUTES)
     )
 
@@ -133,7 +154,10 @@ def history(silver: DataFrame, key: str, value: int, as_of: int, month_days: int
     hour = F.col("hour_timestamp")
     totals = silver.where(F.col(key) == F.lit(int(value))).agg(
         *(
-            F.coalesce(F.sum(F.when(hour >= start, F.col(m))), F.lit(0)).alias(f"{level}__{m}")
+            F.coalesce(
+                F.sum(F.when((hour >= start) & (F.lit(_endless(level)) | (hour <= as_of)), F.col(m))),
+                F.lit(0),
+            ).alias(f"{level}__{m}")
             for level, start in window_starts(as_of, month_days).items()
             for m in VIEWS_LIKES_MINUTES
         )
@@ -148,7 +172,9 @@ def history_raw(
     seconds = F.col("timestamp_seconds")
     totals = log.where(F.col(key) == F.lit(int(value))).agg(
         *(
-            count_of(m, seconds >= start).alias(f"{level}__{m}")
+            count_of(m, (seconds >= start) & (F.lit(_endless(level)) | (seconds <= as_of))).alias(
+                f"{level}__{m}"
+            )
             for level, start in window_starts(as_of, month_days).items()
             for m in VIEWS_LIKES_MINUTES
         )

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmetrics.functions.measures import VIEWS_LIKES_MINUTES, actions_of
+from reelmetrics.functions.timing import hour_bucket
+
 
 def accuracy_report(
     gold: DataFrame, truth: DataFrame, keys: Sequence[str], measure: str = "views_count"
@@ -43,10 +46,12 @@ def sample_pairs(frame: DataFrame, keys: Sequence[str], one_in: int) -> DataFram
 
 
 def freshness(log: DataFrame, silver: DataFrame) -> DataFrame:
-    """Newest second of the log, newest bucket of the rollup, and their distance."""
+    """Newest counted second of the log, newest hour of the rollup, and how many seconds
+    of whole hours the rollup lacks: 0 once it holds every counted row."""
     newest = silver.agg(F.max("hour_timestamp").alias("rollup_high_water")).scalar()
-    return log.agg(F.max("timestamp_seconds").alias("log_high_water")).select(
+    counted = log.where(F.col("action").isin(*actions_of(VIEWS_LIKES_MINUTES)))
+    return counted.agg(F.max("timestamp_seconds").alias("log_high_water")).select(
         "log_high_water",
         newest.alias("rollup_high_water"),
-        (F.col("log_high_water") - newest).alias("lag_seconds"),
+        (hour_bucket(F.col("log_high_water")) - newest).alias("lag_seconds"),
     )

@@ -452,16 +452,14 @@ FROM report WHERE truth IS NOT NULL AND gold IS NOT NULL""",
     ),
     "freshness_lag": _with(
         f"""SELECT log_high_water, rollup_high_water,
-  log_high_water - rollup_high_water AS lag_seconds
-FROM (SELECT max(timestamp_seconds) AS log_high_water,
-  max({_HOUR}) FILTER (WHERE {_COUNTED}) AS rollup_high_water FROM actions)"""
+  log_high_water - log_high_water % 3600 - rollup_high_water AS lag_seconds
+FROM (SELECT max(timestamp_seconds) AS log_high_water FROM actions WHERE {_COUNTED}),
+  (SELECT max({_HOUR}) AS rollup_high_water FROM actions WHERE {_COUNTED})"""
     ),
     "stream_video_hour": _VIDEO_HOUR,
     "stream_hourly_window": _with(
         f"""SELECT video_id, {_HOUR} AS hour_timestamp, {_COUNTS} FROM actions
-WHERE {_COUNTED} AND {_HOUR} + 3600 <=
-  (SELECT max(timestamp_seconds) - 7200 FROM actions WHERE {_COUNTED})
-GROUP BY ALL"""
+WHERE {_COUNTED} GROUP BY ALL"""
     ),
 }
 

@@ -518,7 +518,10 @@ def channel_history(spark, sf):
 
 @query
 def video_comments(spark, sf):
-    return serving.video_comments(gold_comments(spark, sf), VIDEO_ID)
+    """Only documents that the video's comments cite are scored."""
+    own = rollups.by_id(_log(spark, sf, "comments"), "video_id", VIDEO_ID)
+    scored = testbed.scored_comments_of(spark, sf, own)
+    return serving.video_comments(rollups.comment_counts(scored), VIDEO_ID)
 
 
 @query
@@ -584,18 +587,16 @@ def stream_video_hour(spark, sf):
     return lake.silver("video_hour").read()
 
 
+def hourly_windows(spark, sf, max_files: int = 1000) -> DataFrame:
+    root = shared_dir(spark, "stream-hourly-window")
+    stream = testbed.shape_events(testbed.event_stream(spark, sf, max_files))
+    windows.start_hourly_window(
+        stream, "video_id", f"{root}/out", f"{root}/checkpoint"
+    ).awaitTermination()
+    return windows.hourly_rows(spark, f"{root}/out", "video_id")
+
+
 @query
 def stream_hourly_window(spark, sf):
-    """Hours the watermark has closed once the whole log has streamed through."""
-    root = shared_dir(spark, "stream-hourly-window")
-    counts = windows.hourly_window(_event_stream(spark, sf), "video_id")
-    (
-        counts.writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(counts.schema).parquet(f"{root}/out")
+    """All hours of the log, whatever the order and number of its files."""
+    return hourly_windows(spark, sf)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,12 +34,8 @@ def local_session(app: str, cpus: str | int = "*", **settings: str) -> SparkSess
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session without the setting falls back to a temporary folder.
+    The cluster names that folder in ``spark.checkpoint.dir``. A session without the
+    setting uses its warehouse folder, which the executors share too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="reelmetrics-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

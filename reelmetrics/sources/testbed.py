@@ -129,6 +129,18 @@ def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_comments_of(spark: SparkSession, sf_dir: str, log: DataFrame) -> DataFrame:
+    """``scored_comments`` of a few rows: only documents that they cite are scored."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    total = documents.agg(F.count(F.lit(1))).scalar()
+    comments = log.where(F.col("action") == "comments").withColumn(
+        "doc_id", F.col("event_id") % total
+    )
+    cited = documents.join(comments.select("doc_id"), "doc_id", "left_semi")
+    scores = cited.select("doc_id", lexicon_score(F.col("text")).alias("comment_score"))
+    return comments.join(scores, "doc_id", "left")
+
+
 def scored_comments(log: DataFrame, scores: DataFrame) -> DataFrame:
     """Comment rows of ``log`` with their score; they cycle through all documents."""
     total = scores.agg(F.count(F.lit(1))).scalar()
@@ -164,12 +176,11 @@ def wire_messages(spark: SparkSession, sf_dir: str, kinds: Iterable[str] | None
     if kinds is None or "comments" in set(kinds):
         documents = table(spark, sf_dir, "documents")
         total = documents.agg(F.count(F.lit(1))).scalar()
-        # Other actions get distinct keys that match no document, so that a
-        # shuffled join spreads them.
-        doc_id = F.when(is_comment, F.col("event_id") % total).otherwise(-1 - F.col("event_id"))
-        log = log.withColumn("doc_id", doc_id).join(
-            documents.select("doc_id", F.col("text").alias("comment")), "doc_id", "left"
-        )
+        # Only comments meet the documents; the other actions need no join.
+        comments = log.where(is_comment).withColumn("doc_id", F.col("event_id") % total)
+        texts = documents.select("doc_id", F.col("text").alias("comment"))
+        others = log.where(~is_comment).withColumn("comment", F.lit(None).cast("string"))
+        log = others.unionByName(comments.join(texts, "doc_id", "left").drop("doc_id"))
     else:
         log = log.withColumn("comment", F.lit(None).cast("string"))
     body = F.struct(

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from reelmetrics.functions.measures import VIEWS_LIKES_MINUTES, actions_of, count_of
 
 
-def hourly_window(stream: DataFrame, key: str, watermark: str = "2 hours") -> DataFrame:
+def hourly_window(stream: DataFrame, key: str, watermark: str | None = None) -> DataFrame:
     """Counters per ``key`` and hour of event time.
 
-    In append mode an hour is emitted once the watermark has passed it; rows
-    later than that are not counted here, unlike in the additive merge.
+    ``watermark`` states the disorder of the source: rows later than that are not
+    counted, and hours behind it leave the state. Without one no row is lost and the
+    state keeps every hour; that needs update or complete mode.
     """
     timed = stream if "event_time" in stream.columns else stream.withColumn(
         "event_time", F.timestamp_seconds("timestamp_seconds")
     )
+    counted = timed.where(F.col("action").isin(*actions_of(VIEWS_LIKES_MINUTES)))
+    if watermark:
+        counted = counted.withWatermark("event_time", watermark)
     return (
-        timed.where(F.col("action").isin(*actions_of(VIEWS_LIKES_MINUTES)))
-        .withWatermark("event_time", watermark)
-        .groupBy(F.window("event_time", "1 hour"), key)
+        counted.groupBy(F.window("event_time", "1 hour"), key)
         .agg(*(count_of(m) for m in VIEWS_LIKES_MINUTES))
         .select(
             key,
@@ -32,6 +35,34 @@ def hourly_window(stream: DataFrame, key: str, watermark: str = "2 hours") -> Da
     )
 
 
+def start_hourly_window(
+    stream: DataFrame, key: str, path: str, checkpoint: str, watermark: str | None = None
+) -> StreamingQuery:
+    """Write the hours each micro-batch changed, in a folder of its own.
+
+    A replayed batch overwrites its folder. ``hourly_rows`` reads the latest counters.
+    """
+    counts = hourly_window(stream, key, watermark)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def hourly_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Overwrite merge of the batches: the last counters of every key and hour."""
+    keys = [key, "hour_timestamp"]
+    rows = spark.read.parquet(path)
+    return rows.groupBy(*keys).agg(*(F.max_by(m, "batch").alias(m) for m in VIEWS_LIKES_MINUTES))
+
+
 def dedup_stream(stream: DataFrame, keys: Sequence[str], watermark: str = "2 hours") -> DataFrame:
     """One row per key within the watermark; the first to arrive stays."""
     return stream.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))

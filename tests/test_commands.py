@@ -48,7 +48,7 @@ def test_messages_to_answers(spark, tmp_path, capsys):
     ]
     lake = Lake(spark, root)
     assert audit.lag(lake).first().asDict() == {
-        "log_high_water": 40_000, "rollup_high_water": 36_000, "lag_seconds": 4_000
+        "log_high_water": 40_000, "rollup_high_water": 36_000, "lag_seconds": 3_600
     }
 
 

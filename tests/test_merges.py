@@ -86,6 +86,21 @@ def test_last_write_wins(make_log):
     assert as_rows(kept, "timestamp_seconds", "user_id") == [(5, 2), (6, 3)]
 
 
+def test_overwrite_matches_null_keys(spark):
+    current = spark.createDataFrame([(None, 1), (1, 1)], "k int, n int")
+    given = spark.createDataFrame([(None, 5)], "k int, n int")
+    assert as_rows(merges.merge_overwrite(current, given, ["k"])) == [(1, 1), (None, 5)]
+
+
+def test_numeric_dedup_is_a_hash_aggregate(spark):
+    rows = [(1, 3, 10), (1, 4, 20), (2, None, 30), (2, 1, None), (3, None, 40)]
+    frame = spark.createDataFrame(rows, "key int, event_id long, user_id int")
+    kept = merges.dedup_last_write(frame, ["key"], ["event_id"])
+    assert as_rows(kept, "key", "event_id", "user_id") == [(1, 4, 20), (2, 1, None), (3, None, 40)]
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "Sort" not in text
+
+
 def test_hot_key_dedup(spark):
     n = F.col("id")
     log = spark.range(100_000).select(

@@ -28,4 +28,7 @@ def test_samples_repeat(spark):
 
 def test_freshness(make_log):
     log = make_log({"timestamp_seconds": 7300}, {"action": "comments", "timestamp_seconds": 9000})
-    assert as_rows(quality.freshness(log, rollups.video_hour(log))) == [(9000, 7200, 1800)]
+    silver = rollups.video_hour(log)
+    assert as_rows(quality.freshness(log, silver)) == [(7300, 7200, 0)]
+    more = log.unionByName(make_log({"timestamp_seconds": 15_000}))
+    assert as_rows(quality.freshness(more, silver)) == [(15_000, 7200, 7200)]

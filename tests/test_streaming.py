@@ -154,6 +154,32 @@ def test_hourly_window_closes_with_the_watermark(spark, tmp_path):
     assert as_rows(found) == [(11, 0, 1, 1, 0), (12, hour, 1, 0, 0)]
 
 
+def test_hourly_window_loses_nothing_without_watermark(spark, tmp_path):
+    hour = 3600
+    files = [
+        [("first_views", 11, 5 * hour), ("likes", 11, 6)],
+        [("views", 11, 40 * hour)],
+        [("first_views", 11, 7), ("likes", 12, hour)],
+    ]
+    stream = event_files(spark, f"{tmp_path}/in", *files)
+    windows.start_hourly_window(
+        stream, "video_id", f"{tmp_path}/out", f"{tmp_path}/ck"
+    ).awaitTermination()
+    found = windows.hourly_rows(spark, f"{tmp_path}/out", "video_id")
+    assert as_rows(found, "video_id", "hour_timestamp", "views_count", "likes_count", "minutes_count") == [
+        (11, 0, 1, 1, 0), (11, 40 * hour, 0, 0, 1), (11, 5 * hour, 1, 0, 0), (12, hour, 0, 1, 0),
+    ]
+
+
+def test_hourly_window_is_the_same_for_any_file_limit(spark, sf_dir, tmp_path):
+    from reelmetrics.plans.registry import hourly_windows
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    found = [as_rows(hourly_windows(spark, str(tmp_path), limit)) for limit in (1, 3, 1000)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 500
+
+
 def test_dedup_stream_keeps_the_first(spark, tmp_path):
     stream = event_files(
         spark,
