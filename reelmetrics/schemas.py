@@ -142,12 +142,3 @@ GOLD = {
         TableSpec("comments", (_VIDEO,), ("comments_count", "positive_count")),
     )
 }
-
-CHANNELS_DIM = _struct(("id", INT), ("owner_id", INT), ("creation_date", LONG))
-VIDEOS_DIM = _struct(
-    ("id", INT),
-    ("channel_id", INT),
-    ("creation_date", LONG),
-    ("category", STRING),
-    ("duration_minutes", INT),
-)
