@@ -65,7 +65,7 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
             "parity": pd.Series(parities, dtype=object),
         })
 
-    return saved(with_long_id(mapped(source, "doc_id string, key long, n int, prefix array<long>, parity array<long>", rows)))
+    return saved(with_long_id(mapped(source, "doc_id string, key long, n long, prefix array<long>, parity array<long>", rows)))
 
 
 def may_link(threshold: int):
@@ -106,7 +106,7 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
         wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
         content = contents(docs, wanted, width)
         a, b = (content.select(F.col("key").alias(s), F.col("own").alias(f"own_{s}")) for s in "ab")
-        both = F.size(F.array_intersect("own_a", "own_b"))
+        both = F.size(F.array_intersect("own_a", "own_b")).cast("long")
         union = F.size("own_a") + F.size("own_b") - both
         return saved(pairs.join(a, "a").join(b, "b").where(both * 100 >= union * threshold).select("a", "b"))
 

@@ -37,7 +37,7 @@ class PrefixTrie:
     then fewer tokens. Past `limit` nodes the trie starts anew, which bounds memory and changes no count.
     """
 
-    def __init__(self, scores: dict[str, float], limit: int = 1_000_000) -> None:
+    def __init__(self, scores: dict[str, float], limit: int = 400_000) -> None:
         self.scores, self.limit = scores, limit
         self.unknown = min(scores.values(), default=0.0) - 10
         # Every ending of a piece, with the piece's score if it is one: a search backwards stops at the first other.
