@@ -287,7 +287,7 @@ LEFT JOIN part ON p_partkey = a.video_id""",
     "videos_dim": _with(
         f"""SELECT DISTINCT video_id AS id, CAST(p_partkey // 10 AS INTEGER) AS channel_id,
   p_partkey * {DAY} AS creation_date, p_type AS category, p_size AS duration_minutes
-FROM actions JOIN part ON p_partkey = video_id WHERE {_COUNTED}"""
+FROM actions JOIN part ON p_partkey = video_id WHERE action <> 'comments'"""
     ),
     "channels_dim": _with(
         "SELECT DISTINCT channel_id AS id, CAST(NULL AS INTEGER) AS owner_id, "

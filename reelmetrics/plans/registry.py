@@ -87,8 +87,10 @@ QUERIES["dedup_country_key"] = _dedup("country", COUNTED)
 
 @query
 def videos_dim(spark, sf):
-    # Comments carry no video attributes, and subscriptions keep no video id.
-    return dims.videos_dim(wire.parse_actions(testbed.wire_messages(spark, sf, kinds=COUNTED)))
+    # Comments carry no video attributes.
+    return dims.videos_dim(
+        wire.video_versions(testbed.wire_messages(spark, sf, kinds=CHANNEL_COUNTED))
+    )
 
 
 @query

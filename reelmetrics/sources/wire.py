@@ -57,11 +57,15 @@ def read_actions_stream(
     return raw.select(F.lit(topic).alias("topic"), F.col("value").cast("string").alias("value"))
 
 
+_VERSION_FIELDS = ("timestamp", "video_id", "video_object")
+
+
 def decode(raw: DataFrame) -> DataFrame:
     """Add the struct ``message`` and the flag ``malformed`` to ``(topic, value)``.
 
     A row is malformed if the text is not JSON, a field has the wrong type, a
-    field its topic needs is missing, or the topic is unknown.
+    field its topic needs is missing (country and age too: they are rollup keys), or
+    the topic is unknown.
     """
     corrupt = T.StructField("_corrupt", T.StringType())
     schema = T.StructType([*WIRE_ANY.fields, corrupt])
@@ -76,6 +80,8 @@ def decode(raw: DataFrame) -> DataFrame:
         & message["_corrupt"].isNull()
         & message["timestamp"].isNotNull()
         & message["channel_id"].isNotNull()
+        & message["user_country"].isNotNull()
+        & message["user_age"].isNotNull()
         & ((F.col("topic") == "subscribes") | message["video_id"].isNotNull())
         & (~F.col("topic").isin("views", "likes") | message["seconds_offset"].isNotNull())
         & ((F.col("topic") != "comments") | message["comment"].isNotNull())
@@ -116,6 +122,21 @@ def parse_actions(raw: DataFrame) -> DataFrame:
     )
 
 
+def video_versions(raw: DataFrame) -> DataFrame:
+    """``(video_id, timestamp_seconds, video_object)`` of every message that describes a video.
+
+    Subscriptions describe one too, although the log keeps no video of theirs. Only these
+    fields are parsed; messages without a video, object or time tell nothing.
+    """
+    schema = T.StructType([f for f in WIRE_ANY.fields if f.name in _VERSION_FIELDS])
+    parsed = raw.where(F.col("topic").isin(*TOPICS)).select(
+        F.explode(F.array(F.from_json("value", schema))).alias("message")
+    )
+    return parsed.select(
+        "message.video_id", F.col("message.timestamp").alias("timestamp_seconds"), "message.video_object"
+    ).dropna()
+
+
 def with_times(actions: DataFrame) -> DataFrame:
     """Event time from the message, ingest time from the running batch."""
     seconds = F.col("timestamp_seconds")

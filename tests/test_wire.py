@@ -83,6 +83,8 @@ def test_malformed_messages_are_set_apart(raw):
         message("first_views", video_id=...),
         message("comments", comment=...),
         message("first_views", channel_id=None),
+        message("likes", user_country=...),
+        message("views", user_age=None),
         ("shares", message("likes")[1]),
     ]
     good, rejected = wire.quarantine(raw(message("subscribes", video_id=...), *bad))
@@ -104,6 +106,17 @@ def test_videos_and_channels_from_messages(raw):
     assert as_rows(dims.channels_dim(parsed), "id") == [(1,), (4,)]
 
 
+def test_subscriptions_describe_videos(raw):
+    newer = {**VIDEO, "category": "Horror"}
+    given = raw(
+        message("views"),
+        message("subscribes", timestamp=BASE["timestamp"] + 5, video_object=newer),
+        message("comments"),
+        ("likes", "{not json"),
+    )
+    assert as_rows(dims.videos_dim(wire.video_versions(given))) == [(12, 1, 7, "Horror", 2)]
+
+
 def test_clean_comment(spark):
     frame = spark.createDataFrame([("it's \"so\" good",), ("",), (None,)], "c string")
     assert as_rows(frame.select(clean_comment(frame.c))) == [
