@@ -185,7 +185,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
         F.max("coverage").alias("coverage"),
     ).withColumnRenamed("doc_id", "_id")
     own = docs.drop("contaminated", "n_items", "items", "coverage", "_id")
-    joined = own.join(saved(found), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    joined = own.join(saved(found).hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
     return joined.select(
         *[own[name] for name in own.columns],
         F.col("n_items").isNotNull().alias("contaminated"),

@@ -125,10 +125,11 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
 
     Documents without n-grams stay. A group of documents that all lack an id keeps them but for equal rows.
     """
-    groups = jaccard_groups(docs, width, threshold)
+    groups = saved(jaccard_groups(docs, width, threshold))
     kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(saved(kept), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return named.dropDuplicates(["doc_id", "text"])
+    named = docs.join(saved(kept).hint("merge"), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    repeated = groups.groupBy("doc_id").count().where("count > 1")
+    return named if repeated.isEmpty() else named.dropDuplicates(["doc_id", "text"])
 
 
 def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
