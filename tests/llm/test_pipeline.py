@@ -10,12 +10,12 @@ from test_joins import brute_jaccard, brute_lines
 
 def test_stages(spark, tmp_path):
     words = "the of and to in a is that for it as was with be by on not he this are from at".split()
-    text = lambda seed: " ".join(words[(i * i + seed * i) % len(words)] + str("") for i in range(40))
+    text = lambda seed: " ".join(words[(i * i + seed * i) % len(words)] for i in range(40))
     item = "A train leaves the old station with 120 people and after 35 minutes it has gone 40 km along the coast without a stop."
     rows = [(i, text(i)) for i in range(8)]
     rows += [(20, text(3)), (21, text(4) + " more words"), (22, "12 34 !!"), (23, None), (24, "日本語の文書"), (25, f"see. {item}"), (26, "")]
     rows += [(27, text(5) + "\n" + "A line of its own that stands in no other text at all")]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame([(i, t, None if i == 24 else "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     sf_dir = str(tmp_path)
     docs.write.parquet(f"{sf_dir}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
