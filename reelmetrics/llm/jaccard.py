@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +16,20 @@ from .components import linked_groups
 
 #: Words of the parity sketch that bounds how far two sets differ (the suffix filter), 64 bits each.
 SKETCH_WORDS = 4
+#: Parts a set is cut into by hash; their sizes bound the difference of long sets.
+PARTS = 128
 
 
 def set_key(values: np.ndarray) -> int:
     """64-bit name of a whole set, signed."""
-    import xxhash
-
     return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).astype(np.int64))
 
 
+def text_key(text: str) -> int:
+    """64-bit name of a text, signed."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))).astype(np.int64))
+
+
 def parity(values: np.ndarray) -> np.ndarray:
     """Bit i: whether an odd number of the set's elements falls on i. Two sets differ in at least as many elements as
     their parities differ in bits."""
@@ -54,18 +60,19 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
         for text in frame["text"]:
             own = shingles(text, width)
             if not len(own):
-                out.append((pd.NA, 0, None, None))
+                out.append((pd.NA, 0, None, None, None, 0))
                 continue
             order = np.lexsort((own, classes[(own & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)]))
             first = own[order[: prefix_length(len(own), threshold)]].view(np.int64)
-            out.append((set_key(own), len(own), first, parity(own)))
-        keys, sizes, prefixes, parities = zip(*out) if out else ([], [], [], [])
+            parts = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=PARTS)
+            out.append((set_key(own), len(own), first, parity(own), parts, text_key(text)))
+        keys, sizes, prefixes, parities, parts, texts = zip(*out) if out else ([], [], [], [], [], [])
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "key": pd.array(keys, "Int64"), "n": sizes, "prefix": pd.Series(prefixes, dtype=object),
-            "parity": pd.Series(parities, dtype=object),
+            "parity": pd.Series(parities, dtype=object), "parts": pd.Series(parts, dtype=object), "source": texts,
         })
 
-    return saved(with_long_id(mapped(source, "doc_id string, key long, n long, prefix array<long>, parity array<long>", rows)))
+    return saved(with_long_id(mapped(source, "doc_id string, key long, n long, prefix array<long>, parity array<long>, parts array<int>, source long", rows)))
 
 
 def may_link(threshold: int):
@@ -96,15 +103,21 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
     """
     rows = described(docs, width, threshold)
     sets = saved(rows.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min("source").alias("source"),
+        F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("parts").alias("parts")
     ))
     buckets = sets.select(F.col("key").alias("node"), F.posexplode("prefix").alias("at", "key"))
     attributes = sets.select(F.col("key").alias("node"), "n", *[F.col("parity")[i].alias(f"p{i}") for i in range(SKETCH_WORDS)])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """The exact overlap of the candidate pairs."""
-        wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-        content = contents(docs, wanted, width)
+        """Pairs whose parts differ too much go; the exact overlap decides on the others."""
+        a, b = (sets.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("parts").alias(f"parts_{s}")).hint("merge") for s in "ab")
+        differ = F.aggregate(F.zip_with("parts_a", "parts_b", lambda p, q: F.abs(p - q).cast("long")), F.lit(0).cast("long"), lambda s, v: s + v)
+        close = differ * (100 + threshold) <= (100 - threshold) * (F.col("n_a") + F.col("n_b"))
+        pairs = saved(pairs.join(a, "a").join(b, "b").where(close).select("a", "b"))
+        named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        wanted = saved(named.join(sets.select("key", "source"), "key"))
+        content = contents(docs, wanted, width).hint("merge")
         a, b = (content.select(F.col("key").alias(s), F.col("own").alias(f"own_{s}")) for s in "ab")
         both = F.size(F.array_intersect("own_a", "own_b")).cast("long")
         union = F.size("own_a") + F.size("own_b") - both
@@ -133,21 +146,21 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
 
 
 def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """key, own (n-grams) of the wanted sets, once each, from the texts.
+    """key, own (n-grams) of the wanted sets (key, and source: the name of a text that has it), once each.
 
-    A bit map of fixed size lets tasks pass over sets that are surely not wanted; the join decides.
+    A bit map of fixed size lets tasks pass over texts that are surely not wanted; the join decides.
     """
-    bits = membership_map(wanted, "key")
+    bits = membership_map(wanted, "source")
 
     def rows(frame: pd.DataFrame) -> pd.DataFrame:
         out = {}
-        for text in frame["text"]:
+        texts = [text for text in frame["text"] if text]
+        hit = in_map(np.array([text_key(text) for text in texts], np.int64).view(np.uint64), bits)
+        for text in (texts[i] for i in np.flatnonzero(hit)):
             own = shingles(text, width)
             if len(own):
-                key = set_key(own)
-                if key not in out and in_map(np.array([key], np.int64).view(np.uint64), bits)[0]:
-                    out[key] = own.view(np.int64)
+                out[set_key(own)] = own.view(np.int64)
         return pd.DataFrame({"key": list(out), "own": pd.Series(list(out.values()), dtype=object)})
 
     found = mapped(docs.select("text"), "key long, own array<long>", rows)
-    return saved(found.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    return saved(found.join(wanted.select("key").hint("merge"), "key", "left_semi").dropDuplicates(["key"]))
