@@ -64,12 +64,16 @@ class Powers:
         return cls.up, cls.down
 
 
-def part_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+class Runs:
     """Hashes of the runs [start, end) of a sequence of 64-bit values, equal wherever equal runs stand."""
-    up, down = Powers.to(len(values))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * down[starts]
+
+    def __init__(self, values: np.ndarray) -> None:
+        up, self.down = Powers.to(len(values))
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.sums[ends] - self.sums[starts]) * self.down[starts]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -91,7 +95,7 @@ def word_hashes(text: str | None) -> np.ndarray:
     data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
     edge = np.diff(SPACES[data].view(np.int8), prepend=1, append=1)
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return mix(part_hashes(BYTES[data], starts, ends) ^ (ends - starts).astype(np.uint64))
+    return mix(Runs(BYTES[data]).hashes(starts, ends) ^ (ends - starts).astype(np.uint64))
 
 
 def windows(ids: np.ndarray, width: int) -> np.ndarray:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, in_map, mapped, membership_map, mix, part_hashes, saved, texts_with_id, windows, with_long_id
+from .common import Powers, Runs, in_map, mapped, membership_map, mix, saved, texts_with_id, windows, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
@@ -37,7 +37,7 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
     Lines that share no key differ by more than `edits`. A probe outside the line repeats the line's first key.
     """
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    values = mix((points + np.uint64(1)) * np.uint64(Powers.base))
+    runs = Runs(mix((points + np.uint64(1)) * np.uint64(Powers.base)))
     length = np.array([len(line) for line in lines], np.int64)
     start = np.cumsum(length) - length
     columns = []
@@ -50,7 +50,7 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
         inside = (at >= 0) & (at + width <= length) & (width > 0)
         a = np.where(inside, start + at, 0)
         b = np.where(inside, a + width, 0)
-        key = mix(part_hashes(values, a, b) ^ mix(of.astype(np.uint64) * np.uint64(64) + np.uint64(segment)))
+        key = mix(runs.hashes(a, b) ^ mix(of.astype(np.uint64) * np.uint64(64) + np.uint64(segment)))
         columns.append(np.where(inside, key, columns[0]) if columns else key)
     return np.column_stack(columns).view(np.int64)
 
