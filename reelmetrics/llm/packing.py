@@ -26,7 +26,8 @@ class TokenBytes:
     """Ids of a byte-pair vocabulary as little-endian 32-bit words.
 
     The ids are those of the tokenizers library, computed by a faster encoder of the same merges; a text that holds
-    one of the vocabulary's added tokens goes to the library itself.
+    one of the vocabulary's added tokens goes to the library itself, and so does a text the faster one gives up on
+    (its pattern runs out of stack in about a million blanks in a row).
     """
 
     def __init__(self, tokenizer_path: str) -> None:
@@ -47,9 +48,12 @@ class TokenBytes:
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(token in text for token in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
+        if not any(token in text for token in self.special):
+            try:
+                return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
+            except ValueError:
+                pass
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 class Window:

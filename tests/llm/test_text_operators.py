@@ -128,6 +128,18 @@ def test_fast_ids_equal_the_library():
         assert np.frombuffer(own.of(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_blank_runs_have_the_library_s_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), packing.TokenBytes(path)
+    texts = [" " * 1_500_000, "a" + "\n" * 1_500_000 + "b", "x" + " \n\t" * 400_000]
+    for text in texts:
+        assert np.frombuffer(own.of(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    docs = [(i, text) for i, text in enumerate([*texts, "short"])]
+    check_packing(packing.packed(spark.createDataFrame(docs, "doc_id long, text string"), path).collect(), docs)
+
+
 # Language
 
 
