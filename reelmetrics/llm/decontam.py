@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_map, mapped, membership_map, saved, texts_with_id, windows, with_long_id
+from .common import in_map, mapped, membership_map, named_texts, saved, text_name, windows, with_long_id
 
 #: Words of a window, words of it that must be no placeholder, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
@@ -122,12 +122,13 @@ def slots_of(kinds: np.ndarray, numbers: np.ndarray, start: int, width: int) ->
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, item_id, coverage of leaked items: at least that share of the item's windows stands in the text.
+    """doc_id, name, item_id, coverage of leaked items: at least that share of the item's windows stands in the text.
 
     Windows that match at one distance between item and text are one alignment; it counts only if its slots map one
     to one (a new value always stands for the same old one), so changed numbers, names and units are caught and
     mere look-alikes are not. Items shorter than a window are one window of their own length; texts are searched
-    for every such length. Items without words or id leak nowhere. Rows with one doc_id are judged together.
+    for every such length. Items without words or id leak nowhere. Rows with one id, or none, and different texts are told apart by
+    the name of the text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
 
@@ -146,31 +147,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
 
     def doc_rows(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc, text in zip(frame["doc_id"], frame["text"]):
+        for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
             kinds, hashes, numbers = canonical(text)
             for own in widths:
                 if len(kinds) < own:
                     continue
                 at, found = template_windows(kinds, hashes, own, literals)
                 hit = in_map(found, bits)
-                out += [(doc, own, int(i), int(h), slots_of(kinds, numbers, i, own)) for i, h in zip(at[hit], found[hit].view(np.int64))]
-        return pd.DataFrame(out, columns=["doc_id", "width", "place", "hash", "values"])
+                out += [(doc, name, own, int(i), int(h), slots_of(kinds, numbers, i, own)) for i, h in zip(at[hit], found[hit].view(np.int64))]
+        return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
 
-    source = texts_with_id(docs).where("text is not null")
-    found = mapped(source, "doc_id string, width int, place int, hash long, values array<string>", doc_rows)
+    source = named_texts(docs).where("text is not null")
+    found = mapped(source, "doc_id string, name long, width int, place int, hash long, values array<string>", doc_rows)
     matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size("values"))
     matched = saved(matched.select(
-        "doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", "n_windows", F.arrays_zip("slots", "values").alias("pairs")
+        "doc_id", "name", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", "n_windows", F.arrays_zip("slots", "values").alias("pairs")
     ))
-    key = ["doc_id", "item_id", "shift"]
+    key = ["doc_id", "name", "item_id", "shift"]
     slots = matched.select(*key, F.explode("pairs").alias("pair")).select(*key, "pair.slots", "pair.values").distinct()
     torn = slots.groupBy(*key).agg(
         F.count("*").alias("n"), F.countDistinct("slots").alias("n_slots"), F.countDistinct("values").alias("n_values")
-    ).where("n <> n_slots or n <> n_values").select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"))
-    same = (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("item_id") == F.col("_item")) & (F.col("shift") == F.col("_shift"))
+    ).where("n <> n_slots or n <> n_values").select(F.col("doc_id").alias("_doc"), F.col("name").alias("_name"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("name") == F.col("_name")) & (F.col("item_id") == F.col("_item")) & (F.col("shift") == F.col("_shift"))
     whole = matched.join(saved(torn), same, "left_anti")
-    places = whole.select("doc_id", "item_id", "n_windows", "at").distinct()
-    shares = places.groupBy("doc_id", "item_id").agg((F.count("*") / F.max("n_windows")).alias("coverage"))
+    places = whole.select("doc_id", "name", "item_id", "n_windows", "at").distinct()
+    shares = places.groupBy("doc_id", "name", "item_id").agg((F.count("*") / F.max("n_windows")).alias("coverage"))
     return saved(shares.where(F.col("coverage") >= coverage))
 
 
@@ -179,13 +180,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
 
     Null and empty texts are clean. Columns of those names are replaced.
     """
-    found = leaks(docs, benchmark, **settings).groupBy("doc_id").agg(
+    found = leaks(docs, benchmark, **settings).groupBy("doc_id", "name").agg(
         F.count("*").alias("n_items"),
         F.array_join(F.transform(F.array_sort(F.collect_set("item_id")), lambda x: x.cast("string")), ",").alias("items"),
         F.max("coverage").alias("coverage"),
-    ).withColumnRenamed("doc_id", "_id")
-    own = docs.drop("contaminated", "n_items", "items", "coverage", "_id")
-    joined = own.join(saved(found).hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    ).withColumnsRenamed({"doc_id": "_id", "name": "_name"})
+    own = docs.drop("contaminated", "n_items", "items", "coverage", "_id", "_name")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_name() == F.col("_name"))
+    joined = own.join(saved(found).hint("merge"), same, "left")
     return joined.select(
         *[own[name] for name in own.columns],
         F.col("n_items").isNotNull().alias("contaminated"),

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, saved, shingles, texts_with_id, with_long_id
+from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, named_texts, saved, shingles, text_name, with_long_id
 from .components import linked_groups
 
 #: Words of the parity sketch that bounds how far two sets differ (the suffix filter), 64 bits each.
@@ -25,11 +25,6 @@ def set_key(values: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).astype(np.int64))
 
 
-def text_key(text: str) -> int:
-    """64-bit name of a text, signed."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))).astype(np.int64))
-
-
 def parity(values: np.ndarray) -> np.ndarray:
     """Bit i: whether an odd number of the set's elements falls on i. Two sets differ in at least as many elements as
     their parities differ in bits."""
@@ -43,12 +38,12 @@ def prefix_length(n: int, threshold: int) -> int:
 
 
 def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """doc_id, key, n, prefix (rare first) and parity of every row; null key for texts without words.
+    """doc_id, name, key, n, prefix (rare first) and parity of every row; null key for texts without words.
 
     Rare first: by the class of an n-gram's count over all rows (a sketch of fixed size), then by its hash. Any
     fixed order gives whole results; the classes keep frequent n-grams out of the prefixes.
     """
-    source = texts_with_id(docs)
+    source = named_texts(docs)
 
     def hashes(frame: pd.DataFrame) -> Iterator[np.ndarray]:
         return (shingles(text, width) for text in frame["text"])
@@ -60,19 +55,19 @@ def described(docs: DataFrame, width: int, threshold: int) -> DataFrame:
         for text in frame["text"]:
             own = shingles(text, width)
             if not len(own):
-                out.append((pd.NA, 0, None, None, None, 0))
+                out.append((pd.NA, 0, None, None, None))
                 continue
             order = np.lexsort((own, classes[(own & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)]))
             first = own[order[: prefix_length(len(own), threshold)]].view(np.int64)
             parts = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=PARTS)
-            out.append((set_key(own), len(own), first, parity(own), parts, text_key(text)))
-        keys, sizes, prefixes, parities, parts, texts = zip(*out) if out else ([], [], [], [], [], [])
+            out.append((set_key(own), len(own), first, parity(own), parts))
+        keys, sizes, prefixes, parities, parts = zip(*out) if out else ([], [], [], [], [])
         return pd.DataFrame({
-            "doc_id": frame["doc_id"].to_numpy(), "key": pd.array(keys, "Int64"), "n": sizes, "prefix": pd.Series(prefixes, dtype=object),
-            "parity": pd.Series(parities, dtype=object), "parts": pd.Series(parts, dtype=object), "source": texts,
+            "doc_id": frame["doc_id"].to_numpy(), "name": frame["name"].to_numpy(), "key": pd.array(keys, "Int64"), "n": sizes, "prefix": pd.Series(prefixes, dtype=object),
+            "parity": pd.Series(parities, dtype=object), "parts": pd.Series(parts, dtype=object),
         })
 
-    return saved(with_long_id(mapped(source, "doc_id string, key long, n long, prefix array<long>, parity array<long>, parts array<int>, source long", rows)))
+    return saved(with_long_id(mapped(source, "doc_id string, name long, key long, n long, prefix array<long>, parity array<long>, parts array<int>", rows)))
 
 
 def may_link(threshold: int):
@@ -94,7 +89,12 @@ def may_link(threshold: int):
 
 
 def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: groups of documents linked by Jaccard similarity of their word
+    """doc_id, n_shingles, component_id of every row; see grouped_rows."""
+    return grouped_rows(docs, width, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped_rows(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """doc_id, name, n_shingles, component (null without n-grams), component_id of every row: groups of documents linked by Jaccard similarity of their word
     n-gram sets, at least `threshold` percent.
 
     Words are runs without ASCII white space, A-Z lower-cased; a text with fewer words than `width` is one n-gram. Null
@@ -103,7 +103,7 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
     """
     rows = described(docs, width, threshold)
     sets = saved(rows.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min("source").alias("source"),
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min("name").alias("source"),
         F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("parts").alias("parts")
     ))
     buckets = sets.select(F.col("key").alias("node"), F.posexplode("prefix").alias("at", "key"))
@@ -127,21 +127,26 @@ def jaccard_groups(docs: DataFrame, width: int = 3, threshold: int = 90) -> Data
     placed = sets.select("key", "first").join(groups.withColumnRenamed("node", "key"), "key", "left")
     placed = saved(placed.withColumn("component", F.coalesce("component", "key")))
     least = saved(placed.groupBy("component").agg(F.min("first").alias("component_id")))
-    named = placed.join(least, "component").select("key", "component_id")
+    named = placed.join(least, "component").select("key", "component", "component_id")
     return rows.join(named, "key", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "name", F.col("n").cast("long").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """The input with the document of least id of every group of jaccard_groups; equal rows stay once.
+    """The input with one document of every group of jaccard_groups, the first by (doc_id, name of the text) with null
+    ids last; equal rows stay once.
 
-    Documents without n-grams stay. A group of documents that all lack an id keeps them but for equal rows.
+    Documents without n-grams stay. Rows with one id, or none, and different texts are different documents.
     """
-    groups = saved(jaccard_groups(docs, width, threshold))
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(saved(kept).hint("merge"), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = groups.groupBy("doc_id").count().where("count > 1")
+    groups = saved(grouped_rows(docs, width, threshold))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "name")
+    firsts = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("first"))
+    alone = groups.where("component is null").select("doc_id", "name").distinct()
+    kept = firsts.select("first.doc_id", "first.name").unionByName(alone).select(F.col("doc_id").alias("_kept"), F.col("name").alias("_name"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")) & (text_name() == F.col("_name"))
+    named = docs.join(saved(kept).hint("merge"), same, "left_semi")
+    repeated = groups.groupBy("doc_id", "name").count().where("count > 1")
     return named if repeated.isEmpty() else named.dropDuplicates(["doc_id", "text"])
 
 
@@ -154,13 +159,13 @@ def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def rows(frame: pd.DataFrame) -> pd.DataFrame:
         out = {}
-        texts = [text for text in frame["text"] if text]
-        hit = in_map(np.array([text_key(text) for text in texts], np.int64).view(np.uint64), bits)
+        texts = frame["text"].tolist()
+        hit = in_map(frame["name"].to_numpy(np.int64).view(np.uint64), bits)
         for text in (texts[i] for i in np.flatnonzero(hit)):
             own = shingles(text, width)
             if len(own):
                 out[set_key(own)] = own.view(np.int64)
         return pd.DataFrame({"key": list(out), "own": pd.Series(list(out.values()), dtype=object)})
 
-    found = mapped(docs.select("text"), "key long, own array<long>", rows)
+    found = mapped(docs.select("text", text_name().alias("name")), "key long, own array<long>", rows)
     return saved(found.join(wanted.select("key").hint("merge"), "key", "left_semi").dropDuplicates(["key"]))

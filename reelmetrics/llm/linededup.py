@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Runs, in_map, mapped, membership_map, mix, saved, texts_with_id, windows, with_long_id
+from .common import Powers, Runs, in_map, mapped, membership_map, mix, named_texts, saved, text_name, windows, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
@@ -163,16 +163,17 @@ def chunks(frame: pd.DataFrame):
 
 
 def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, dropped (line numbers): the lines that repeat an earlier one, for documents that have any.
+    """doc_id, name, dropped (line numbers): the lines that repeat an earlier one, for documents that have any.
 
     Equal lines form a group, and so do lines of at least `least_chars` characters linked by at most `edits`
     edits, directly or over others. The line first by (doc_id, line number) stays. Blank lines are never touched.
-    Ids that are null come last; rows with one id count as one document, so each keeps the lines that come first.
+    Ids that are null come last. Rows with one id, or none, and different texts are different documents, told apart by
+    the name of the text, which also breaks ties; equal rows count as one, so each keeps the lines that come first.
     """
-    source = texts_with_id(docs).where("text is not null")
+    source = named_texts(docs).where("text is not null")
 
     def named(frame: pd.DataFrame) -> pd.DataFrame:
-        ids = frame["doc_id"].to_numpy()
+        ids, names = frame["doc_id"].to_numpy(), frame["name"].to_numpy()
         parts = []
         for at, number, lines in chunks(frame):
             keys = [None] * len(lines)
@@ -181,11 +182,11 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
                 for i, row in zip(long_, segment_keys([lines[i] for i in long_], edits)):
                     keys[i] = row
             parts.append(pd.DataFrame({
-                "doc_id": ids[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
+                "doc_id": ids[at], "name": names[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
             }))
-        return pd.concat(parts) if parts else pd.DataFrame([], columns=["doc_id", "line", "node", "keys"])
+        return pd.concat(parts) if parts else pd.DataFrame([], columns=["doc_id", "name", "line", "node", "keys"])
 
-    lines = saved(with_long_id(mapped(source, "doc_id string, line int, node long, keys array<long>", named)))
+    lines = saved(with_long_id(mapped(source, "doc_id string, name long, line int, node long, keys array<long>", named)))
     entries = lines.where("keys is not null").select(F.explode("keys").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = saved(shared.where("low <> high").select("key"))
@@ -218,13 +219,13 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
 
     groups = linked_groups(entries, attributes, may_be_near(edits), verify)
 
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "name")
     firsts = saved(lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(groups, "node", "left"))
     grouped = firsts.withColumn("component", F.coalesce("component", "node"))
     best = saved(grouped.groupBy("component").agg(F.min("first").alias("best"), F.sum("n").alias("n")).where("n > 1"))
     repeated = saved(grouped.select("node", "component").join(best, "component").select("node", "best"))
-    again = lines.select("doc_id", "line", "node", place.alias("place")).join(repeated, "node").where("place <> best")
-    return saved(again.groupBy("doc_id").agg(F.collect_set("line").alias("dropped")))
+    again = lines.select("doc_id", "name", "line", "node", place.alias("place")).join(repeated, "node").where(~F.col("place").eqNullSafe(F.col("best")))
+    return saved(again.groupBy("doc_id", "name").agg(F.collect_set("line").alias("dropped")))
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -232,9 +233,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
 
     Null and empty texts stay as they are with 0 lines. Other columns stay; columns of the two names are replaced.
     """
-    dropped = kept_first(docs, edits, least_chars).select(F.col("doc_id").alias("_id"), "dropped")
-    own = docs.drop("n_lines", "n_removed", "_id", "dropped")
-    joined = own.join(dropped.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    dropped = kept_first(docs, edits, least_chars).select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "dropped")
+    own = docs.drop("n_lines", "n_removed", "_id", "_name", "dropped")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_name() == F.col("_name"))
+    joined = own.join(dropped.hint("merge"), same, "left")
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
     some = F.size(F.filter(lines, lambda x: F.length(F.trim(x)) > 0))

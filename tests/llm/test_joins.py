@@ -300,6 +300,42 @@ def test_verbatim_items_are_found(spark):
     assert found == {row[0] for row in exact}
 
 
+# Rows without an id, or with one id and different texts
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_lines_of_rows_with_one_id(spark, key):
+    same = "a line that stands in several of these texts"
+    texts = [f"{same}\nfirst text only, its own second line", f"second text only, its own first line\n{same}\nlast", same, f"x\n{same}\nunlike all others, in the last place"]
+    frame = spark.createDataFrame([(key, t) for t in texts], "doc_id long, text string")
+    rows = linededup.dedup_lines(frame).collect()
+    lines = [line for r in rows for line in r["text"].split("\n") if line]
+    assert sorted(lines) == sorted({line for t in texts for line in t.split("\n")})
+    assert sum(r["n_removed"] for r in rows) == 3 and sum(r["n_lines"] for r in rows) == 9
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_near_copies_among_rows_with_one_id(spark, key):
+    words = [f"w{i}" for i in range(80)]
+    near, alone = " ".join(words), " ".join(reversed(words))
+    rows = [(key, near), (key, near + " more"), (key, alone), (key, None), (key, ""), (key, alone)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    texts = [r["text"] for r in kept]
+    assert len(texts) == 4 and {alone, None, ""} < set(texts) and len({near, near + " more"} & set(texts)) == 1
+    rows += [(3, near + " and"), (3, "other words of another text")]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    found = sorted(((r["doc_id"], r["text"]) for r in kept), key=repr)
+    assert found == sorted([(3, near + " and"), (3, rows[-1][1]), (key, alone), (key, None), (key, "")], key=repr)
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_leaks_among_rows_with_one_id(spark, key):
+    rows = [(key, f"See. {ITEMS[0][1]}"), (key, "A clean text of some words."), (key, None), (key, f"Also. {ITEMS[4][1]}")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontam.decontaminate(docs, bench).collect()
+    assert [next(r["items"] for r in found if r["text"] == t) for _, t in rows] == ["1", "", "", "5"]
+
+
 # Registered twins
 
 
