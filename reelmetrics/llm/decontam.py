@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -65,7 +67,7 @@ class Chunks(dict):
             kind,
             chunk.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", ";"),
             len(core) > 1 and core[0].isupper() and core[1:].islower(),
-            xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) if kind == WORD else 0,
+            xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")),
         )
         return number
 
@@ -73,31 +75,48 @@ class Chunks(dict):
         rows = self.table[at]
         return rows["kind"], rows["end"], rows["capital"], rows["hash"]
 
-    def numbers(self, text: str) -> np.ndarray:
+    def numbers(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks' numbers, and which chunks come first in a line."""
         if len(self) > self.LIMIT:
             self.clear()
             self.__init__()
-        chunks = text.split()
-        return np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
+        lines = [line.split() for line in text.splitlines()]
+        at = np.fromiter(map(self.__getitem__, chain.from_iterable(lines)), np.int64)
+        first = np.zeros(len(at) + 1, bool)
+        first[np.cumsum([0, *map(len, lines)])] = True
+        return at, first[:-1]
 
 
 CHUNKS = Chunks()
 
 
-def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kinds, hashes, numbers in CHUNKS) of a text's words. Numbers, units and names have their kind as hash.
+class Words(NamedTuple):
+    """A text's words: kinds, kinds if line ends do not start sentences, hashes of the words, numbers in CHUNKS, capitals."""
 
-    A name is a capitalised word inside a sentence, or a known given name anywhere. Marks without a letter or digit
+    kinds: np.ndarray
+    running: np.ndarray
+    plain: np.ndarray
+    numbers: np.ndarray
+    capitals: np.ndarray
+
+
+def canonical(text: str | None) -> Words:
+    """A name is a capitalised word inside a sentence, or a known given name anywhere. Marks without a letter or digit
     are no words.
     """
-    at = CHUNKS.numbers(text or "")
+    at, first = CHUNKS.numbers(text or "")
     kinds, ends, capitals, hashes = CHUNKS.columns(at)
     inside = np.zeros(len(at), bool)
     inside[1:] = ~ends[:-1]
-    kinds = np.where((kinds == WORD) & inside & capitals, NAME, kinds)
+    running = np.where((kinds == WORD) & inside & capitals, NAME, kinds)
+    kinds = np.where(first, kinds, running)
     real = kinds >= 0
-    at, kinds, hashes = at[real], kinds[real], hashes[real]
-    return kinds, np.where(kinds == WORD, hashes, kinds.astype(np.uint64)), at
+    return Words(kinds[real], running[real], hashes[real], at[real], capitals[real])
+
+
+def literal_hashes(words: Words, width: int) -> np.ndarray:
+    """Hashes of all windows with placeholders undone, in a range of their own."""
+    return windows(words.plain, width) ^ np.uint64(0x5851F42D4C957F2D)
 
 
 def values_at(at: np.ndarray) -> list[str]:
@@ -105,73 +124,117 @@ def values_at(at: np.ndarray) -> list[str]:
     return [CHUNKS.values[i] for i in at.tolist()]
 
 
-def template_windows(kinds: np.ndarray, hashes: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of windows with enough literal words; a shorter text is one window."""
-    width = min(width, len(kinds))
-    if not width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    plain = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    at = np.flatnonzero(plain[width:] - plain[:-width] >= min(literals, width))
+def template_windows(kinds: np.ndarray, plain: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of windows with enough literal words. Numbers, units and names have their kind as hash."""
+    hashes = np.where(kinds == WORD, plain, kinds.astype(np.uint64))
+    count = np.concatenate([[0], np.cumsum(kinds == WORD)])
+    at = np.flatnonzero(count[width:] - count[:-width] >= min(literals, width))
     return at, windows(hashes, width)[at]
 
 
+def readings(words: Words, width: int, literals: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(kinds, positions, hashes) of the template windows; twice where a line start may or may not start a sentence."""
+    at, hashes = template_windows(words.kinds, words.plain, width, literals)
+    found = [(words.kinds, at, hashes)]
+    moved = np.concatenate([[0], np.cumsum(words.kinds != words.running)])
+    if moved[-1]:
+        at, hashes = template_windows(words.running, words.plain, width, literals)
+        other = moved[at + width] > moved[at]
+        found.append((words.running, at[other], hashes[other]))
+    return found
+
+
 def slots_of(kinds: np.ndarray, numbers: np.ndarray, start: int, width: int) -> list[str]:
     """Values of a window's placeholders, in order."""
     own = slice(start, start + width)
     return values_at(numbers[own][kinds[own] != WORD])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE) -> DataFrame:
+def item_windows(text: str, width: int, literals: int) -> list[tuple]:
+    """(width, at, n_windows, n_words, hash, slots) of an item's windows; slots of literal windows are the item's own.
+
+    The first word of an item is read as a name too. An item without template windows has all its literal ones.
+    """
+    words = canonical(text)
+    n, out = len(words.kinds), []
+    for own in (min(width, n),):
+        if not own:
+            break
+        read = readings(words, own, literals)
+        places = read[0][1]
+        if len(places) and not places[0] and words.kinds[0] == WORD and words.capitals[0]:
+            kinds = words.kinds.copy()
+            kinds[0] = NAME
+            read.append((kinds, places[:1], template_windows(kinds[:own], words.plain[:own], own, 0)[1]))
+        if not len(places):
+            places = np.arange(n - own + 1)
+        read.append((words.kinds, places, literal_hashes(words, own)[places]))
+        for kinds, at, found in read:
+            out += [
+                (own, i, len(places), n, h, slots_of(kinds, words.numbers, i, own))
+                for i, h in zip(at.tolist(), found.view(np.int64).tolist())
+            ]
+    return out
+
+
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE
+) -> DataFrame:
     """doc_id, name, item_id, coverage of leaked items: at least that share of the item's windows stands in the text.
 
-    Windows that match at one distance between item and text are one alignment; it counts only if its slots map one
-    to one (a new value always stands for the same old one), so changed numbers, names and units are caught and
-    mere look-alikes are not. Items shorter than a window are one window of their own length; texts are searched
-    for every such length. Items without words or id leak nowhere. Rows with one id, or none, and different texts are told apart by
-    the name of the text.
+    Windows that match at one distance between item and text are one alignment. Numbers, names and units may be
+    changed, but values must map one to one, else the alignment does not count. Windows match as templates or word by word, whatever starts a sentence. Items shorter than a
+    window are one window of their own length; texts are searched for every such length. Items without words or id
+    leak nowhere. Rows with one id, or none, and different texts are told apart by the name of the text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
 
     def item_rows(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for item, text in zip(frame["item_id"], frame["text"]):
-            kinds, hashes, numbers = canonical(text)
-            own = min(width, len(kinds))
-            at, found = template_windows(kinds, hashes, width, literals)
-            out += [(item, own, int(i), len(at), int(h), slots_of(kinds, numbers, i, own)) for i, h in zip(at, found.view(np.int64))]
-        return pd.DataFrame(out, columns=["item_id", "width", "at", "n_windows", "hash", "slots"])
-
-    known = saved(mapped(items, "item_id long, width int, at int, n_windows int, hash long, slots array<string>", item_rows))
+        out = [(item, *row) for item, text in zip(frame["item_id"], frame["text"]) for row in item_windows(text, width, literals)]
+        return pd.DataFrame(out, columns=["item_id", "width", "at", "n_windows", "n_words", "hash", "slots"])
+
+    known = saved(mapped(items, "item_id long, width int, at int, n_windows int, n_words int, hash long, slots array<string>", item_rows))
     widths = sorted(row["width"] for row in known.select("width").distinct().collect())
     bits = membership_map(known, "hash")
 
     def doc_rows(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
-            kinds, hashes, numbers = canonical(text)
+            words = canonical(text)
             for own in widths:
-                if len(kinds) < own:
+                if len(words.kinds) < own:
                     continue
-                at, found = template_windows(kinds, hashes, own, literals)
-                hit = in_map(found, bits)
-                out += [(doc, name, own, int(i), int(h), slots_of(kinds, numbers, i, own)) for i, h in zip(at[hit], found[hit].view(np.int64))]
+                for kinds, at, found in readings(words, own, literals):
+                    hit = in_map(found, bits)
+                    out += [
+                        (doc, name, own, i, h, slots_of(kinds, words.numbers, i, own))
+                        for i, h in zip(at[hit].tolist(), found[hit].view(np.int64).tolist())
+                    ]
+                found = literal_hashes(words, own)
+                at = np.flatnonzero(in_map(found, bits))
+                out += [(doc, name, own, i, h, None) for i, h in zip(at.tolist(), found[at].view(np.int64).tolist())]
         return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
 
     source = named_texts(docs).where("text is not null")
     found = mapped(source, "doc_id string, name long, width int, place int, hash long, values array<string>", doc_rows)
-    matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size("values"))
+    values = F.coalesce("values", "slots")
+    matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size(values))
     matched = saved(matched.select(
-        "doc_id", "name", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", "n_windows", F.arrays_zip("slots", "values").alias("pairs")
-    ))
+        "doc_id", "name", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", "width", "n_windows", "n_words", "slots",
+        F.arrays_zip("slots", values.alias("values")).alias("pairs"),
+    ).distinct())
     key = ["doc_id", "name", "item_id", "shift"]
     slots = matched.select(*key, F.explode("pairs").alias("pair")).select(*key, "pair.slots", "pair.values").distinct()
     torn = slots.groupBy(*key).agg(
         F.count("*").alias("n"), F.countDistinct("slots").alias("n_slots"), F.countDistinct("values").alias("n_values")
-    ).where("n <> n_slots or n <> n_values").select(F.col("doc_id").alias("_doc"), F.col("name").alias("_name"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"))
+    ).where("n <> n_slots or n <> n_values")
+    torn = torn.select(F.col("doc_id").alias("_doc"), F.col("name").alias("_name"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("name") == F.col("_name")) & (F.col("item_id") == F.col("_item")) & (F.col("shift") == F.col("_shift"))
     whole = matched.join(saved(torn), same, "left_anti")
-    places = whole.select("doc_id", "name", "item_id", "n_windows", "at").distinct()
-    shares = places.groupBy("doc_id", "name", "item_id").agg((F.count("*") / F.max("n_windows")).alias("coverage"))
+    whole = saved(whole.select(*key, "at", "width", "n_windows", "n_words").distinct())
+    own = key[:3]
+    places = whole.select(*own, "n_windows", "at").distinct()
+    shares = places.groupBy(*own).agg((F.count("*") / F.max("n_windows")).alias("coverage"))
     return saved(shares.where(F.col("coverage") >= coverage))
 
 

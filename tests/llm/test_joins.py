@@ -300,6 +300,21 @@ def test_verbatim_items_are_found(spark):
     assert found == {row[0] for row in exact}
 
 
+def found_items(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return [r["items"] for r in sorted(decontam.decontaminate(docs, bench).collect(), key=lambda r: r["doc_id"])]
+
+
+def test_items_with_few_literal_words_and_at_line_starts(spark):
+    items = [(1, "Compute 12 * 7 + 5"), (2, "The Old Man And The Sea"), (3, "What is the boiling point of water"), (4, "Add 12 and 30 twice")]
+    texts = [
+        "Task\nCompute 12 * 7 + 5\nnow", "He read The Old Man and the Sea twice", "Question 5\nWhat is the boiling point of water\nA) 100",
+        "so we ask What is the boiling point of water here", "Add 12 and 30 twice.", "Compute 13 * 7 + 5", "The Old House And The Sea", "What is the boiling point of oil", "",
+    ]
+    assert found_items(spark, items, texts) == ["1", "2", "3", "3", "4", "", "", "", ""]
+
+
 # Rows without an id, or with one id and different texts
 
 
