@@ -183,7 +183,8 @@ def leaks(
     """doc_id, name, item_id, coverage of leaked items: at least that share of the item's windows stands in the text.
 
     Windows that match at one distance between item and text are one alignment. Numbers, names and units may be
-    changed, but values must map one to one, else the alignment does not count. Windows match as templates or word by word, whatever starts a sentence. Items shorter than a
+    changed, but an old value must always have the same new one: windows that hold a value with several new ones do
+    not count. Windows match as templates or word by word, whatever starts a sentence. Items shorter than a
     window are one window of their own length; texts are searched for every such length. Items without words or id
     leak nowhere. Rows with one id, or none, and different texts are told apart by the name of the text.
     """
@@ -225,12 +226,10 @@ def leaks(
     ).distinct())
     key = ["doc_id", "name", "item_id", "shift"]
     slots = matched.select(*key, F.explode("pairs").alias("pair")).select(*key, "pair.slots", "pair.values").distinct()
-    torn = slots.groupBy(*key).agg(
-        F.count("*").alias("n"), F.countDistinct("slots").alias("n_slots"), F.countDistinct("values").alias("n_values")
-    ).where("n <> n_slots or n <> n_values")
-    torn = torn.select(F.col("doc_id").alias("_doc"), F.col("name").alias("_name"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"))
+    torn = slots.groupBy(*key, "slots").count().where("count > 1").groupBy(*key).agg(F.collect_set("slots").alias("torn"))
+    torn = torn.select(F.col("doc_id").alias("_doc"), F.col("name").alias("_name"), F.col("item_id").alias("_item"), F.col("shift").alias("_shift"), "torn")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("name") == F.col("_name")) & (F.col("item_id") == F.col("_item")) & (F.col("shift") == F.col("_shift"))
-    whole = matched.join(saved(torn), same, "left_anti")
+    whole = matched.join(saved(torn), same, "left").where(F.col("torn").isNull() | ~F.arrays_overlap("slots", "torn"))
     whole = saved(whole.select(*key, "at", "width", "n_windows", "n_words").distinct())
     own = key[:3]
     places = whole.select(*own, "n_windows", "at").distinct()

@@ -315,6 +315,13 @@ def test_items_with_few_literal_words_and_at_line_starts(spark):
     assert found_items(spark, items, texts) == ["1", "2", "3", "3", "4", "", "", "", ""]
 
 
+def test_changed_values_of_one_alignment(spark):
+    sums = "Each of the 3 gardeners plants 5 rose bushes near the old wall every single morning before lunch"
+    long_ = "The 14 boats left " + " ".join(f"part{i} goes" for i in range(40)) + " and all 14 came home again in the evening"
+    texts = [sums.replace("3", "4").replace("5", "4"), long_.replace("14", "9", 1), long_.replace("14", "9"), "The 9 boats left and all 14 came home again"]
+    assert found_items(spark, [(1, sums), (2, long_)], texts) == ["1", "2", "2", ""]
+
+
 # Rows without an id, or with one id and different texts
 
 
