@@ -16,6 +16,8 @@ from .common import in_map, mapped, membership_map, named_texts, saved, text_nam
 
 #: Words of a window, words of it that must be no placeholder, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
+#: Words of the shorter windows that stand between changed words, and of a stretch that makes a leak whatever its share.
+SHORT, STRETCH = 6, 14
 WORD, NUMBER, UNIT, NAME = range(4)
 
 #: Words that stand for numbers and units, and given names known at the start of a sentence.
@@ -157,7 +159,7 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
     """
     words = canonical(text)
     n, out = len(words.kinds), []
-    for own in (min(width, n),):
+    for own in dict.fromkeys((min(width, n), SHORT if n >= width else min(width, n))):
         if not own:
             break
         read = readings(words, own, literals)
@@ -166,7 +168,7 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
             kinds = words.kinds.copy()
             kinds[0] = NAME
             read.append((kinds, places[:1], template_windows(kinds[:own], words.plain[:own], own, 0)[1]))
-        if not len(places):
+        if not len(places) and own == min(width, n):
             places = np.arange(n - own + 1)
         read.append((words.kinds, places, literal_hashes(words, own)[places]))
         for kinds, at, found in read:
@@ -177,14 +179,28 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
     return out
 
 
+def longest_stretch(spans):
+    """Words from the first to the last of the longest chain of spans (at, end), in order, at most one word apart."""
+    zero = F.struct(F.lit(-9).alias("start"), F.lit(-9).alias("end"), F.lit(0).alias("best"))
+
+    def step(held, span):
+        start = F.when(span["at"] > held["end"] + 1, span["at"]).otherwise(held["start"])
+        end = F.greatest(held["end"], span["end"])
+        return F.struct(start.alias("start"), end.alias("end"), F.greatest(held["best"], end - start).alias("best"))
+
+    return F.aggregate(spans, zero, step, lambda held: held["best"])
+
+
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE
+    docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE, stretch: int = STRETCH
 ) -> DataFrame:
-    """doc_id, name, item_id, coverage of leaked items: at least that share of the item's windows stands in the text.
+    """doc_id, name, item_id, coverage of leaked items: at least that share of the item's windows stands in the text, or
+    a stretch of at least that many words with at most single words changed.
 
     Windows that match at one distance between item and text are one alignment. Numbers, names and units may be
     changed, but an old value must always have the same new one: windows that hold a value with several new ones do
-    not count. Windows match as templates or word by word, whatever starts a sentence. Items shorter than a
+    not count. Windows match as templates or word by word, whatever starts a sentence. A stretch is a chain of windows
+    (SHORT words and more) of one alignment; its coverage is its share of the item's words. Items shorter than a
     window are one window of their own length; texts are searched for every such length. Items without words or id
     leak nowhere. Rows with one id, or none, and different texts are told apart by the name of the text.
     """
@@ -232,9 +248,12 @@ def leaks(
     whole = matched.join(saved(torn), same, "left").where(F.col("torn").isNull() | ~F.arrays_overlap("slots", "torn"))
     whole = saved(whole.select(*key, "at", "width", "n_windows", "n_words").distinct())
     own = key[:3]
-    places = whole.select(*own, "n_windows", "at").distinct()
-    shares = places.groupBy(*own).agg((F.count("*") / F.max("n_windows")).alias("coverage"))
-    return saved(shares.where(F.col("coverage") >= coverage))
+    places = whole.where(F.col("width") == F.least(F.lit(width), "n_words")).select(*own, "n_windows", "at").distinct()
+    shares = places.groupBy(*own).agg((F.count("*") / F.max("n_windows")).alias("coverage")).where(F.col("coverage") >= coverage)
+    span = F.struct("at", (F.col("at") + F.col("width")).alias("end"))
+    runs = whole.groupBy(*key, "n_words").agg(longest_stretch(F.sort_array(F.collect_set(span))).alias("words")).where(F.col("words") >= stretch)
+    runs = runs.select(*own, (F.col("words") / F.col("n_words")).alias("coverage"))
+    return saved(shares.unionByName(runs).groupBy(*own).agg(F.max("coverage").alias("coverage")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

@@ -322,6 +322,14 @@ def test_changed_values_of_one_alignment(spark):
     assert found_items(spark, [(1, sums), (2, long_)], texts) == ["1", "2", "2", ""]
 
 
+def test_quoted_and_edited_passages(spark):
+    words = [f"term{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    edited = [f"other{i}" if i % 8 == 7 else w for i, w in enumerate(words)]
+    texts = [" ".join(part) for part in (words[15:45], words[:20], edited, words[20:30], words[:5] + ["x"] + words[5:10] + ["y"] + words[10:15])]
+    texts.append("see " + " ".join(f"{a} stop" for a in words))
+    assert found_items(spark, [(1, " ".join(words))], texts) == ["1", "1", "1", "", "", ""]
+
+
 # Rows without an id, or with one id and different texts
 
 
