@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Frequent function words of the languages the rules know; others rely on length and links.
+#: Frequent function words of the languages the rules know; in others length and links decide.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with be by on not he i this are or his from at which but have an had "
     "they you were there been one all we can her has will if no when who so "
@@ -52,6 +52,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORD = re.compile(r"[^\W\d_]+")
+#: Characters of scripts without spaces; one says as much as three letters.
+DENSE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 SPACE = re.compile(r"\s+")
 
 
@@ -151,28 +153,41 @@ def blocks(page: str) -> list[Block]:
 
 
 def first_pass(found: list[Block]) -> None:
-    """good, bad, or None where length, links and stop words leave it open."""
+    """good, bad, or None where length, links and stop words leave it open.
+
+    Where the blocks that could be good have almost no known stop words the language is none the rules know: there
+    the blocks that are not short are good.
+    """
     marked = any(block.article and not block.outside for block in found)
+    stops, words, open_ = 0, 0, []
     for block in found:
         length = len(block.text)
-        words = WORD.findall(block.text.lower())
-        stops = sum(word in STOP_WORDS for word in words) / max(1, len(words))
         if block.outside or (marked and not block.article) or block.links > MANY_LINKS * length:
             block.good = False
-        elif length < SHORT or block.heading:
+        elif length + 2 * len(DENSE.findall(block.text)) < SHORT or block.heading:
             block.good = False if block.links and not block.article else None
-        elif stops >= MANY_STOPS or (length >= LONG and stops >= FEW_STOPS):
+        else:
+            own = WORD.findall(block.text.lower())
+            known = sum(word in STOP_WORDS for word in own)
+            stops, words = stops + known, words + len(own)
+            open_.append((block, length, known / max(1, len(own))))
+    unlisted = stops < FEW_STOPS * words
+    for block, length, share in open_:
+        if unlisted or (length >= SHORT and (share >= MANY_STOPS or (length >= LONG and share >= FEW_STOPS))):
             block.good = True
+        elif length < SHORT and block.links and not block.article:
+            block.good = False
 
 
 def second_pass(found: list[Block]) -> None:
     """Open blocks take the label of the nearest decided block of their article (or of the page, outside articles).
 
-    At equal distance an article's block is good and a page's bad; without decided neighbours it is good.
+    Furniture has no say. At equal distance an article's block is good and a page's bad; without decided neighbours it
+    is good.
     """
     decided: dict[int, list[int]] = {}
     for i, block in enumerate(found):
-        if block.good is not None and not (block.article and block.outside):
+        if block.good is not None and not block.outside:
             decided.setdefault(block.article, []).append(i)
     before: dict[int, int] = {}
     labels: dict[int, bool] = {}

@@ -255,6 +255,23 @@ def test_blocks_without_article_take_their_neighbours_label():
     assert htmltext.main_text(page) == f"Head\n\n{good}"  # "Then." stands as near to a link
 
 
+@pytest.mark.parametrize("paragraph", [
+    "Утром поезд вышел из старого города и медленно пошёл вдоль берега моря, а люди в вагонах долго смотрели на воду и горы.",
+    "Rano pociąg wyjechał ze starego miasta i powoli jechał wzdłuż brzegu morza, a ludzie długo patrzyli na wodę oraz góry.",
+    "早上火车离开了老城，沿着海岸慢慢地行驶，车上的人们长时间望着海水和远处的群山，没有人说话。",
+])
+def test_pages_of_divs_in_unlisted_languages(paragraph):
+    menu = "<div class='menu'><a href='/a'>A</a> <a href='/b'>B</a></div>"
+    links = "<div><a href='/c'>C c c c</a> <a href='/d'>D d d d</a></div>"
+    page = f"{menu}<div><h1>Title</h1></div><div>{paragraph}</div><div>{paragraph * 3}</div>{links}<div class='footer'>(c) 2020 {paragraph}</div>"
+    assert htmltext.main_text(page) == f"Title\n\n{paragraph}\n\n{paragraph * 3}"
+
+
+def test_furniture_has_no_say_on_its_neighbours():
+    good = "It was the day of the night and the sun was in the sky, as it is on all the days of the year."
+    assert htmltext.main_text(f"<nav>Menu</nav><h1>Head</h1><p>{good}</p><footer>End</footer>") == f"Head\n\n{good}"
+
+
 def test_odd_pages(spark):
     pages = [(1, "u", None), (2, "u", ""), (3, None, "<p"), (4, "u", "<b>x" * 3000), (4, "u", "plain"), (None, "u", "<a href='<p>'>t</a")]
     rows = htmltext.extract(spark.createDataFrame([(*p, "e") for p in pages], "page_id long, url string, html string, text string")).collect()
