@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of the training sample: documents, and lines of a document, that come to the driver.
-TRAIN_DOCS, TRAIN_LINES = 4000, 400
+#: Bounds of the training sample that comes to the driver: documents, and lines of all of them.
+TRAIN_DOCS, TRAIN_LINES = 4000, 400_000
 OTHER, LOWER, UPPER, DIGIT, SPACE, STOP, SYMBOL = range(7)
 FEATURES = 11
 
@@ -157,21 +157,30 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS, most_
     """A field fitted to the texts (doc_id, text) of at most `most_docs` label rows (doc_id, label 0 or 1).
 
     The label rows are chosen by a hash of their id, then sent to the texts: at most `most_docs` pairs of numbers.
-    Rows without id, text or label teach nothing; of several texts with a chosen id each teaches. The first
-    `most_lines` lines of a chosen text are used; scoring reads every line. Without rows the field is blank and scores 0.5.
+    Rows without id, text or label teach nothing; of several texts with a chosen id each teaches. All lines
+    of a chosen text are used; ids whose texts would bring the sum of lines above `most_lines` are left out. Without rows the field is blank and scores 0.5.
     """
 
     @F.pandas_udf("size int, rows array<double>")
     def features(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
-            rows, _ = line_features("\n".join(text.split("\n")[:most_lines]))
+            rows, _ = line_features(text)
             out.append((len(rows), with_neighbours(rows).ravel()))
         return pd.DataFrame(out, columns=["size", "rows"])
 
     known = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "label")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most_docs)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.size(F.split("text", "\n", -1))).alias("n"))
+    total, left_out = 0, []
+    for row in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if total + row["n"] > most_lines:
+            left_out.append(row["doc_id"])
+        else:
+            total += row["n"]
+    if left_out:
+        texts = texts.where(~F.col("doc_id").isin(left_out))
     rows = sorted(texts.select("label", features("text").alias("f")).select("label", "f.size", "f.rows").collect(), key=repr)
     if not rows:
         return LineField.blank()

@@ -233,6 +233,16 @@ def test_training_without_rows_is_blank(odd, spark):
     assert not quality.train(odd, none).weights.any()
 
 
+def test_training_reads_whole_texts(spark):
+    same = "\n".join(f"the same line {i % 7}" for i in range(400))
+    good, bad = same + "\nIt was a fine day for all of us." * 200, same + "\n$$$ 12 >> 34 ##" * 200
+    docs = spark.createDataFrame([(1, good), (2, bad)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    low, high = quality.train(docs, labels).scores(["$$$ 12 >> 34 ##", "It was a fine day for all of us."])
+    assert high - low > 0.1
+    assert not quality.train(docs, labels, most_lines=599).weights.any()
+
+
 # Page text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
