@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, jaccard, langid, licenses, linededup, quality, tokencounts, vectors
+from . import decontam, filteraudit, htmltext, jaccard, langid, licenses, linededup, lm, periodic, quality, tokencounts, vectors
 from .common import read
 from .packing import packed
 
@@ -88,6 +88,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by the model and by unigram counts, learned from rows that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.score(docs, lm.learn(docs.where(remainder(5) != 1)))
+    return found.withColumn("held_out", F.coalesce(remainder(5) == 1, F.lit(False)))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, step by step, in each of their orders."""
+    return filteraudit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
+        "part", "filter_order", "step", *filteraudit.COUNTS, "shapley"
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, a tenth of them with planted ones."""
+    docs = periodic.with_planted_runs(read(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.periodic_runs(docs))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_vectors": op2_vectors,
@@ -99,6 +119,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_licenses": op9_licenses,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lm": op11_lm,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: All pairs by brute force; groups by spreading the least id over the links.
@@ -145,4 +168,6 @@ ORACLE: dict[str, str] = {
     "op2_vectors": OP2_SQL,
     "op7_jaccard": OP7_SQL,
     "op9_licenses": licenses.twin_sql(),
+    "op12_filter_audit": filteraudit.TWIN,
+    "op13_periodic_runs": periodic.TWIN,
 }
