@@ -75,6 +75,9 @@ BRONZE = _struct(
     ("event_date", T.DateType()),
 )
 
+# What a message tells of its video; stored beside the log and read for the dimension alone.
+VIDEO_VERSION = _struct(("video_id", INT), *((f.name, f.dataType) for f in VIDEO_OBJECT.fields))
+
 # Messages that could not be decoded.
 REJECTS = _struct(("topic", STRING), ("value", STRING), ("ingest_time", T.TimestampType()))
 

@@ -31,6 +31,17 @@ class Folder:
         child = self._hadoop(f"{self.path}/{name}")
         return self._fs.exists(child) and self._fs.getFileStatus(child).isDirectory()
 
+    def matching(self, pattern: str) -> list[str]:
+        """Names of the last part of all paths below the folder that fit a glob pattern."""
+        found = self._fs.globStatus(self._hadoop(f"{self.path}/{pattern}"))
+        return [status.getPath().getName() for status in found or []]
+
+    def rename(self, name: str, to: str) -> None:
+        """One step on HDFS and local disks; an object store needs a committer that makes renames atomic."""
+        target = self._hadoop(f"{self.path}/{to}")
+        if self._fs.exists(target) or not self._fs.rename(self._hadoop(f"{self.path}/{name}"), target):
+            raise FileExistsError(f"{self.path}/{to}")
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self._hadoop(f"{self.path}/{name}"))
         try:
@@ -44,7 +55,9 @@ class Folder:
         stream = self._fs.create(hidden, False)
         stream.write(bytearray(text, "utf-8"))
         stream.close()
-        if not self._fs.rename(hidden, self._hadoop(f"{self.path}/{name}")):
+        target = self._hadoop(f"{self.path}/{name}")
+        if self._fs.exists(target) or not self._fs.rename(hidden, target):
+            self._fs.delete(hidden, False)
             raise FileExistsError(f"{self.path}/{name}")
 
     def delete(self, name: str) -> None:

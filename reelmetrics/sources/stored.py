@@ -4,13 +4,15 @@ A rollup table is a set of immutable parts, one per increment. Counters are
 additive, so reading is a union of the parts and a sum, and adding an
 increment never rewrites what is stored. The newest numbered manifest names
 the live parts and the last batch of each writer: a replayed batch overwrites
-its own part or is skipped, and is never counted twice. One writer at a time.
+its own part or is skipped, and is never counted twice. One writer adds; folding
+may run beside it.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +20,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from reelmetrics.functions.timing import day_of
-from reelmetrics.operators.merges import sum_measures
+from reelmetrics.operators.merges import RAW_KEYS, sum_measures
 from reelmetrics.operators.rollups import union_actions
-from reelmetrics.schemas import BRONZE, GOLD, REJECTS, SILVER, TOPICS, TableSpec
+from reelmetrics.schemas import BRONZE, GOLD, REJECTS, SILVER, TOPICS, VIDEO_VERSION, TableSpec
+from reelmetrics.sources.dimension import VideoDimension
 from reelmetrics.sources.files import Folder
 
 ORIGINS = ("stream", "bulk")
 
 # The folder names the action, so files do not hold it.
 _ON_DISK = T.StructType([f for f in BRONZE.fields if f.name != "action"])
+# Folders above the days: a batch of messages with its good and bad ones, or a load.
+_ABOVE = {"stream": ("batch", "kind"), "bulk": ("load",)}
 
 # Sort orders inside bronze files, one per access path. File statistics then
 # let a lookup skip row groups, which replaces one copy of the log per path.
-LAYOUTS = {
-    "video": ("video_id", "channel_id", "timestamp_seconds"),
-    "age": ("channel_id", "user_age", "video_id", "timestamp_seconds"),
-    "country": ("channel_id", "user_country", "video_id", "timestamp_seconds"),
-}
+LAYOUTS = RAW_KEYS
 
 
 class StoredTable:
@@ -57,16 +58,24 @@ class StoredTable:
             return {"parts": [], "batches": {}}
         return json.loads(self._log.read(f"{newest:010d}.json"))
 
-    def _commit(self, manifest: dict) -> None:
-        newest = self._newest()
-        self._log.write_new(f"{newest + 1:010d}.json", json.dumps(manifest))
-        if newest > 0:
-            self._log.delete(f"{newest - 1:010d}.json")
+    def _commit(self, change: Callable[[dict], None]) -> None:
+        """Apply ``change`` to the newest manifest; if another job was faster, to that job's."""
+        for _ in range(20):
+            newest, manifest = self._newest(), self._manifest()
+            change(manifest)
+            try:
+                self._log.write_new(f"{newest + 1:010d}.json", json.dumps(manifest))
+            except FileExistsError:
+                continue
+            if newest > 0:
+                self._log.delete(f"{newest - 1:010d}.json")
+            return
+        raise RuntimeError(f"{self.path} is committed to all the time")
 
     def ensure(self) -> StoredTable:
         """Create the table, empty, unless it exists."""
         if self._newest() < 0:
-            self._commit({"parts": [], "batches": {}})
+            self._commit(lambda manifest: None)
         return self
 
     # -- reading ----------------------------------------------------------
@@ -133,9 +142,12 @@ class StoredTable:
             return False
         part = f"{writer}-{batch_id:010d}"
         self._write(increment, part)
-        manifest["parts"].append(part)
-        manifest["batches"][writer] = batch_id
-        self._commit(manifest)
+
+        def added(manifest: dict) -> None:
+            manifest["parts"].append(part)
+            manifest["batches"][writer] = batch_id
+
+        self._commit(added)
         return True
 
     def fold(self, keep: int = 0) -> None:
@@ -156,8 +168,12 @@ class StoredTable:
         folded = sum_measures(rows, self._disk_keys(), self.spec.measures)
         part = f"fold-{uuid.uuid4().hex}"
         self._write(folded.select(*fields), part)
-        manifest["parts"] = [*kept, part]
-        self._commit(manifest)
+
+        def replaced(manifest: dict) -> None:
+            later = [p for p in manifest["parts"] if p not in {*kept, *merged}]
+            manifest["parts"] = [*kept, part, *later]
+
+        self._commit(replaced)
 
     def tidy(self, increments: int = 48, folds: int = 16) -> None:
         """Fold new increments once there are many, and the folds once they are.
@@ -175,13 +191,11 @@ class StoredTable:
         """Replace the content by ``snapshot``; keys it lacks are gone."""
         part = f"snapshot-{uuid.uuid4().hex}"
         self._write(snapshot, part)
-        manifest = self._manifest()
-        manifest["parts"] = [part]
-        self._commit(manifest)
+        self._commit(lambda manifest: manifest.update(parts=[part]))
 
     def clear(self) -> None:
         """Empty the table and forget its writers, before a rebuild."""
-        self._commit({"parts": [], "batches": {}})
+        self._commit(lambda manifest: manifest.update(parts=[], batches={}))
 
     def vacuum(self) -> None:
         """Delete parts no manifest entry names. Run it while nobody reads."""
@@ -195,9 +209,9 @@ class StoredTable:
 class Lake:
     """The tables of one deployment.
 
-    The log has one folder per action and origin. A folder written by a
-    streaming sink is read through the sink's own commit log, which would hide
-    files of any other writer, so bulk loads have folders of their own.
+    The log has one folder per action and origin: streamed messages below
+    ``batch=/kind=/event_date=``, bulk loads below ``load=/event_date=``. A batch or
+    load is written hidden and renamed once it is whole, so it is seen whole and once.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -207,34 +221,75 @@ class Lake:
     def log_path(self, action: str, origin: str) -> str:
         return f"{self.root}/bronze/{origin}/{action}"
 
-    def rejects_path(self, topic: str) -> str:
-        return f"{self.root}/bronze/rejects/{topic}"
+    def _files(self, reader: DataFrameReader | DataStreamReader, action: str, origin: str) -> DataFrame:
+        above = [T.StructField(name, T.StringType()) for name in _ABOVE[origin]]
+        more = [T.StructField("video", VIDEO_VERSION)] if origin == "stream" else []
+        rows = reader.schema(T.StructType([*_ON_DISK.fields, *more, *above])).parquet(
+            self.log_path(action, origin)
+        )
+        rows = rows.where("kind = 'good'") if origin == "stream" else rows
+        return rows.withColumn("action", F.lit(action)).drop(*_ABOVE[origin])
 
     def _log(self, reader: DataFrameReader | DataStreamReader) -> DataFrame:
         """All log folders as one; a filter on action drops whole folders."""
-        return union_actions(
-            [
-                reader.schema(_ON_DISK)
-                .parquet(self.log_path(action, origin))
-                .withColumn("action", F.lit(action))
-                .select(*BRONZE.names)
-                for action in TOPICS
-                for origin in ORIGINS
-            ]
-        )
+        return union_actions([self._files(reader, a, o) for a in TOPICS for o in ORIGINS])
 
     def bronze(self) -> DataFrame:
-        return self._log(self.spark.read)
+        return self._log(self.spark.read).select(*BRONZE.names)
 
     def bronze_stream(self, max_files: int = 1000) -> DataFrame:
-        """The log as a stream; ``max_files`` per folder bound one micro-batch."""
-        return self._log(self.spark.readStream.option("maxFilesPerTrigger", max_files))
+        """The log as a stream, with ``video``; ``max_files`` per folder bound one micro-batch."""
+        log = self._log(self.spark.readStream.option("maxFilesPerTrigger", max_files))
+        return log.select(*BRONZE.names, "video")
 
     def rejects(self) -> DataFrame:
+        fields = [f for f in REJECTS.fields if f.name != "topic"]
+        above = [T.StructField(name, T.StringType()) for name in _ABOVE["stream"]]
+        reader = self.spark.read.schema(T.StructType([*fields, *above]))
         return union_actions(
-            [self.spark.read.schema(REJECTS).parquet(self.rejects_path(t)) for t in TOPICS]
+            [
+                reader.parquet(self.log_path(topic, "stream"))
+                .where("kind = 'bad'")
+                .select(F.lit(topic).alias("topic"), *(f.name for f in fields))
+                for topic in TOPICS
+            ]
         )
 
+    def counts_path(self) -> str:
+        return f"{self.root}/bronze/counts"
+
+    def ingest_counts(self) -> DataFrame:
+        """Messages and rejects of every ingested batch."""
+        schema = "topic string, batch string, messages long, rejects long"
+        return self.spark.read.schema(schema).json(self.counts_path())
+
+    def days(self) -> list[str]:
+        """Days that have log files, newest first; only folder names are read."""
+        log = Folder(self.spark, f"{self.root}/bronze")
+        names = {
+            *log.matching("stream/*/batch=*/kind=good/event_date=*"),
+            *log.matching("bulk/*/load=*/event_date=*"),
+        }
+        return sorted((name.partition("=")[2] for name in names), reverse=True)
+
+    def latest(self, n: int) -> DataFrame:
+        """The ``n`` newest log rows, newest first; ties by the other columns.
+
+        Days are counted from the newest on until they hold ``n`` rows; only those are read.
+        """
+        log = self.bronze()
+        rows = log.where("false")
+        for count, day in enumerate(self.days(), 1):
+            rows = log.where(F.col("event_date") >= F.lit(day).cast("date"))
+            # Twice as many days at a time, so that a thin log is not counted day by day.
+            if count & (count - 1) == 0 and rows.limit(n).count() >= n:
+                break
+        order = ["timestamp_seconds", *(c for c in BRONZE.names if c not in ("timestamp_seconds", "ingest_time"))]
+        return rows.orderBy(*(F.desc(c) for c in order)).limit(n)
+
+    def videos(self) -> VideoDimension:
+        return VideoDimension(self.spark, f"{self.root}/silver/videos")
+
     def silver(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/silver", SILVER[name])
 
@@ -252,26 +307,36 @@ class Lake:
     def ensure(self) -> Lake:
         """Create what is missing, empty."""
         for topic in TOPICS:
-            for path in (*(self.log_path(topic, o) for o in ORIGINS), self.rejects_path(topic)):
-                Folder(self.spark, path).create()
+            for origin in ORIGINS:
+                Folder(self.spark, self.log_path(topic, origin)).create()
+        Folder(self.spark, self.counts_path()).create()
+        self.videos().ensure()
         for name in SILVER:
             self.silver(name).ensure()
         for name in GOLD:
             self.gold(name).ensure()
         return self
 
-    def bulk_append(self, actions: DataFrame, action: str, layout: str = "video") -> None:
-        """Append bronze rows of one action in batch.
+    def bulk_append(
+        self, actions: DataFrame, action: str, layout: str = "video", load: str | None = None
+    ) -> bool:
+        """Append bronze rows of one action in batch; False if the load of that name is already in.
 
         Rows are rebalanced by day: adaptive execution gives a hot day several
-        tasks and packs small days together.
+        tasks and packs small days together. Without a name every call is a load of its own.
         """
+        folder = Folder(self.spark, self.log_path(action, "bulk"))
+        name = f"load={load or uuid.uuid4().hex}"
+        if folder.has_folder(name):
+            return False
+        hidden = f"_writing-{uuid.uuid4().hex}"
         (
             actions.where(F.col("action") == action)
             .select(*_ON_DISK.names)
             .hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", *LAYOUTS[layout])
-            .write.mode("append")
-            .partitionBy("event_date")
-            .parquet(self.log_path(action, "bulk"))
+            .write.partitionBy("event_date")
+            .parquet(f"{folder.path}/{hidden}")
         )
+        folder.rename(hidden, name)
+        return True

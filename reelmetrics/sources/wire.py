@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from reelmetrics.functions import timing
 from reelmetrics.functions.text import lexicon_score
-from reelmetrics.schemas import BRONZE, TOPIC_EXTRAS, TOPICS, WIRE_ANY
+from reelmetrics.schemas import BRONZE, TOPIC_EXTRAS, TOPICS, VIDEO_OBJECT, WIRE_ANY
 
 _REJECT = "malformed"
 
@@ -108,7 +108,12 @@ def _kept(field: str) -> Column:
 def parse_actions(raw: DataFrame) -> DataFrame:
     """Typed log rows of the well-formed messages, with the comment text."""
     good, _ = quarantine(raw)
-    return good.select(
+    return good.select(*_typed())
+
+
+def _typed() -> list[Column | str]:
+    """Log columns of a decoded message, with the comment text."""
+    return [
         F.col("topic").alias("action"),
         F.col("message.timestamp").alias("timestamp_seconds"),
         "message.user_id",
@@ -119,7 +124,7 @@ def parse_actions(raw: DataFrame) -> DataFrame:
         _kept("seconds_offset"),
         F.when(F.col("topic") == "comments", F.col("message.comment")).alias("comment"),
         "message.video_object",
-    )
+    ]
 
 
 def video_versions(raw: DataFrame) -> DataFrame:
@@ -149,6 +154,27 @@ def with_times(actions: DataFrame) -> DataFrame:
     )
 
 
+def ingest_rows(raw: DataFrame, scorer=lexicon_score) -> DataFrame:
+    """One decoding for log, rejects and dimension: ``kind`` good or bad, the log columns, ``video``, ``value``.
+
+    ``video`` is what the message tells of its video (subscriptions too), ``value`` the text of a bad message. A bad
+    row has no event_date. ``scorer`` is None for topics without comments: a Python scorer would be sent all rows.
+    """
+    bad = F.col(_REJECT)
+    typed = decode(raw).select(
+        F.when(bad, "bad").otherwise("good").alias("kind"),
+        *_typed(),
+        F.col("message.video_id").alias("_described"),
+        F.when(bad, F.col("value")).alias("value"),
+    )
+    described = F.col("_described").isNotNull() & F.col("video_object").isNotNull()
+    told = F.struct(F.col("_described").alias("video_id"), *(F.col(f"video_object.{f.name}") for f in VIDEO_OBJECT.fields))
+    score = F.lit(None).cast("int") if scorer is None else F.when(F.col("action") == "comments", scorer(F.col("comment")))
+    rows = with_times(typed.withColumn("comment_score", score))
+    rows = rows.withColumn("event_date", F.when(F.col("kind") == "good", F.col("event_date")))
+    return rows.select("kind", *BRONZE.names, F.when(described, told).alias("video"), "value")
+
+
 def to_bronze(actions: DataFrame, scorer=lexicon_score) -> DataFrame:
     """Log rows in bronze layout: comments scored in place, their text dropped."""
     scored = actions.withColumn(

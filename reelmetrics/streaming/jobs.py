@@ -5,18 +5,22 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmetrics.functions.text import lexicon_score
+from reelmetrics.operators.dims import versions_of
+from reelmetrics.operators.merges import RAW_KEYS
 from reelmetrics.operators.rollups import SILVER_ROLLUPS
 from reelmetrics.plans.refresh import refresh_gold
 from reelmetrics.sources.files import Folder
 from reelmetrics.sources.stored import Lake
-from reelmetrics.sources.wire import parse_actions, quarantine, to_bronze
+from reelmetrics.sources.wire import ingest_rows
+from reelmetrics.streaming.windows import sent_once
 
 SILVER_PERIOD = "300 seconds"
 GOLD_PERIOD = "600 seconds"
@@ -31,6 +35,7 @@ _ROLLUP_COLUMNS = (
     "video_id",
     "seconds_offset",
     "comment_score",
+    "video",
 )
 
 
@@ -39,40 +44,98 @@ def _trigger(period: str | None) -> dict:
     return {"processingTime": period} if period else {"availableNow": True}
 
 
-def start_bronze(
+def start_ingest(
     raw: DataFrame,
     lake: Lake,
     topic: str,
     checkpoint: str,
     period: str | None = None,
     scorer=lexicon_score,
+    once_within: str | None = None,
+    kinds: Sequence[str] = ("good", "bad"),
 ) -> StreamingQuery:
-    """Append one topic's well-formed messages to its log folder."""
+    """One topic's messages to its log folder, well-formed and malformed ones by one decoding.
+
+    A micro-batch is one folder, written hidden and renamed when whole; a replayed batch finds it
+    there and adds nothing. Rows are grouped by day first, so a batch makes about as many files as
+    it has days. Counts of messages and rejects are observed by the same job and kept in
+    ``lake.ingest_counts()``. ``once_within`` drops messages that were already sent within that time of arrival.
+    """
+    messages = raw.where(F.col("topic") == topic)
+    if once_within:
+        messages = sent_once(messages, once_within)
+    rows = ingest_rows(messages, scorer if topic == "comments" else None)
+    if len(kinds) == 1:
+        rows = rows.where(F.col("kind") == kinds[0])
+    folder = Folder(lake.spark, lake.log_path(topic, "stream"))
+    counts = Folder(lake.spark, lake.counts_path())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = writer_name(lake, checkpoint)
+        _own_log(folder, writer, kinds)
+        name = f"{writer}-{batch_id:010d}"
+        if folder.has_folder(f"batch={name}"):
+            return
+        seen = Observation()
+        observed = batch.observe(
+            seen,
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if(F.col("kind") == "bad").alias("rejects"),
+        )
+        hidden = f"_writing-{uuid.uuid4().hex}"
+        (
+            observed.drop("action")
+            .hint("rebalance", "kind", "event_date")
+            .sortWithinPartitions("kind", "event_date", *RAW_KEYS["video"])
+            .write.partitionBy("kind", "event_date")
+            .parquet(f"{folder.path}/{hidden}")
+        )
+        # The plan of an empty batch is cut short and observes nothing.
+        found = seen.get if folder.matching(f"{hidden}/kind=*") else {"messages": 0, "rejects": 0}
+        counts.delete(f"{topic}-{name}.json")
+        counts.write_new(f"{topic}-{name}.json", json.dumps({"topic": topic, "batch": name, **found}))
+        folder.rename(hidden, f"batch={name}")
+
     return (
-        to_bronze(parse_actions(raw.where(F.col("topic") == topic)), scorer)
-        .drop("action")
-        .writeStream.format("parquet")
-        .partitionBy("event_date")
-        .option("path", lake.log_path(topic, "stream"))
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(period))
         .start()
     )
 
 
+def _own_log(folder: Folder, writer: str, kinds: Sequence[str]) -> None:
+    """Refuse a second run: its batch ids mean other messages, and the log holds the first run's."""
+    run = writer.split(".")[1]
+    names = folder.names()
+    for kind in kinds:
+        mark = f"_run-{kind}"
+        if mark not in names:
+            folder.write_new(mark, run)
+        elif folder.read(mark) != run:
+            raise RuntimeError(
+                f"{folder.path} was fed by another run: its checkpoint is gone. Start again in an empty "
+                "folder, or delete the mark to go on where the source's offsets say."
+            )
+
+
+def start_bronze(
+    raw: DataFrame,
+    lake: Lake,
+    topic: str,
+    checkpoint: str,
+    period: str | None = None,
+    scorer=lexicon_score,
+) -> StreamingQuery:
+    """``start_ingest`` of the well-formed messages alone."""
+    return start_ingest(raw, lake, topic, checkpoint, period, scorer, kinds=("good",))
+
+
 def start_rejects(
     raw: DataFrame, lake: Lake, topic: str, checkpoint: str, period: str | None = None
 ) -> StreamingQuery:
-    """Keep one topic's malformed messages for inspection."""
-    _, bad = quarantine(raw)
-    return (
-        bad.withColumn("ingest_time", F.current_timestamp())
-        .writeStream.format("parquet")
-        .option("path", lake.rejects_path(topic))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(period))
-        .start()
-    )
+    """``start_ingest`` of the malformed messages alone."""
+    return start_ingest(raw, lake, topic, checkpoint, period, kinds=("bad",))
 
 
 def add_increments(
@@ -88,14 +151,21 @@ def add_increments(
         rows = rows.persist()
     try:
         for name in tables:
-            table = lake.silver(name)
-            table.add(SILVER_ROLLUPS[name](rows), writer, batch_id)
-            table.tidy()
+            lake.silver(name).add(SILVER_ROLLUPS[name](rows), writer, batch_id)
+        if "video" in rows.columns:
+            lake.videos().add(versions_of(rows), f"{writer}-{batch_id:010d}")
     finally:
         if len(tables) > 1:
             rows.unpersist()
 
 
+def compact(lake: Lake, increments: int = 48, folds: int = 16) -> None:
+    """Fold increments of the rollups and parts of the dimension; a job of its own, beside the streams."""
+    for name in SILVER_ROLLUPS:
+        lake.silver(name).tidy(increments, folds)
+    lake.videos().compact()
+
+
 def writer_name(lake: Lake, checkpoint: str) -> str:
     """A writer is a checkpoint path, its run the query id kept in the checkpoint."""
     run = json.loads(Folder(lake.spark, checkpoint).read("metadata"))["id"]
