@@ -9,17 +9,19 @@
 from __future__ import annotations
 
 import argparse
+import json
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from reelmetrics.plans import audit
 from reelmetrics.plans.refresh import refresh_gold
 from reelmetrics.plans.serving import Dashboard, to_json_rows
 from reelmetrics.schemas import TOPICS
 from reelmetrics.session import configure
-from reelmetrics.sources.stored import Lake
-from reelmetrics.sources.wire import read_actions_stream
+from reelmetrics.sources.stored import LAYOUTS, Lake
+from reelmetrics.sources.wire import parse_actions, read_actions_stream, to_bronze
 from reelmetrics.streaming import jobs
 
 QUERIES = {
@@ -35,7 +37,21 @@ QUERIES = {
     "ages": int,
     "histogram": int,
     "count": None,
+    "counts": None,
+    "as_of": None,
+    "latest": int,
+    "country_shares": int,
+    "age_shares": int,
+    "top_positive_videos": None,
+    "peak": None,
+    "channel_views": None,
+    "weighted_views": int,
+    "rolling_top_videos": str,
+    "top_videos_per_category": str,
+    "top_channels_per_category": str,
 }
+#: Queries of a window that ends at --as-of, by default now.
+ENDING = {"rolling_top_videos", "top_videos_per_category", "top_channels_per_category"}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,6 +67,16 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--max-per-trigger", type=int)
     bronze.add_argument("--period", help="run for ever, once per period")
 
+    bronze.add_argument("--once-within", help="drop messages sent again within that time, as '2 hours'")
+
+    load = job.add_parser("load", help="a folder of message files to the log, once per load name")
+    load.add_argument("topic", choices=TOPICS)
+    load.add_argument("path")
+    load.add_argument("name", help="a load of that name that is already in is not added again")
+    load.add_argument("--layout", default="video", choices=LAYOUTS)
+
+    job.add_parser("compact", help="fold increments of the rollups and the video dimension")
+
     silver = job.add_parser("silver", help="log to rollups")
     silver.add_argument("--period", help="run for ever, once per period")
 
@@ -61,7 +87,8 @@ def parser() -> argparse.ArgumentParser:
 
     query = job.add_parser("query", help="print a serving query as JSON rows")
     query.add_argument("name", choices=QUERIES)
-    query.add_argument("argument", nargs="?", help="level, video id or channel id")
+    query.add_argument("argument", nargs="?", help="level, period, video id or channel id")
+    query.add_argument("--as-of", type=int, help="end of a rolling window, default now")
 
     check = job.add_parser("audit", help="print the error of the published counts")
     check.add_argument("--one-in", type=int, default=1)
@@ -78,24 +105,30 @@ def run_bronze(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> Non
         starting=args.starting,
         max_per_trigger=args.max_per_trigger,
     )
-    checkpoints = f"{lake.root}/checkpoints"
-    started = [
-        jobs.start_bronze(
-            raw, lake, args.topic, f"{checkpoints}/bronze-{args.topic}", args.period
-        ),
-        jobs.start_rejects(
-            raw, lake, args.topic, f"{checkpoints}/rejects-{args.topic}", args.period
-        ),
-    ]
-    for stream in started:
-        stream.awaitTermination()
-
-
-def run_query(lake: Lake, name: str, argument: str | None) -> None:
+    jobs.start_ingest(
+        raw,
+        lake,
+        args.topic,
+        f"{lake.root}/checkpoints/ingest-{args.topic}",
+        args.period,
+        once_within=args.once_within,
+    ).awaitTermination()
+
+
+def run_load(lake: Lake, args: argparse.Namespace) -> None:
+    """Well-formed messages of the files become log rows; malformed ones stay in the files."""
+    lines = lake.spark.read.text(args.path)
+    raw = lines.select(F.lit(args.topic).alias("topic"), "value")
+    added = lake.bulk_append(to_bronze(parse_actions(raw)), args.topic, args.layout, args.name)
+    print(json.dumps({"load": args.name, "added": added}))
+
+
+def run_query(lake: Lake, name: str, argument: str | None, as_of: int | None = None) -> None:
     kind = QUERIES[name]
     method = getattr(Dashboard(lake), name)
-    rows = to_json_rows(method() if kind is None else method(kind(argument)))
-    for row in rows.toLocalIterator():
+    given = () if kind is None else (kind(argument),)
+    ending = {"as_of": as_of} if name in ENDING else {}
+    for row in to_json_rows(method(*given, **ending)).toLocalIterator():
         print(row.json)
 
 
@@ -116,7 +149,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "gold":
         refresh_gold(lake, args.as_of or int(time.time()), args.month_days)
     elif args.job == "query":
-        run_query(lake, args.name, args.argument)
+        run_query(lake, args.name, args.argument, args.as_of)
+    elif args.job == "load":
+        run_load(lake, args)
+    elif args.job == "compact":
+        jobs.compact(lake)
     elif args.job == "audit":
         report = audit.audit_countries(lake, args.one_in)
         for row in to_json_rows(audit.quality.accuracy_summary(report)).toLocalIterator():

@@ -473,3 +473,7 @@ for _period, _seconds in (("hour", HOUR), ("day", DAY), ("week", WEEK)):
     ORACLE[f"rolling_top_videos_{_period}"] = _rolling(_seconds)
     ORACLE[f"top_videos_per_category_{_period}"] = _category("video_id", _seconds)
     ORACLE[f"top_channels_per_category_{_period}"] = _category("channel_id", _seconds)
+
+ORACLE["lake_rolling_day"] = _rolling(DAY)
+ORACLE["lake_category_week"] = _category("video_id", WEEK)
+ORACLE["lake_channel_category_week"] = _category("channel_id", WEEK)

@@ -34,6 +34,5 @@ def gold_snapshots(lake: Lake, as_of: int, month_days: int = 30) -> dict[str, Da
 
 
 def refresh_gold(lake: Lake, as_of: int, month_days: int = 30) -> None:
-    """Publish all gold tables; rows that left a window vanish."""
-    for name, snapshot in gold_snapshots(lake, as_of, month_days).items():
-        lake.gold(name).publish(snapshot)
+    """Publish all gold tables together; rows that left a window vanish."""
+    lake.publish(gold_snapshots(lake, as_of, month_days), as_of)

@@ -15,6 +15,7 @@ from reelmetrics.operators import boards, breakdowns, dims, gold, merges, qualit
 from reelmetrics.plans import serving
 from reelmetrics.session import shared_dir
 from reelmetrics.sources import testbed, wire
+from reelmetrics.sources.files import Folder
 from reelmetrics.sources.stored import Lake
 from reelmetrics.sources.testbed import AS_OF
 from reelmetrics.streaming import jobs, windows
@@ -25,7 +26,7 @@ VIDEO_ID = 55
 CHANNEL_ID = 5
 COUNTED = ("first_views", "likes", "views")
 CHANNEL_COUNTED = (*COUNTED, "subscribes")
-PERIODS = {"hour": HOUR, "day": DAY, "week": WEEK}
+PERIODS = serving.PERIODS
 
 QUERIES: dict[str, Query] = {}
 
@@ -602,3 +603,43 @@ def hourly_windows(spark, sf, max_files: int = 1000) -> DataFrame:
 def stream_hourly_window(spark, sf):
     """All hours of the log, whatever the order and number of its files."""
     return hourly_windows(spark, sf)
+
+
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def message_lake(spark, sf) -> Lake:
+    """A lake fed with the log's messages by the streaming jobs; built once per application."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _LAKES:
+        root = shared_dir(spark, "message-lake")
+        lake = Lake(spark, f"{root}/lake").ensure()
+        messages = testbed.wire_messages(spark, sf, CHANNEL_COUNTED).select("topic", "value")
+        messages.write.partitionBy("topic").text(f"{root}/in")
+        for topic in CHANNEL_COUNTED:
+            inbox = f"{root}/in/topic={topic}"
+            Folder(spark, inbox).create()
+            raw = wire.read_actions_stream(spark, "text", topic, path=inbox)
+            jobs.start_ingest(raw, lake, topic, f"{root}/ck-{topic}").awaitTermination()
+        jobs.start_silver(
+            lake.bronze_stream(), lake, f"{root}/ck-silver", tables=("video_hour",)
+        ).awaitTermination()
+        _LAKES[known] = lake.root
+    return Lake(spark, _LAKES[known])
+
+
+@query
+def lake_rolling_day(spark, sf):
+    """Top videos of the last day: whole hours from the rollup, the cut hour from the log."""
+    return serving.Dashboard(message_lake(spark, sf)).rolling_top_videos("day", AS_OF)
+
+
+@query
+def lake_category_week(spark, sf):
+    """Top videos per category of the last week, categories from the stored dimension."""
+    return serving.Dashboard(message_lake(spark, sf)).top_videos_per_category("week", AS_OF)
+
+
+@query
+def lake_channel_category_week(spark, sf):
+    return serving.Dashboard(message_lake(spark, sf)).top_channels_per_category("week", AS_OF)

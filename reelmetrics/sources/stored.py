@@ -52,16 +52,17 @@ class StoredTable:
     def _newest(self) -> int:
         return max((int(n[:-5]) for n in self._log.names() if n[0].isdigit()), default=-1)
 
-    def _manifest(self) -> dict:
+    def _state(self) -> dict:
         newest = self._newest()
-        if newest < 0:
-            return {"parts": [], "batches": {}}
-        return json.loads(self._log.read(f"{newest:010d}.json"))
+        return json.loads(self._log.read(f"{newest:010d}.json")) if newest >= 0 else {}
+
+    def _manifest(self) -> dict:
+        return {"parts": [], "batches": {}} | self._state()
 
     def _commit(self, change: Callable[[dict], None]) -> None:
         """Apply ``change`` to the newest manifest; if another job was faster, to that job's."""
         for _ in range(20):
-            newest, manifest = self._newest(), self._manifest()
+            newest, manifest = self._newest(), self._state()
             change(manifest)
             try:
                 self._log.write_new(f"{newest + 1:010d}.json", json.dumps(manifest))
@@ -144,8 +145,8 @@ class StoredTable:
         self._write(increment, part)
 
         def added(manifest: dict) -> None:
-            manifest["parts"].append(part)
-            manifest["batches"][writer] = batch_id
+            manifest.setdefault("parts", []).append(part)
+            manifest.setdefault("batches", {})[writer] = batch_id
 
         self._commit(added)
         return True
@@ -187,12 +188,6 @@ class StoredTable:
         elif len(parts) - folded > increments:
             self.fold(keep=folded)
 
-    def publish(self, snapshot: DataFrame) -> None:
-        """Replace the content by ``snapshot``; keys it lacks are gone."""
-        part = f"snapshot-{uuid.uuid4().hex}"
-        self._write(snapshot, part)
-        self._commit(lambda manifest: manifest.update(parts=[part]))
-
     def clear(self) -> None:
         """Empty the table and forget its writers, before a rebuild."""
         self._commit(lambda manifest: manifest.update(parts=[], batches={}))
@@ -206,6 +201,43 @@ class StoredTable:
                 folder.delete(name)
 
 
+class PublishedTable(StoredTable):
+    """A serving table. One file names the live parts of all serving tables and the second they stand for.
+
+    ``state`` pins a reader to one publication: tables read with it never mix two of them.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, state: dict | None = None):
+        super().__init__(spark, root, spec)
+        self._log = Folder(spark, f"{root.rstrip('/')}/_published")
+        self._pinned = state
+
+    def _manifest(self) -> dict:
+        state = self._state() if self._pinned is None else self._pinned
+        part = state.get("tables", {}).get(self.spec.name)
+        return {"parts": [part] if part else [], "batches": {}}
+
+    def _named(self, parts: dict[str, str], more: dict) -> None:
+        def named(state: dict) -> None:
+            state.setdefault("tables", {}).update(parts)
+            state.update(more)
+
+        self._commit(named)
+
+    def prepare(self, snapshot: DataFrame) -> str:
+        """Write a snapshot that nobody reads yet."""
+        part = f"snapshot-{uuid.uuid4().hex}"
+        self._write(snapshot, part)
+        return part
+
+    def publish(self, snapshot: DataFrame) -> None:
+        """Replace the content by ``snapshot``; keys it lacks are gone."""
+        self._named({self.spec.name: self.prepare(snapshot)}, {})
+
+    def clear(self) -> None:
+        self._commit(lambda state: state.get("tables", {}).pop(self.spec.name, None))
+
+
 class Lake:
     """The tables of one deployment.
 
@@ -293,8 +325,17 @@ class Lake:
     def silver(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/silver", SILVER[name])
 
-    def gold(self, name: str) -> StoredTable:
-        return StoredTable(self.spark, f"{self.root}/gold", GOLD[name])
+    def gold(self, name: str, state: dict | None = None) -> PublishedTable:
+        return PublishedTable(self.spark, f"{self.root}/gold", GOLD[name], state)
+
+    def published(self) -> dict:
+        """The present publication: ``as_of`` and the live part of every serving table."""
+        return self.gold(next(iter(GOLD)))._state()
+
+    def publish(self, snapshots: dict[str, DataFrame], as_of: int) -> None:
+        """Replace serving tables together: all are written first, then one file names them all."""
+        parts = {name: self.gold(name).prepare(snapshot) for name, snapshot in snapshots.items()}
+        self.gold(next(iter(parts)))._named(parts, {"as_of": as_of})
 
     def register_views(self) -> None:
         """Temporary views ``bronze``, ``silver_*`` and ``gold_*`` of the present content."""

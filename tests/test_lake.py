@@ -1,0 +1,291 @@
+"""Ingest in one pass, messages once, stored dimension, rolling windows, loads, newest rows, one publication."""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+import random
+import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import as_rows
+from reelmetrics.functions.timing import DAY, HOUR
+from reelmetrics.operators import dims, rolling, rollups
+from reelmetrics.plans.refresh import gold_snapshots, refresh_gold
+from reelmetrics.plans.serving import Dashboard
+from reelmetrics.schemas import BRONZE
+from reelmetrics.sources.stored import Lake
+from reelmetrics.sources.wire import read_actions_stream, with_times
+from reelmetrics.streaming import jobs, windows
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake")).ensure()
+
+
+def message(second, video=12, **changes):
+    body = {"timestamp": second, "user_id": 1, "user_country": "EGYPT", "user_age": 30, "channel_id": video // 10,
+            "video_id": video, "seconds_offset": 3}
+    return json.dumps({**body, **changes})
+
+
+def feed(spark, lake, inbox, topic="likes", **options):
+    raw = read_actions_stream(spark, "text", topic, path=str(inbox), max_per_trigger=1)
+    query = jobs.start_ingest(raw, lake, topic, f"{lake.root}/ck-{topic}", **options)
+    query.awaitTermination()
+    return query
+
+
+def put(inbox, name, lines):
+    os.makedirs(inbox, exist_ok=True)
+    (inbox / name).write_text("\n".join(lines) + "\n")
+
+
+def log_files(lake, topic):
+    return glob.glob(f"{lake.root}/bronze/stream/{topic}/batch=*/kind=*/event_date=*/*.parquet")
+
+
+# Ingest
+
+
+def test_a_batch_of_many_days_makes_a_file_a_day(spark, lake, tmp_path):
+    days = 60
+    lines = [message(DAY * (i % days) + i, video=10 + i % 500) for i in range(20_000)]
+    put(tmp_path / "in", "a.json", [*lines, "{broken", message(5, channel_id=None)])
+    feed(spark, lake, tmp_path / "in")
+    assert days + 1 <= len(log_files(lake, "likes")) <= days + 8
+    assert lake.bronze().count() == 20_000
+    assert as_rows(lake.rejects().select("value")) == sorted([("{broken",), (message(5, channel_id=None),)], key=repr)
+    assert as_rows(lake.ingest_counts().select("topic", "messages", "rejects")) == [("likes", 20_002, 2)]
+    assert lake.days() == sorted((str(r[0]) for r in lake.bronze().select("event_date").distinct().collect()), reverse=True)
+
+
+def test_a_replayed_batch_adds_nothing(spark, lake, tmp_path):
+    put(tmp_path / "in", "a.json", [message(1), message(2), "junk"])
+    feed(spark, lake, tmp_path / "in")
+    before = sorted(log_files(lake, "likes"))
+    # The batch's commit mark is lost: the same batch comes again.
+    for name in os.listdir(f"{lake.root}/ck-likes/commits"):
+        os.remove(f"{lake.root}/ck-likes/commits/{name}")
+    feed(spark, lake, tmp_path / "in")
+    assert sorted(log_files(lake, "likes")) == before
+    assert lake.bronze().count() == 2 and lake.rejects().count() == 1
+
+
+def test_a_second_run_is_refused(spark, lake, tmp_path):
+    put(tmp_path / "in", "a.json", [message(1)])
+    feed(spark, lake, tmp_path / "in")
+    raw = read_actions_stream(spark, "text", "likes", path=str(tmp_path / "in"))
+    query = jobs.start_ingest(raw, lake, "likes", f"{lake.root}/other")
+    with pytest.raises(Exception, match="another run"):
+        query.awaitTermination()
+    assert lake.bronze().count() == 1
+
+
+def test_unfinished_batches_are_not_seen(spark, lake, tmp_path):
+    put(tmp_path / "in", "a.json", [message(1)])
+    feed(spark, lake, tmp_path / "in")
+    stream = f"{lake.root}/bronze/stream/likes"
+    whole = glob.glob(f"{stream}/batch=*")[0]
+    os.system(f"cp -r {whole} {stream}/_writing-x")
+    assert lake.bronze().count() == 1 and len(lake.days()) == 1
+
+
+def test_a_message_sent_twice_counts_once_through_silver(spark, lake, tmp_path):
+    """Within a batch and across batches; late messages are not lost, however late."""
+    put(tmp_path / "in", "a.json", [message(50 * DAY), message(50 * DAY), message(7)])
+    put(tmp_path / "in", "b.json", [message(7), message(8), "junk"])
+    os.utime(tmp_path / "in" / "a.json", (1_000, 1_000))
+    query = feed(spark, lake, tmp_path / "in", "first_views", once_within="2 hours")
+    jobs.start_silver(lake.bronze_stream(), lake, f"{lake.root}/ck-silver").awaitTermination()
+    assert as_rows(lake.silver("video_total").read(), "video_id", "views_count") == [(12, 3)]
+    assert lake.rejects().count() == 1
+    put(tmp_path / "in", "c.json", [message(8), message(9)])
+    query = feed(spark, lake, tmp_path / "in", "first_views", once_within="2 hours")
+    jobs.start_silver(lake.bronze_stream(), lake, f"{lake.root}/ck-silver").awaitTermination()
+    assert as_rows(lake.silver("video_total").read(), "video_id", "views_count") == [(12, 4)]
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 5
+
+
+def test_state_of_sent_messages_is_given_up(spark, lake, tmp_path):
+    """After the time of arrival has passed a message is new again, and its hash is gone."""
+    for i in range(3):
+        put(tmp_path / "in", f"{i}.json", [message(100 + i)])
+        query = feed(spark, lake, tmp_path / "in", "first_views", once_within="1 second")
+        time.sleep(2)
+    put(tmp_path / "in", "again.json", [message(100)])
+    query = feed(spark, lake, tmp_path / "in", "first_views", once_within="1 second")
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 2
+    assert lake.bronze().count() == 4
+
+
+# Video dimension
+
+
+def described(second, video, category, duration=120, **more):
+    told = {"channel_id": video // 10, "creation_date": 5, "category": category, "duration": duration}
+    return message(second, video, video_object=told, **more)
+
+
+def test_dimension_keeps_the_newest_version_of_all_topics(spark, lake, tmp_path):
+    put(tmp_path / "likes", "a.json", [described(10, 12, "old"), described(30, 12, "new"), described(20, 12, "older"), message(99, 13)])
+    put(tmp_path / "subs", "a.json", [described(5, 77, "subscribed"), described(31, 12, "newest", duration=600)])
+    feed(spark, lake, tmp_path / "likes", "likes")
+    roll = lambda: jobs.start_silver(lake.bronze_stream(), lake, f"{lake.root}/ck-silver").awaitTermination()
+    roll()
+    assert as_rows(lake.videos().read()) == [(12, 1, 5, "new", 2)]
+    feed(spark, lake, tmp_path / "subs", "subscribes")
+    roll()
+    want = [(12, 1, 5, "newest", 10), (77, 7, 5, "subscribed", 2)]
+    assert as_rows(lake.videos().read()) == want
+    # Merged beside its parts, then without them, then with newer ones.
+    for _ in range(3):
+        lake.videos().compact()
+        assert as_rows(lake.videos().read()) == want
+    assert len(glob.glob(f"{lake.root}/silver/videos/part=*")) == 1
+    put(tmp_path / "likes", "b.json", [described(40, 77, "again")])
+    feed(spark, lake, tmp_path / "likes", "likes")
+    roll()
+    jobs.compact(lake)
+    assert as_rows(lake.videos().read()) == [want[0], (77, 7, 5, "again", 2)]
+
+
+def test_newest_version_may_be_taken_part_by_part(spark):
+    source = random.Random(3)
+    rows = [(source.randint(1, 5), source.randint(1, 3), 5, source.choice("abc"), 60, source.randint(1, 6)) for _ in range(80)]
+    frame = spark.createDataFrame(rows, "video_id int, channel_id int, creation_date long, category string, duration int, seen long")
+    whole = as_rows(dims.newest_versions(frame))
+    halves = [dims.newest_versions(frame.where(F.col("seen") % 2 == i)) for i in (0, 1)]
+    merged = dims.newest_versions(halves[0].unionByName(halves[1]).unionByName(halves[1]))
+    assert as_rows(merged) == whole
+
+
+# Rolling windows
+
+
+def bronze_rows(log):
+    return with_times(log).select(*BRONZE.names)
+
+
+def test_rolling_counts_equal_the_log_for_any_window(spark, make_log):
+    source = random.Random(5)
+    log = make_log(*({"timestamp_seconds": source.randint(0, 6 * HOUR), "video_id": source.randint(1, 4),
+                      "action": source.choice(["first_views", "likes"])} for _ in range(300))).cache()
+    hours = rollups.video_hour(log).cache()
+    bounds = [(0, None), (HOUR, 3 * HOUR), (1800, None), (1800, 2 * HOUR), (1800, 2 * HOUR + 5), (1800, 2000), (HOUR, HOUR), (HOUR + 1, 2 * HOUR - 1), (7 * HOUR, None)]
+    for start, end in bounds:
+        found = rolling.rolling_counts(log, hours, "video_id", ["views_count", "likes_count"], start, end)
+        rows = log.where(F.col("timestamp_seconds") >= start)
+        rows = rows if end is None else rows.where(F.col("timestamp_seconds") < end)
+        assert as_rows(found) == as_rows(rollups.rollup(rows, ["video_id"], ["views_count", "likes_count"])), (start, end)
+
+
+def test_rolling_board_reads_only_the_cut_hour_of_the_log(spark, lake, make_log):
+    as_of = 20 * DAY + 5 * HOUR + 100
+    log = make_log(*({"timestamp_seconds": 20 * DAY - h * HOUR, "video_id": 10 + h % 3} for h in range(48)))
+    lake.bulk_append(bronze_rows(log), "first_views")
+    lake.silver("video_hour").add(rollups.video_hour(lake.bronze()), "w", 0)
+    board = Dashboard(lake).rolling_top_videos("day", as_of)
+    want = rollups.rolling(lake.bronze(), as_of, DAY).groupBy("video_id").agg(F.count(F.lit(1)))
+    assert as_rows(board, "video_id", "view_count") == as_rows(want)
+    plan = board._jdf.queryExecution().executedPlan().toString()
+    whole_hours = as_of - DAY + (-(as_of - DAY)) % HOUR
+    # One rollup scan, and the folders of one action cut to the hour; its paths may be cut short.
+    assert plan.count("FileScan") == 3
+    assert len(re.findall(rf"Filter .*timestamp_seconds#\d+L < {whole_hours}\)", plan)) == 2
+    assert plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(KeyError):
+        Dashboard(lake).rolling_top_videos("month", as_of)
+
+
+# Loads, newest rows, publications, windows
+
+
+def test_a_named_load_counts_once(spark, lake, make_log):
+    rows = bronze_rows(make_log({"timestamp_seconds": 5}, {"timestamp_seconds": DAY}))
+    assert lake.bulk_append(rows, "first_views", load="2024-01")
+    assert not lake.bulk_append(rows, "first_views", load="2024-01")
+    assert lake.bulk_append(rows, "first_views", load="2024-02")
+    assert lake.bronze().count() == 4
+
+
+def test_newest_rows_read_the_newest_days(spark, lake, make_log):
+    rows = [{"timestamp_seconds": d * DAY + s, "video_id": d} for d in range(1, 30) for s in range(3)]
+    lake.bulk_append(bronze_rows(make_log(*rows)), "first_views")
+    for n in (1, 3, 4, 50, 500):
+        found = lake.latest(n)
+        want = sorted((r["timestamp_seconds"] for r in rows), reverse=True)[:n]
+        assert [r.timestamp_seconds for r in found.collect()] == want
+    plan = lake.latest(4)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(event_date#\d+\), \(event_date#\d+ >= 1970-01-29\)\]", plan)
+    assert Lake(spark, f"{lake.root}-empty").ensure().latest(3).count() == 0
+
+
+def test_readers_see_one_publication(spark, lake, make_log):
+    log = make_log({"timestamp_seconds": 100}, {"timestamp_seconds": 100, "action": "likes"})
+    jobs.add_increments(lake, log, "w", 0)
+    refresh_gold(lake, 200)
+    pinned = Dashboard(lake, lake.published())
+    jobs.add_increments(lake, log, "w", 1)
+    snapshots = gold_snapshots(lake, 200 + HOUR)
+    # Half of the tables of the next publication are written: nobody sees them.
+    for name in ("video", "countries", "ages"):
+        lake.gold(name).prepare(snapshots[name])
+    assert as_rows(Dashboard(lake).countries(1)) == [(1, "EGYPT", 1, 1, 0)]
+    refresh_gold(lake, 200 + HOUR)
+    assert as_rows(Dashboard(lake).as_of()) == [(200 + HOUR,)] and as_rows(pinned.as_of()) == [(200,)]
+    assert as_rows(pinned.countries(1)) == [(1, "EGYPT", 1, 1, 0)]
+    assert as_rows(pinned.top_watched_videos("alltime"), "views_count") == [(1,)]
+    assert as_rows(Dashboard(lake).countries(1)) == [(1, "EGYPT", 2, 2, 0)]
+    assert Dashboard(Lake(spark, f"{lake.root}-empty").ensure()).as_of().first()[0] is None
+
+
+def test_folding_beside_a_writer_loses_nothing(spark, lake, make_log):
+    for i in range(5):
+        jobs.add_increments(lake, make_log({"timestamp_seconds": i * DAY}), "w", i, tables=("video_hour",))
+    table, other = lake.silver("video_hour"), lake.silver("video_hour")
+    write = table._write
+
+    def write_while_another_adds(frame, part):
+        write(frame, part)
+        other.add(rollups.video_hour(make_log({"timestamp_seconds": 9 * DAY})), "w", 5)
+
+    table._write = write_while_another_adds
+    table.fold()
+    assert lake.silver("video_hour").read().agg(F.sum("views_count")).first()[0] == 6
+    assert len(lake.silver("video_hour")._manifest()["parts"]) == 2
+
+
+def test_closed_hours_and_sources_without_batches(spark, tmp_path):
+    assert windows.hourly_rows(spark, f"{tmp_path}/none", "video_id").count() == 0
+    schema = "action string, video_id int, timestamp_seconds long"
+    os.makedirs(f"{tmp_path}/in")
+    rows = [{"action": "likes", "video_id": 1, "timestamp_seconds": s} for s in (5, HOUR + 5, 2 * HOUR)]
+    (tmp_path / "in" / "a.json").write_text("\n".join(map(json.dumps, rows)))
+    stream = spark.readStream.schema(schema).json(f"{tmp_path}/in")
+    windows.start_hourly_window(stream, "video_id", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    closed = windows.hourly_rows(spark, f"{tmp_path}/out", "video_id", closed_before=2 * HOUR + 10)
+    assert as_rows(closed, "hour_timestamp") == [(0,), (HOUR,)]
+
+
+def test_derived_answers(spark, lake, make_log):
+    log = make_log(
+        {"timestamp_seconds": 5 * HOUR}, {"timestamp_seconds": 5 * HOUR, "user_country": "CHINA"}, {"timestamp_seconds": 5 * HOUR, "user_country": "CHINA"},
+        {"action": "views", "seconds_offset": 4}, {"action": "comments", "comment_score": 1}, {"action": "comments", "comment_score": -1},
+    )
+    for action in ("first_views", "views", "comments"):
+        lake.bulk_append(bronze_rows(log), action)
+    jobs.add_increments(lake, lake.bronze(), "w", 0)
+    refresh_gold(lake, 6 * HOUR)
+    board = Dashboard(lake)
+    assert as_rows(board.peak(), "interaction_hour", "user_country", "interaction_count") == [(5, "CHINA", 2)]
+    assert as_rows(board.channel_views()) == [(1, 3)]
+    assert as_rows(board.weighted_views(1)) == [(1, 4, 1)]
+    assert as_rows(board.top_positive_videos(), "video_id", "positive_count", "negative_count") == [(11, 1, 1)]
+    assert ("all", 6) in as_rows(board.counts())
+    assert as_rows(board.country_shares(1), "country", "views_share") == [("CHINA", 0.666667), ("EGYPT", 0.333333)]
