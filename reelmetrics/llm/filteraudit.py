@@ -113,15 +113,17 @@ WITH RECURSIVE steps(part, filter_order, applied, emitted) AS (
     redundant: bigint, unique_fails: bigint, good_lost: bigint, toxic_lost: bigint>>)
   FROM {{cells}}
   UNION ALL
-  SELECT s.part, concat(s.filter_order, l.letter), s.applied | l.bit, array_append(s.emitted, named_struct(
-    'step', size(s.emitted) + 1, 'letter', l.letter,
-    'kept', {_total("x.mask & (s.applied | l.bit) = 0", "docs")},
-    'removed', {_total("x.mask & s.applied = 0 AND x.mask & l.bit <> 0", "docs")},
-    'redundant', {_total("x.mask & s.applied <> 0 AND x.mask & l.bit <> 0", "docs")},
-    'unique_fails', {_total("x.mask = l.bit", "docs")},
-    'good_lost', {_total("x.mask & s.applied = 0 AND x.mask & l.bit <> 0", "good")},
-    'toxic_lost', {_total("x.mask & s.applied = 0 AND x.mask & l.bit <> 0", "toxic")}))
-  FROM steps s JOIN {{letters}} l ON s.applied & l.bit = 0 JOIN {{cells}} c ON c.part = s.part)
+  SELECT s.part, concat(s.filter_order, s.l.letter), s.applied | s.l.bit, array_append(s.emitted, named_struct(
+    'step', size(s.emitted) + 1, 'letter', s.l.letter,
+    'kept', {_total("x.mask & (s.applied | s.l.bit) = 0", "docs")},
+    'removed', {_total("x.mask & s.applied = 0 AND x.mask & s.l.bit <> 0", "docs")},
+    'redundant', {_total("x.mask & s.applied <> 0 AND x.mask & s.l.bit <> 0", "docs")},
+    'unique_fails', {_total("x.mask = s.l.bit", "docs")},
+    'good_lost', {_total("x.mask & s.applied = 0 AND x.mask & s.l.bit <> 0", "good")},
+    'toxic_lost', {_total("x.mask & s.applied = 0 AND x.mask & s.l.bit <> 0", "toxic")}))
+  FROM (
+    SELECT part, filter_order, applied, emitted, explode(filter({{letters}}, l -> applied & l.bit = 0)) AS l FROM steps) s
+    JOIN {{cells}} c ON c.part = s.part)
 SELECT part, filter_order, inline(emitted) FROM steps WHERE size(emitted) = {{n}} LIMIT ALL"""
 
 
@@ -135,9 +137,9 @@ def interactions(cells: DataFrame, letters: Sequence[str]) -> DataFrame:
         raise ValueError("one to six filters: every order of them is listed")
     spark = cells.sparkSession
     packed = cells.groupBy("part").agg(F.collect_list(F.struct("mask", "docs", "good", "toxic")).alias("cells"))
-    bits = spark.createDataFrame([(letter, 1 << i) for i, letter in enumerate(letters)], "letter string, bit int")
-    query = RECURSION.replace("{n}", str(len(letters)))
-    steps = spark.sql(query, cells=saved(packed), letters=bits)
+    bits = ", ".join(f"named_struct('letter', '{letter}', 'bit', {1 << i})" for i, letter in enumerate(letters))
+    query = RECURSION.replace("{n}", str(len(letters))).replace("{letters}", f"array({bits})")
+    steps = spark.sql(query, cells=saved(packed))
     return steps.withColumn("shapley", F.sum("removed").over(_by(["part", "letter"])))
 
 
