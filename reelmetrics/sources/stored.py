@@ -28,6 +28,13 @@ from reelmetrics.sources.files import Folder
 
 ORIGINS = ("stream", "bulk")
 
+# Bloom filters of the looked-up columns, sized by the values that a row group has. Files are sorted by one
+# key order; lookups by another column skip row groups by these.
+LOOKUPS = {
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    **{f"parquet.bloom.filter.enabled#{c}": "true" for c in ("video_id", "channel_id")},
+}
+
 # The folder names the action, so files do not hold it.
 _ON_DISK = T.StructType([f for f in BRONZE.fields if f.name != "action"])
 # Folders above the days: a batch of messages with its good and bad ones, or a load.
@@ -57,7 +64,11 @@ class StoredTable:
         return json.loads(self._log.read(f"{newest:010d}.json")) if newest >= 0 else {}
 
     def _manifest(self) -> dict:
-        return {"parts": [], "batches": {}} | self._state()
+        return {"parts": [], "batches": {}, "days": {}} | self._state()
+
+    @property
+    def by_day(self) -> bool:
+        return "event_date" in self.spec.partitions
 
     def _commit(self, change: Callable[[dict], None]) -> None:
         """Apply ``change`` to the newest manifest; if another job was faster, to that job's."""
@@ -83,16 +94,20 @@ class StoredTable:
 
     def rows(self) -> DataFrame:
         """All parts unmerged: enough for any further sum, without an exchange."""
+        manifest = self._manifest()
+        days = [f"part={part}/event_date={day}" for day, part in manifest["days"].items()]
+        return self._stored([*days, *(f"part={p}" for p in manifest["parts"])])
+
+    def _stored(self, folders: list[str]) -> DataFrame:
         fields = [*self.spec.schema.fields]
-        if "event_date" in self.spec.partitions:
+        if self.by_day:
             fields.append(T.StructField("event_date", T.DateType()))
-        parts = self._manifest()["parts"]
-        if not parts:
+        if not folders:
             return self.spark.createDataFrame([], T.StructType(fields))
         found = (
             self.spark.read.schema(T.StructType([*fields, T.StructField("part", T.StringType())]))
             .option("basePath", self.path)
-            .parquet(*(f"{self.path}/part={p}" for p in parts))
+            .parquet(*(f"{self.path}/{folder}" for folder in folders))
         )
         return found.select(*(f.name for f in fields))
 
@@ -160,15 +175,7 @@ class StoredTable:
         kept, merged = manifest["parts"][:keep], manifest["parts"][keep:]
         if len(merged) < 2:
             return
-        fields = [*self.spec.schema.names]
-        rows = (
-            self.spark.read.schema(self.rows().schema)
-            .option("basePath", self.path)
-            .parquet(*(f"{self.path}/part={p}" for p in merged))
-        )
-        folded = sum_measures(rows, self._disk_keys(), self.spec.measures)
-        part = f"fold-{uuid.uuid4().hex}"
-        self._write(folded.select(*fields), part)
+        part = self._merged([f"part={p}" for p in merged], "fold")
 
         def replaced(manifest: dict) -> None:
             later = [p for p in manifest["parts"] if p not in {*kept, *merged}]
@@ -176,10 +183,41 @@ class StoredTable:
 
         self._commit(replaced)
 
+    def _merged(self, folders: list[str], kind: str) -> str:
+        """A new part with the sums of what is stored in some folders."""
+        folded = sum_measures(self._stored(folders), self._disk_keys(), self.spec.measures)
+        part = f"{kind}-{uuid.uuid4().hex}"
+        self._write(folded.select(*self.spec.schema.names), part)
+        return part
+
+    def compact_days(self, increments: int = 0) -> None:
+        """Once there are more increments, move them into the days they touch; other days keep their files.
+
+        A day is one folder, the manifest says of which part. Only touched days are read and written again.
+        """
+        manifest = self._manifest()
+        merged = manifest["parts"]
+        if len(merged) <= increments:
+            return
+        folder = Folder(self.spark, self.path)
+        touched = {n.partition("=")[2] for p in merged for n in folder.matching(f"part={p}/event_date=*")}
+        before = {day: part for day, part in manifest["days"].items() if day in touched}
+        kept = [f"part={part}/event_date={day}" for day, part in before.items()]
+        part = self._merged([*kept, *(f"part={p}" for p in merged)], "days")
+
+        def replaced(manifest: dict) -> None:
+            if {d: p for d, p in manifest.get("days", {}).items() if d in touched} != before:
+                raise RuntimeError(f"{self.path} is compacted by another job")
+            manifest["parts"] = [p for p in manifest["parts"] if p not in merged]
+            manifest.setdefault("days", {}).update(dict.fromkeys(touched, part))
+
+        self._commit(replaced)
+
     def tidy(self, increments: int = 48, folds: int = 16) -> None:
         """Fold new increments once there are many, and the folds once they are.
 
-        A row is so rewritten about once per tier, not once per increment.
+        A row is so rewritten about once per tier, not once per increment. Tables by day have
+        ``compact_days`` too, which leaves closed days alone.
         """
         parts = self._manifest()["parts"]
         folded = sum(p.startswith("fold-") for p in parts)
@@ -190,15 +228,23 @@ class StoredTable:
 
     def clear(self) -> None:
         """Empty the table and forget its writers, before a rebuild."""
-        self._commit(lambda manifest: manifest.update(parts=[], batches={}))
+        self._commit(lambda manifest: manifest.update(parts=[], batches={}, days={}))
 
     def vacuum(self) -> None:
         """Delete parts no manifest entry names. Run it while nobody reads."""
-        live = {f"part={p}" for p in self._manifest()["parts"]}
+        manifest = self._manifest()
+        live = {f"part={p}" for p in manifest["parts"]}
+        days = {(f"part={part}", f"event_date={day}") for day, part in manifest["days"].items()}
         folder = Folder(self.spark, self.path)
         for name in folder.names():
-            if name.startswith("part=") and name not in live:
+            if not name.startswith("part=") or name in live:
+                continue
+            if not any(part == name for part, _ in days):
                 folder.delete(name)
+                continue
+            for day in folder.matching(f"{name}/event_date=*"):
+                if (name, day) not in days:
+                    folder.delete(f"{name}/{day}")
 
 
 class PublishedTable(StoredTable):
@@ -215,7 +261,7 @@ class PublishedTable(StoredTable):
     def _manifest(self) -> dict:
         state = self._state() if self._pinned is None else self._pinned
         part = state.get("tables", {}).get(self.spec.name)
-        return {"parts": [part] if part else [], "batches": {}}
+        return {"parts": [part] if part else [], "batches": {}, "days": {}}
 
     def _named(self, parts: dict[str, str], more: dict) -> None:
         def named(state: dict) -> None:
@@ -376,7 +422,8 @@ class Lake:
             .select(*_ON_DISK.names)
             .hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", *LAYOUTS[layout])
-            .write.partitionBy("event_date")
+            .write.options(**LOOKUPS)
+            .partitionBy("event_date")
             .parquet(f"{folder.path}/{hidden}")
         )
         folder.rename(hidden, name)

@@ -18,7 +18,7 @@ from reelmetrics.operators.merges import RAW_KEYS
 from reelmetrics.operators.rollups import SILVER_ROLLUPS
 from reelmetrics.plans.refresh import refresh_gold
 from reelmetrics.sources.files import Folder
-from reelmetrics.sources.stored import Lake
+from reelmetrics.sources.stored import LOOKUPS, Lake
 from reelmetrics.sources.wire import ingest_rows
 from reelmetrics.streaming.windows import sent_once
 
@@ -87,7 +87,8 @@ def start_ingest(
             observed.drop("action")
             .hint("rebalance", "kind", "event_date")
             .sortWithinPartitions("kind", "event_date", *RAW_KEYS["video"])
-            .write.partitionBy("kind", "event_date")
+            .write.options(**LOOKUPS)
+            .partitionBy("kind", "event_date")
             .parquet(f"{folder.path}/{hidden}")
         )
         # The plan of an empty batch is cut short and observes nothing.
@@ -162,7 +163,11 @@ def add_increments(
 def compact(lake: Lake, increments: int = 48, folds: int = 16) -> None:
     """Fold increments of the rollups and parts of the dimension; a job of its own, beside the streams."""
     for name in SILVER_ROLLUPS:
-        lake.silver(name).tidy(increments, folds)
+        table = lake.silver(name)
+        if table.by_day:
+            table.compact_days(increments)
+        else:
+            table.tidy(increments, folds)
     lake.videos().compact()
 
 

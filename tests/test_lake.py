@@ -289,3 +289,72 @@ def test_derived_answers(spark, lake, make_log):
     assert as_rows(board.top_positive_videos(), "video_id", "positive_count", "negative_count") == [(11, 1, 1)]
     assert ("all", 6) in as_rows(board.counts())
     assert as_rows(board.country_shares(1), "country", "views_share") == [("CHINA", 0.666667), ("EGYPT", 0.333333)]
+
+
+# Compaction by day and lookups
+
+
+def test_closed_days_keep_their_files(spark, lake, make_log):
+    """Increments go on in two open days; the closed ones are written once."""
+    table = lake.silver("video_hour")
+
+    def files(day):
+        part = table._manifest()["days"][day]
+        return sorted(glob.glob(f"{table.path}/part={part}/event_date={day}/*.parquet"))
+
+    table.add(rollups.video_hour(make_log(*({"timestamp_seconds": d * DAY} for d in range(5)))), "w", 0)
+    table.compact_days()
+    closed = {day: files(day) for day in ("1970-01-01", "1970-01-03")}
+    want = 5
+    for batch in range(1, 7):
+        table.add(rollups.video_hour(make_log({"timestamp_seconds": 3 * DAY}, {"timestamp_seconds": (4 + batch) * DAY})), "w", batch)
+        want += 2
+        if batch % 2 == 0:
+            jobs.compact(lake, increments=1)
+            assert table._manifest()["parts"] == []
+        assert table.read().agg(F.sum("views_count")).first()[0] == want
+    assert {day: files(day) for day in closed} == closed
+    assert as_rows(table.read().where(F.col("hour_timestamp") == 3 * DAY), "views_count") == [(7,)]
+    # A replay is still known, old days go with vacuum, readers prune days.
+    assert not table.add(rollups.video_hour(make_log({})), "w", 6)
+    table.vacuum()
+    assert table.read().agg(F.sum("views_count")).first()[0] == want
+    assert len(glob.glob(f"{table.path}/part=*/event_date=1970-01-04")) == 1
+    plan = table.rows().where("event_date = date'1970-01-04'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_compaction_beside_a_writer_loses_nothing(spark, lake, make_log):
+    table, other = lake.silver("channel_hour"), lake.silver("channel_hour")
+    for i in range(3):
+        table.add(rollups.channel_hour(make_log({"timestamp_seconds": i * DAY})), "w", i)
+    write = table._write
+
+    def write_while_another_adds(frame, part):
+        write(frame, part)
+        other.add(rollups.channel_hour(make_log({"timestamp_seconds": DAY})), "w", 3)
+
+    table._write = write_while_another_adds
+    table.compact_days()
+    assert as_rows(lake.silver("channel_hour").read().select("hour_timestamp", "views_count")) == sorted([(0, 1), (DAY, 2), (2 * DAY, 1)], key=repr)
+
+
+def test_lookups_skip_row_groups(spark, lake, make_log):
+    """Files sorted by video: a channel that is not there is found out without reading rows."""
+    rows = spark.range(0, 40_000).select(
+        F.lit("first_views").alias("action"), (F.col("id") % 7).alias("timestamp_seconds"), F.lit(1).alias("user_id"), F.lit("E").alias("user_country"),
+        F.lit(30).alias("user_age"), (2 * (F.xxhash64("id") % 1000)).cast("int").alias("channel_id"), F.col("id").cast("int").alias("video_id"),
+        F.lit(None).cast("int").alias("seconds_offset"), F.lit(None).cast("int").alias("comment_score"),
+    )
+    lake.bulk_append(bronze_rows(rows), "first_views")
+
+    def read(condition):
+        found = spark.read.parquet(lake.log_path("first_views", "bulk")).where(condition)
+        count = len(found.collect())
+        leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+        return count, leaves.head().metrics().apply("numOutputRows").value()
+
+    assert read("channel_id = 501") == (0, 0)
+    assert read("video_id = 1000000") == (0, 0)
+    count, scanned = read("channel_id = 500")
+    assert 0 < count <= scanned
