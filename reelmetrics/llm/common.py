@@ -188,6 +188,16 @@ def membership_map(df: DataFrame, column: str) -> np.ndarray:
     return bits.astype("<i8").view(np.uint8)
 
 
+def may_meet(bits: np.ndarray):
+    """Column function of a long name: false where the bit map proves that it is not among the mapped ones."""
+
+    @F.pandas_udf("boolean")
+    def there(names: pd.Series) -> pd.Series:
+        return pd.Series(in_map(names.to_numpy(np.int64).view(np.uint64), bits))
+
+    return there
+
+
 def in_map(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     at = (hashes & np.uint64(MAP_BITS - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0

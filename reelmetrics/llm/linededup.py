@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -9,11 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Runs, in_map, mapped, membership_map, mix, named_texts, saved, text_name, windows, with_long_id
+from .common import Powers, Runs, in_map, may_meet, membership_map, mix, named_texts, saved, text_name, windows, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
 EDITS, LEAST_CHARS = 2, 20
+#: Lines of white space alone, as str.isspace knows it; they are never compared or removed.
+BLANK = r"^[\s\x1c-\x1f\x85\p{Z}]*$"
 #: Characters whose hashes a task holds at once.
 CHUNK = 1 << 20
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -172,39 +176,42 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     """
     source = named_texts(docs).where("text is not null")
 
-    def named(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, names = frame["doc_id"].to_numpy(), frame["name"].to_numpy()
-        parts = []
-        for at, number, lines in chunks(frame):
-            keys = [None] * len(lines)
-            long_ = [i for i, line in enumerate(lines) if len(line) >= least_chars]
-            if long_:
-                for i, row in zip(long_, segment_keys([lines[i] for i in long_], edits)):
-                    keys[i] = row
-            parts.append(pd.DataFrame({
-                "doc_id": ids[at], "name": names[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
-            }))
-        return pd.concat(parts) if parts else pd.DataFrame([], columns=["doc_id", "name", "line", "node", "keys"])
-
-    lines = saved(with_long_id(mapped(source, "doc_id string, name long, line int, node long, keys array<long>", named)))
+    def named(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ids, names = frame["doc_id"].to_numpy(), frame["name"].to_numpy()
+            for at, number, lines in chunks(frame):
+                keys = [None] * len(lines)
+                long_ = [i for i, line in enumerate(lines) if len(line) >= least_chars]
+                if long_:
+                    for i, row in zip(long_, segment_keys([lines[i] for i in long_], edits)):
+                        keys[i] = row
+                yield pd.DataFrame({
+                    "doc_id": ids[at], "name": names[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
+                })
+
+    lines = saved(with_long_id(source.mapInPandas(named, "doc_id string, name long, line int, node long, keys array<long>")))
     entries = lines.where("keys is not null").select(F.explode("keys").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = saved(shared.where("low <> high").select("key"))
     bits = membership_map(shared, "key")
 
-    def candidates(frame: pd.DataFrame) -> pd.DataFrame:
-        out: dict[int, tuple] = {}
-        for _, _, own in chunks(frame):
+    def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, _, own in chain.from_iterable(map(chunks, frames)):
             own = list({line for line in own if len(line) >= least_chars})
-            if own:
-                keys = segment_keys(own, edits)
-                hit = in_map(keys.view(np.uint64), bits)
-                for i in np.flatnonzero(hit.any(1)).tolist():
-                    out[line_name(own[i])] = own[i], np.unique(keys[i][hit[i]]), parities(own[i])
-        columns = {"body": [b for b, _, _ in out.values()], "keys": [k for _, k, _ in out.values()], "p": [p for _, _, p in out.values()]}
-        return pd.DataFrame({"node": list(out), **{name: pd.Series(values, dtype=object) for name, values in columns.items()}})
-
-    found = saved(mapped(source.select("text"), "node long, body string, keys array<long>, p array<long>", candidates).dropDuplicates(["node"]))
+            if not own:
+                continue
+            keys = segment_keys(own, edits)
+            hit = in_map(keys.view(np.uint64), bits)
+            some = np.flatnonzero(hit.any(1)).tolist()
+            columns = {
+                "body": [own[i] for i in some],
+                "keys": [np.unique(keys[i][hit[i]]) for i in some],
+                "p": [parities(own[i]) for i in some],
+            }
+            yield pd.DataFrame({"node": [line_name(own[i]) for i in some], **{name: pd.Series(values, dtype=object) for name, values in columns.items()}})
+
+    bodies = source.select("text").mapInPandas(candidates, "node long, body string, keys array<long>, p array<long>")
+    found = saved(bodies.dropDuplicates(["node"]))
     entries = found.select("node", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
     bodies = found.select("node", "body")
     attributes = found.select("node", F.char_length("body").alias("n"), *[F.col("p")[i].alias(f"p{i}") for i in range(len(RUNS))])
@@ -236,12 +243,15 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     dropped = kept_first(docs, edits, least_chars).select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "dropped")
     own = docs.drop("n_lines", "n_removed", "_id", "_name", "dropped")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_name() == F.col("_name"))
-    joined = own.join(dropped.hint("merge"), same, "left")
+    # Only texts that lose lines are exchanged; a bit map of fixed size proves of most that they lose none.
+    there = may_meet(membership_map(dropped, "_name"))(text_name())
+    some, rest = own.where(there), own.where(~there)
+    joined = some.join(dropped.hint("merge"), same, "left").unionByName(rest, allowMissingColumns=True)
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
-    some = F.size(F.filter(lines, lambda x: F.length(F.trim(x)) > 0))
-    some = F.coalesce(some, F.lit(0)).cast("long")
+    filled = F.size(F.filter(lines, lambda x: ~x.rlike(BLANK)))
+    filled = F.coalesce(filled, F.lit(0)).cast("long")
     removed = F.coalesce(F.size("dropped"), F.lit(0)).cast("long")
     text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
     names = [F.col(name) if name != "text" else text.alias("text") for name in own.columns]
-    return joined.select(*names, F.when(F.col("text").isNull(), F.lit(0)).otherwise(some).alias("n_lines"), F.when(F.col("dropped").isNull(), F.lit(0)).otherwise(removed).alias("n_removed"))
+    return joined.select(*names, F.when(F.col("text").isNull(), F.lit(0)).otherwise(filled).alias("n_lines"), F.when(F.col("dropped").isNull(), F.lit(0)).otherwise(removed).alias("n_removed"))
