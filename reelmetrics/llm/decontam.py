@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -12,13 +13,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_map, mapped, membership_map, named_texts, saved, text_name, windows, with_long_id
+from .common import Runs, in_map, mapped, may_meet, membership_map, mix, named_texts, saved, text_name, with_long_id
 
 #: Words of a window, words of it that must be no placeholder, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
 #: Words of the shorter windows that stand between changed words, and of a stretch that makes a leak whatever its share.
 SHORT, STRETCH = 6, 14
 WORD, NUMBER, UNIT, NAME = range(4)
+#: Words whose windows a task holds at a time.
+HELD = 1 << 17
 
 #: Words that stand for numbers and units, and given names known at the start of a sentence.
 NUMBER_WORDS = frozenset(
@@ -116,34 +119,40 @@ def canonical(text: str | None) -> Words:
     return Words(kinds[real], running[real], hashes[real], at[real], capitals[real])
 
 
-def literal_hashes(words: Words, width: int) -> np.ndarray:
-    """Hashes of all windows with placeholders undone, in a range of their own."""
-    return windows(words.plain, width) ^ np.uint64(0x5851F42D4C957F2D)
+class Reading:
+    """Window hashes of a sequence of words in one reading, each from one running sum whatever its width.
 
+    Numbers, units and names have their kind as hash.
+    """
 
-def values_at(at: np.ndarray) -> list[str]:
-    """The lower-cased words of numbers given by the last call of canonical."""
-    return [CHUNKS.values[i] for i in at.tolist()]
+    def __init__(self, kinds: np.ndarray, plain: np.ndarray) -> None:
+        self.kinds = kinds
+        self.runs = Runs(np.where(kinds == WORD, plain, mix(kinds.astype(np.uint64) + np.uint64(1))))
+        self.words = np.concatenate([[0], np.cumsum(kinds == WORD)])
+
+    def literal(self, at: np.ndarray, width: int, literals: int) -> np.ndarray:
+        """Those positions whose window has enough literal words."""
+        return at[self.words[at + width] - self.words[at] >= min(literals, width)]
 
+    def hashes(self, at: np.ndarray, width: int) -> np.ndarray:
+        return mix(self.runs.hashes(at, at + width) ^ np.uint64(width))
 
-def template_windows(kinds: np.ndarray, plain: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of windows with enough literal words. Numbers, units and names have their kind as hash."""
-    hashes = np.where(kinds == WORD, plain, kinds.astype(np.uint64))
-    count = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    at = np.flatnonzero(count[width:] - count[:-width] >= min(literals, width))
-    return at, windows(hashes, width)[at]
 
+def literal_hashes(runs: Runs, at: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of windows with placeholders undone, in a range of their own."""
+    return mix(runs.hashes(at, at + width) ^ np.uint64(0x5851F42D4C957F2D + width))
 
-def readings(words: Words, width: int, literals: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(kinds, positions, hashes) of the template windows; twice where a line start may or may not start a sentence."""
-    at, hashes = template_windows(words.kinds, words.plain, width, literals)
-    found = [(words.kinds, at, hashes)]
+
+def values_at(at: np.ndarray) -> list[str]:
+    """The lower-cased words of numbers given since CHUNKS was last emptied."""
+    return [CHUNKS.values[i] for i in at.tolist()]
+
+
+def both_readings(words: Words) -> tuple[Reading, Reading, np.ndarray]:
+    """Line starts start sentences, or do not; and how many words before each place read differently."""
     moved = np.concatenate([[0], np.cumsum(words.kinds != words.running)])
-    if moved[-1]:
-        at, hashes = template_windows(words.running, words.plain, width, literals)
-        other = moved[at + width] > moved[at]
-        found.append((words.running, at[other], hashes[other]))
-    return found
+    first = Reading(words.kinds, words.plain)
+    return first, Reading(words.running, words.plain) if moved[-1] else first, moved
 
 
 def slots_of(kinds: np.ndarray, numbers: np.ndarray, start: int, width: int) -> list[str]:
@@ -159,18 +168,23 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
     """
     words = canonical(text)
     n, out = len(words.kinds), []
+    first, second, moved = both_readings(words)
+    plain = Runs(words.plain)
     for own in dict.fromkeys((min(width, n), SHORT if n >= width else min(width, n))):
         if not own:
             break
-        read = readings(words, own, literals)
-        places = read[0][1]
+        everywhere = np.arange(n - own + 1)
+        places = first.literal(everywhere, own, literals)
+        other = second.literal(everywhere, own, literals)
+        other = other[moved[other + own] > moved[other]]
+        read = [(words.kinds, places, first.hashes(places, own)), (words.running, other, second.hashes(other, own))]
         if len(places) and not places[0] and words.kinds[0] == WORD and words.capitals[0]:
             kinds = words.kinds.copy()
             kinds[0] = NAME
-            read.append((kinds, places[:1], template_windows(kinds[:own], words.plain[:own], own, 0)[1]))
+            read.append((kinds, places[:1], Reading(kinds[:own], words.plain[:own]).hashes(places[:1], own)))
         if not len(places) and own == min(width, n):
-            places = np.arange(n - own + 1)
-        read.append((words.kinds, places, literal_hashes(words, own)[places]))
+            places = everywhere
+        read.append((words.kinds, places, literal_hashes(plain, places, own)))
         for kinds, at, found in read:
             out += [
                 (own, i, len(places), n, h, slots_of(kinds, words.numbers, i, own))
@@ -179,6 +193,35 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
     return out
 
 
+def windows_met(documents: list[Words], widths: list[int], literals: int, bits: np.ndarray) -> Iterator[tuple]:
+    """(document number, width, place, hash, values) of all windows of some texts that the bit map may hold.
+
+    The texts' words stand in one sequence, so that each width costs a few array operations for all of them.
+    """
+    words = Words(*map(np.concatenate, zip(*documents)))
+    sizes = np.array([len(own.kinds) for own in documents])
+    ends = np.cumsum(sizes)
+    end_of = np.repeat(ends, sizes)
+    first, second, moved = both_readings(words)
+    plain = Runs(words.plain)
+    for width in widths:
+        at = np.arange(len(end_of))
+        at = at[at + width <= end_of]
+        one, other = first.literal(at, width, literals), second.literal(at, width, literals)
+        other = other[moved[other + width] > moved[other]]
+        for kinds, places, hashes in (
+            (words.kinds, one, first.hashes(one, width)),
+            (words.running, other, second.hashes(other, width)),
+            (None, at, literal_hashes(plain, at, width)),
+        ):
+            hit = in_map(hashes, bits)
+            places, hashes = places[hit], hashes[hit].view(np.int64)
+            owner = np.searchsorted(ends, places, "right")
+            starts = places - (ends - sizes)[owner]
+            for i, place, start, h in zip(owner.tolist(), places.tolist(), starts.tolist(), hashes.tolist()):
+                yield i, width, start, h, None if kinds is None else slots_of(kinds, words.numbers, place, width)
+
+
 def longest_stretch(spans):
     """Words from the first to the last of the longest chain of spans (at, end), in order, at most one word apart."""
     zero = F.struct(F.lit(-9).alias("start"), F.lit(-9).alias("end"), F.lit(0).alias("best"))
@@ -214,26 +257,29 @@ def leaks(
     widths = sorted(row["width"] for row in known.select("width").distinct().collect())
     bits = membership_map(known, "hash")
 
-    def doc_rows(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
-            words = canonical(text)
-            for own in widths:
-                if len(words.kinds) < own:
-                    continue
-                for kinds, at, found in readings(words, own, literals):
-                    hit = in_map(found, bits)
-                    out += [
-                        (doc, name, own, i, h, slots_of(kinds, words.numbers, i, own))
-                        for i, h in zip(at[hit].tolist(), found[hit].view(np.int64).tolist())
-                    ]
-                found = literal_hashes(words, own)
-                at = np.flatnonzero(in_map(found, bits))
-                out += [(doc, name, own, i, h, None) for i, h in zip(at.tolist(), found[at].view(np.int64).tolist())]
-        return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
+    def doc_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        size = 0
+
+        def rows() -> pd.DataFrame:
+            met = windows_met([own for _, _, own in held], widths, literals, bits)
+            out = [(*held[i][:2], *row) for i, *row in met]
+            held.clear()
+            return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
+
+        for frame in frames:
+            for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
+                # Numbers of words hold until CHUNKS is emptied.
+                if held and (size > HELD or len(CHUNKS) > CHUNKS.LIMIT):
+                    yield rows()
+                    size = 0
+                held.append((doc, name, canonical(text)))
+                size += len(held[-1][2].kinds)
+        if held:
+            yield rows()
 
     source = named_texts(docs).where("text is not null")
-    found = mapped(source, "doc_id string, name long, width int, place int, hash long, values array<string>", doc_rows)
+    found = source.mapInPandas(doc_rows, "doc_id string, name long, width int, place int, hash long, values array<string>")
     values = F.coalesce("values", "slots")
     matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size(values))
     matched = saved(matched.select(
@@ -268,9 +314,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
     ).withColumnsRenamed({"doc_id": "_id", "name": "_name"})
     own = docs.drop("contaminated", "n_items", "items", "coverage", "_id", "_name")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_name() == F.col("_name"))
-    joined = own.join(saved(found).hint("merge"), same, "left")
+    found = saved(found)
+    # Only texts that may have leaks are exchanged; a bit map of fixed size proves of most that they have none.
+    there = may_meet(membership_map(found, "_name"))(text_name())
+    some, rest = own.where(there), own.where(~there)
+    joined = some.join(found.hint("merge"), same, "left").unionByName(rest, allowMissingColumns=True)
     return joined.select(
-        *[own[name] for name in own.columns],
+        *own.columns,
         F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.lit("")).alias("items"),
