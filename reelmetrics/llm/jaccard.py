@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SKETCH_CELLS, count_sketch, in_map, mapped, membership_map, named_texts, saved, shingles, text_name, with_long_id
+from .common import SKETCH_CELLS, count_sketch, in_map, mapped, may_meet, membership_map, named_texts, saved, shingles, text_name, with_long_id
 from .components import linked_groups
 
 #: Words of the parity sketch that bounds how far two sets differ (the suffix filter), 64 bits each.
@@ -142,12 +142,14 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
     groups = saved(grouped_rows(docs, width, threshold))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "name")
     firsts = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("first"))
-    alone = groups.where("component is null").select("doc_id", "name").distinct()
-    kept = firsts.select("first.doc_id", "first.name").unionByName(alone).select(F.col("doc_id").alias("_kept"), F.col("name").alias("_name"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")) & (text_name() == F.col("_name"))
-    named = docs.join(saved(kept).hint("merge"), same, "left_semi")
-    repeated = groups.groupBy("doc_id", "name").count().where("count > 1")
-    return named if repeated.isEmpty() else named.dropDuplicates(["doc_id", "text"])
+    later = groups.withColumn("place", place).join(saved(firsts), "component").where(~F.col("place").eqNullSafe(F.col("first")))
+    dropped = saved(later.select(F.col("doc_id").alias("_dropped"), F.col("name").alias("_name")).distinct())
+    repeated = groups.groupBy("doc_id", "name").count().where("count > 1").select(F.col("name").alias("_name"))
+    # Only documents that may go, or may repeat, are exchanged; a bit map of fixed size proves of the others that they stay.
+    there = may_meet(membership_map(saved(dropped.select("_name").unionByName(repeated)), "_name"))(text_name())
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_dropped")) & (text_name() == F.col("_name"))
+    some = docs.where(there).join(dropped.hint("merge"), same, "left_anti").dropDuplicates(["doc_id", "text"])
+    return some.unionByName(docs.where(~there))
 
 
 def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
