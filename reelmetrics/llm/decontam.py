@@ -222,6 +222,31 @@ def windows_met(documents: list[Words], widths: list[int], literals: int, bits:
                 yield i, width, start, h, None if kinds is None else slots_of(kinds, words.numbers, place, width)
 
 
+def rows_met(frames: Iterator[pd.DataFrame], widths: list[int], literals: int, bits: np.ndarray) -> Iterator[pd.DataFrame]:
+    """doc_id, name, width, place, hash, values of the windows that the bit map may hold, about HELD words at a time.
+
+    Outside a job's closure on purpose: a closure would take its own copy of CHUNKS along and not see it emptied.
+    """
+    held: list[tuple] = []
+    size = 0
+
+    def rows() -> pd.DataFrame:
+        out = [(*held[i][:2], *row) for i, *row in windows_met([own for _, _, own in held], widths, literals, bits)]
+        held.clear()
+        return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
+
+    for frame in frames:
+        for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
+            # Numbers of words hold until CHUNKS is emptied, which the next text does once it is full.
+            if held and (size > HELD or len(CHUNKS) > CHUNKS.LIMIT):
+                yield rows()
+                size = 0
+            held.append((doc, name, canonical(text)))
+            size += len(held[-1][2].kinds)
+    if held:
+        yield rows()
+
+
 def longest_stretch(spans):
     """Words from the first to the last of the longest chain of spans (at, end), in order, at most one word apart."""
     zero = F.struct(F.lit(-9).alias("start"), F.lit(-9).alias("end"), F.lit(0).alias("best"))
@@ -258,25 +283,7 @@ def leaks(
     bits = membership_map(known, "hash")
 
     def doc_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        size = 0
-
-        def rows() -> pd.DataFrame:
-            met = windows_met([own for _, _, own in held], widths, literals, bits)
-            out = [(*held[i][:2], *row) for i, *row in met]
-            held.clear()
-            return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
-
-        for frame in frames:
-            for doc, name, text in zip(frame["doc_id"], frame["name"], frame["text"]):
-                # Numbers of words hold until CHUNKS is emptied.
-                if held and (size > HELD or len(CHUNKS) > CHUNKS.LIMIT):
-                    yield rows()
-                    size = 0
-                held.append((doc, name, canonical(text)))
-                size += len(held[-1][2].kinds)
-        if held:
-            yield rows()
+        return rows_met(frames, widths, literals, bits)
 
     source = named_texts(docs).where("text is not null")
     found = source.mapInPandas(doc_rows, "doc_id string, name long, width int, place int, hash long, values array<string>")
