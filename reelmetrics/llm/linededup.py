@@ -16,8 +16,8 @@ from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
 EDITS, LEAST_CHARS = 2, 20
-#: Lines of white space alone, as str.isspace knows it; they are never compared or removed.
-BLANK = r"^[\s\x1c-\x1f\x85\p{Z}]*$"
+#: White space as str.isspace knows it: lines of it alone are never compared or removed.
+BLANK = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 #: Characters whose hashes a task holds at once.
 CHUNK = 1 << 20
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -249,7 +249,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     joined = some.join(dropped.hint("merge"), same, "left").unionByName(rest, allowMissingColumns=True)
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
-    filled = F.size(F.filter(lines, lambda x: ~x.rlike(BLANK)))
+    filled = F.size(F.filter(lines, lambda x: F.length(F.btrim(x, F.lit(BLANK))) > 0))
     filled = F.coalesce(filled, F.lit(0)).cast("long")
     removed = F.coalesce(F.size("dropped"), F.lit(0)).cast("long")
     text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))

@@ -378,3 +378,30 @@ def test_twins(spark, sf_dir, name):
     names = sorted(found.columns)
     wanted = tables.execute(f"select {', '.join(names)} from ({ORACLE[name]})").fetchall()
     assert sorted(map(repr, map(tuple, found.select(*names).collect()))) == sorted(map(repr, wanted))
+
+
+def test_windows_of_many_texts_equal_those_of_each_alone(monkeypatch):
+    """Whatever is held together, and however often the table of words is emptied in between."""
+    import pandas as pd
+
+    random.seed(9)
+    texts = [" ".join(random.choice("Ann went 3 km to the big Red house on day 12 .\n".split(" ")) + str(random.randrange(30)) * random.randrange(2) for _ in range(random.randint(0, 40))) for _ in range(60)]
+    frame = pd.DataFrame({"doc_id": [str(i) for i in range(60)], "name": range(60), "text": texts})
+    bits = np.full(1 << 22, 255, np.uint8)
+
+    def found(frames):
+        rows = pd.concat(list(decontam.rows_met(frames, [3, 6, 8], 4, bits)))
+        return sorted((tuple(map(repr, row)) for row in rows.itertuples(index=False)))
+
+    alone = found(iter([frame.iloc[[i]] for i in range(60)]))
+    together = found(iter([frame]))
+    monkeypatch.setattr(decontam.Chunks, "LIMIT", 15)
+    monkeypatch.setattr(decontam, "HELD", 50)
+    assert len(alone) > 1000 and alone == together == found(iter([frame]))
+
+
+def test_lines_ending_in_carriage_returns_go_whole(spark):
+    """A text whose lines all repeat counts as emptied, though its line ends keep blanks."""
+    rows = [(1, "one line of some length here\r\nanother line of some length\r\n\u3000"), (2, "one line of some length here\r\n\x1c\r\nanother line of some length\r\n")]
+    found = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: (2, 0), 2: (2, 2)}
