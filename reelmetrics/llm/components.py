@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -49,18 +49,22 @@ def linked_groups(
     buckets: key, node and small columns. attributes: one row per node with what may_link(x, y), an SQL condition
     over x.* and y.* of two rows of a bucket, also needs. verify: pairs (a, b) to true links (a, b). In each turn a bucket's
     nodes are compared with two of them, the least and the greatest by a hash that is the same in all
-    buckets; then only pairs of different components are. So a large group of near copies costs its size, not its
-    square, and no link between components is lost.
+    buckets (in the first turn the one with the most shared keys instead of the greatest: in a group of edited copies
+    that is the text the others were made from, which most of them link with); then only pairs of different components
+    are. So a large group of near copies costs its size, not its square, and no link between components is lost.
     """
     ends = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     ends = saved(ends.where("low <> high").select("key"))
-    shared = saved(buckets.join(ends, "key").join(attributes, "node"))
-    side = F.struct("group", *[c for c in shared.columns if c != "key"])
+    shared = buckets.join(ends, "key").join(attributes, "node")
+    shared = saved(shared.withColumn("met", F.count("*").over(Window.partitionBy("node"))))
+    side = F.struct("group", *[c for c in shared.columns if c not in ("key", "met")])
     placed, links, groups = shared.withColumn("group", F.col("node")), None, None
     for turn in range(turns + 1):
-        ordered = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), side.alias("row"))
+        order = F.xxhash64("node", F.lit(turn)).alias("order")
+        least = F.struct(order, side.alias("row"))
+        most = F.struct((F.col("met") if turn == 0 else F.lit(0)).alias("met"), order, side.alias("row"))
         heads = placed.groupBy("key").agg(
-            F.min(ordered).alias("x"), F.max(ordered).alias("z"), F.min("group").alias("low"), F.max("group").alias("high")
+            F.min(least).alias("x"), F.max(most).alias("z"), F.min("group").alias("low"), F.max("group").alias("high")
         )
         heads = saved(heads.where("low <> high").select("key", "x.row", F.col("z.row").alias("last")))
         if heads.isEmpty():

@@ -57,6 +57,20 @@ def test_linked_groups_keep_links_between_any_members(spark):
     assert found == least_reachable(nodes, links)
 
 
+def test_copies_of_one_text_are_united_by_it(spark):
+    """200 nodes that link with node 0 alone: it shares the most keys, so the first turn finds all links and no pairs are left."""
+    rows = spark.createDataFrame([(1, n) for n in range(201)] + [(2 + n % 7, n) for n in range(1, 201)] + [(k, 0) for k in range(2, 9)], "key long, node long")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.where("a = 0")
+
+    found = linked_groups(rows, rows.select("node").distinct(), lambda x, y: "true", verify).collect()
+    assert len(found) == 201 and {r["component"] for r in found} == {0}
+    assert sum(seen) < 3000  # all pairs would be 20,100
+
+
 # Vectors
 
 
