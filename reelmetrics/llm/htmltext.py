@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -38,19 +39,32 @@ OUTSIDE_WORDS = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended form search widget masthead copyright legal disclaimer pagination pager toolbar".split()
 )
+#: Of these, the words of reader comments: their text is never the article, however much of it there is.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond".split())
 #: Class words that mean page furniture only outside the article.
 FRAME_WORDS = frozenset("header head top".split())
+#: Words that say nothing beside one of the words above: `site-footer` is a footer, `no-comments` is not a list of comments.
+PLAIN_WORDS = frozenset(
+    "site page main global primary secondary inner outer left right top bottom box bar block section wrapper wrap container "
+    "content area list item items slot unit links link buttons button posts header body widget text menu panel region".split()
+)
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
+#: Attributes as browsers read them: quotes count at the start of a value only.
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|canvas|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|[^\s/>=]+(?:\s*=\s*{VALUE})?|=)*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^<>]*\Z",
-    re.S | re.I,
+    re.S,
 )
-ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+ATTRIBUTE = re.compile(rf"([^\s/>=]+)(?:\s*=\s*({VALUE}))?")
+#: Elements without text to read; those in CODE_TAGS cannot be closed by `/>` and last to the page's end if nothing ends them.
+CODE_TAGS = frozenset("script style xmp".split())
+SKIPPED_ENDS = {
+    tag: re.compile(rf"</{tag}\s*>", re.I) for tag in (*CODE_TAGS, "noscript", "template", "svg", "math", "canvas")
+}
 WORD = re.compile(r"[^\W\d_]+")
 #: Characters of scripts without spaces; one says as much as three letters.
 DENSE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -59,11 +73,16 @@ SPACE = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    """Text between two block boundaries, with what the rules look at."""
+    """Text between two block boundaries, with what the rules look at.
+
+    `outside`: in furniture by tag or role, or by a mark that counts. `marks`: places in the page of the elements around it
+    that only a class word, an id or the form tag calls furniture.
+    """
 
     text: str
     links: int
     outside: bool
+    marks: tuple[int, ...]
     article: int
     heading: bool
     good: bool | None = None
@@ -73,35 +92,61 @@ def attributes(text: str) -> dict[str, str]:
     return {name.lower(): html.unescape(value.strip("\"'")).lower() for name, value in ATTRIBUTE.findall(text)}
 
 
-def furniture(tag: str, attrs: dict[str, str], inside: bool) -> bool:
-    """Whether an element is a menu, form, advert, comment or the like by its tag, role, class or id."""
-    if tag in OUTSIDE_TAGS or (tag == "header" and not inside):
-        return True
+def means(token: str, inside: bool) -> frozenset[str]:
+    """The furniture words of one class or id; none if other words beside them give it another meaning."""
+    words = frozenset(re.split(r"[^a-z]+", token)) - {""}
+    own = words & OUTSIDE_WORDS if inside else words & (OUTSIDE_WORDS | FRAME_WORDS)
+    return own if words <= own | PLAIN_WORDS else frozenset()
+
+
+def furniture(tag: str, attrs: dict[str, str], inside: bool) -> str | None:
+    """How an element is a menu, form, advert, comment or the like: `sure` by tag, role or words of comments, `marked`
+    by another class word, its id or as a form, None if it is not."""
     if attrs.get("role") in OUTSIDE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
+        return "sure"
+    if (tag in OUTSIDE_TAGS and tag != "form") or (tag == "header" and not inside):
+        return "sure"
     if tag in ("html", "body", "main"):
-        return False
+        return None
     if "display:none" in attrs.get("style", "").replace(" ", ""):
-        return True
-    words = set(re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}"))
-    return bool(words & OUTSIDE_WORDS) or (not inside and bool(words & FRAME_WORDS))
+        return "sure"
+    words = frozenset().union(*(means(token, inside) for token in [*attrs.get("class", "").split(), attrs.get("id", "")]))
+    if words & COMMENT_WORDS:
+        return "sure"
+    return "marked" if words or tag == "form" else None
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's non-empty blocks in order."""
+def blocks(page: str, released: frozenset[int] = frozenset()) -> list[Block]:
+    """The page's non-empty blocks in order; marks of elements at the places `released` do not count."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []
+    stack: list[tuple[str, bool, tuple[int, ...], int]] = []
     texts: list[str] = []
     linked: list[str] = []
+    endless: set[str] = set()
     at, articles, link, heading = 0, 0, 0, False
 
+    def around() -> tuple[bool, tuple[int, ...], int]:
+        return stack[-1][1:] if stack else (False, (), 0)
+
+    def enter(tag: str, attrs: dict[str, str], place: int) -> None:
+        nonlocal articles
+        sure, marks, article = around()
+        own = furniture(tag, attrs, bool(article))
+        if own == "marked" and place not in released:
+            marks = (*marks, place)
+        body = tag in ("article", "main") or attrs.get("role") in ("main", "article") or "articlebody" in attrs.get("itemprop", "")
+        if body and not (article or sure or marks or own == "sure"):
+            articles += 1
+            article = articles
+        stack.append((tag, sure or own == "sure", marks, article))
+
     def close() -> None:
         nonlocal texts, linked
         text = SPACE.sub(" ", html.unescape("".join(texts))).strip()
         if text:
             links = len(SPACE.sub(" ", html.unescape("".join(linked))).strip())
-            outside, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            found.append(Block(text, links, outside, article, heading))
+            sure, marks, article = around()
+            found.append(Block(text, links, sure or bool(marks), () if sure else marks, article, heading))
         texts, linked = [], []
 
     def take(text: str) -> None:
@@ -110,12 +155,20 @@ def blocks(page: str) -> list[Block]:
             if link:
                 linked.append(text)
 
-    for match in TOKEN.finditer(page):
+    while match := TOKEN.search(page, at):
         take(page[at : match.start()])
         at = match.end()
-        slash, tag = match.group(2), (match.group(3) or "").lower()
+        slash, tag, inner = match.group(1), (match.group(2) or "").lower(), match.group(3) or ""
         if not tag:
             continue
+        if tag in SKIPPED_ENDS and not slash and tag not in endless and (tag in CODE_TAGS or not inner.endswith("/")):
+            if end := SKIPPED_ENDS[tag].search(page, at):
+                at = end.end()
+                continue
+            if tag in CODE_TAGS:
+                at = len(page)
+                break
+            endless.add(tag)
         if tag == "br":
             take(" ")
         elif tag == "a":
@@ -136,22 +189,28 @@ def blocks(page: str) -> list[Block]:
         elif tag in GAP_TAGS or tag in OUTSIDE_TAGS:
             if tag in ("p", "li") and stack and stack[-1][0] == tag:
                 stack.pop()
-            outside, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            attrs = attributes(match.group(4))
-            own = furniture(tag, attrs, bool(article))
-            body = tag in ("article", "main") or attrs.get("role") in ("main", "article") or "articlebody" in attrs.get("itemprop", "")
-            if body and not article and not outside and not own:
-                articles += 1
-                article = articles
-            stack.append((tag, outside or own, article))
-        elif match.group(4) and not match.group(4).endswith("/") and re.search(r"class|id|hidden|role|style", match.group(4)):
-            outside, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            stack.append((tag, outside or furniture(tag, attributes(match.group(4)), bool(article)), article))
+            enter(tag, attributes(inner), match.start())
+        elif inner and not inner.endswith("/") and re.search(r"class|id|hidden|role|style", inner, re.I):
+            enter(tag, attributes(inner), match.start())
     take(page[at:])
     close()
     return found
 
 
+def holds_most(found: list[Block]) -> frozenset[int]:
+    """Places of the marked elements that hold more than half of the page's running text: a class word, an id or a form
+    around a whole page says nothing of its text."""
+    total, inside = 0, Counter()
+    for block in found:
+        size = len(block.text) + 2 * len(DENSE.findall(block.text))
+        if (block.outside and not block.marks) or block.heading or size < SHORT or block.links > MANY_LINKS * len(block.text):
+            continue
+        total += size
+        for place in block.marks:
+            inside[place] += size
+    return frozenset(place for place, size in inside.items() if 2 * size > total)
+
+
 def first_pass(found: list[Block]) -> None:
     """good, bad, or None where length, links and stop words leave it open.
 
@@ -212,8 +271,13 @@ def second_pass(found: list[Block]) -> None:
 
 
 def main_text(page: str | None) -> str:
-    """The article's blocks joined by a blank line; empty for null, empty or furniture-only pages."""
+    """The article's blocks joined by a blank line; empty for null, empty or furniture-only pages.
+
+    A class word, an id or a form hides an element unless it holds most of the running text; comments are hidden always.
+    """
     found = blocks(page or "")
+    if released := holds_most(found):
+        found = blocks(page, released)
     first_pass(found)
     second_pass(found)
     return "\n\n".join(block.text for block in found if block.good)

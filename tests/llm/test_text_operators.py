@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -282,6 +283,49 @@ def test_furniture_has_no_say_on_its_neighbours():
     assert htmltext.main_text(f"<nav>Menu</nav><h1>Head</h1><p>{good}</p><footer>End</footer>") == f"Head\n\n{good}"
 
 
+RUNNING = "It was the day of the night and the sun was in the sky, as it is on all the days of the year."
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="layout has-sidebar">{}</div>', '<article class="post no-comments">{}</article>', '<div id="social-science">{}</div>',
+    '<section class="legal">{}</section>', '<form method=post><article>{}</article></form>', '<div class="content-wrapper form">{}</div>',
+    '<form><div class="notice"><main>{}</main></div></form>',
+])
+def test_a_class_word_or_form_around_the_article_hides_nothing(around):
+    menu, foot = '<nav><a href="/">Menu</a></nav>', '<div class="site-footer">All rights of the page are with the owner.</div>'
+    page = f"<body>{menu}{around.format(f'<h1>Head</h1><p>{RUNNING}</p><p>{RUNNING * 2}</p>')}{foot}</body>"
+    assert htmltext.main_text(page) == f"Head\n\n{RUNNING}\n\n{RUNNING * 2}"
+
+
+@pytest.mark.parametrize("inside", [
+    '<div class="comment-list"><p>{}</p></div>', '<ul class="comments"><li>{}</li></ul>', '<div id=respond>{}</div>', '<aside>{}</aside>',
+    '<div class="main sponsored">{}</div>', '<form><label>{}</label></form>', '<div class="cookie-bar">{}</div>', "<div role=search>{}</div>",
+])
+def test_furniture_in_an_article_stays_out(inside):
+    page = f"<article><p>{RUNNING}</p><p>{RUNNING * 2}</p>{inside.format(RUNNING)}</article>"
+    assert htmltext.main_text(page) == f"{RUNNING}\n\n{RUNNING * 2}"
+
+
+def test_comments_stay_out_though_they_are_longer():
+    comments = f"<div class='comments'><p>{RUNNING * 3}</p><p>{RUNNING * 4}</p></div>"
+    assert htmltext.main_text(f"<div><p>{RUNNING}</p>{comments}</div>") == RUNNING
+
+
+@pytest.mark.parametrize("markup", [
+    '<svg width="1"/>', "<math/>", "<svg><path d='M0'/></svg>", "<canvas>", "<svg>", "<p title=it's>", "<p title=a'b class=x>", '<p data-x="a>b">',
+    "<script>var a = '<p>';</script>", "<template><p>T</p></template>", "<p =x 'y'>", "<P\nCLASS='ad-free'>", "<img alt=\"it's\">",
+])
+def test_markup_hides_no_text_after_it(markup):
+    assert htmltext.main_text(f"<article><p>{RUNNING}</p>{markup}{RUNNING}</article>").replace("\n\n", "") == RUNNING * 2
+
+
+def test_open_elements_take_linear_time():
+    start = time.perf_counter()
+    for part in ("<svg>x ", "<p title='>", "<a b=\">", "<!-", "< a= ='"):
+        htmltext.main_text(part * 40_000)
+    assert time.perf_counter() - start < 60
+
+
 def test_odd_pages(spark):
     pages = [(1, "u", None), (2, "u", ""), (3, None, "<p"), (4, "u", "<b>x" * 3000), (4, "u", "plain"), (None, "u", "<a href='<p>'>t</a")]
     rows = htmltext.extract(spark.createDataFrame([(*p, "e") for p in pages], "page_id long, url string, html string, text string")).collect()
