@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -10,9 +10,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved
+
 #: n-grams of a profile, of a document's list, and the longest n-gram (three code points fit one long).
 PROFILE, LISTED, LONGEST = 400, 300, 3
 UNKNOWN = "und"
+#: Characters counted at a time.
+PORTION = 1 << 20
 
 
 def letter_table() -> np.ndarray:
@@ -34,7 +38,44 @@ def counted_keys(keys: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return found, counts[found]
 
 
+def portions(texts: Iterable[str], most: int = PORTION) -> Iterator[str]:
+    """The texts in strings of about `most` characters, cut between words only (a longer word stays whole)."""
+    held, size = [], 0
+    for text in texts:
+        at = 0
+        while at < len(text):
+            end = at + most - size
+            while end < len(text) and text[end].isalpha():
+                end += 1
+            held.append(text[at:end])
+            size += len(held[-1]) + 1
+            at = end
+            if size >= most:
+                yield "\n".join(held)
+                held, size = [], 0
+    if held:
+        yield "\n".join(held)
+
+
+def added_up(counted: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of all parts together, in key order."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for more, own in counted:
+        found, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, at, np.concatenate([counts, own]))
+        keys, counts = found, total
+    return keys, counts
+
+
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text with counts, see portion_ngrams; a long text is counted portion by portion."""
+    if text is None or len(text) <= PORTION:
+        return portion_ngrams(text)
+    return added_up(map(portion_ngrams, portions([text])))
+
+
+def portion_ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of the lower-cased words with counts; keys are code points packed 21 bits each.
 
     A space stands around each word; single letters and n-grams with a space at one end count, none reaches over one.
@@ -86,17 +127,14 @@ def learn_profiles(docs: DataFrame, most: int = PROFILE) -> dict[str, list[int]]
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lang, texts in frame.groupby("lang")["text"]:
-                keys, counts = ngrams("\n".join(texts))
+                keys, counts = added_up(map(portion_ngrams, portions(texts)))
                 yield pd.DataFrame({"lang": lang, "gram": keys, "n": counts})
 
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = known.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-    try:
-        langs = sorted(row[0] for row in counts.select("lang").distinct().collect())
-        best = [counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(most) for lang in langs]
-        rows = reduce(DataFrame.union, best).collect() if best else []
-    finally:
-        counts.unpersist()
+    counts = saved(known.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    langs = sorted(row[0] for row in counts.select("lang").distinct().collect())
+    best = [counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(most) for lang in langs]
+    rows = reduce(DataFrame.union, best).collect() if best else []
     profiles: dict[str, list[int]] = {}
     for row in sorted(rows, key=lambda row: (row["lang"], -row["n"], row["gram"])):
         profiles.setdefault(row["lang"], []).append(row["gram"])

@@ -170,6 +170,38 @@ def test_ngrams_equal_plain_count():
         assert found == plain_ngrams(text or "")
 
 
+@pytest.mark.parametrize("most", [1, 3, 7, 50, 10_000])
+def test_ngrams_of_portions_equal_those_of_whole_texts(most):
+    texts = ["It's a day, ÉTÉ 12 été", "", "日本語 の" * 9, "a-b_c\n\nd " * 30, "x" * 300, "ü"]
+    portions = list(langid.portions(texts, most))
+    keys, counts = langid.added_up(map(langid.portion_ngrams, portions))
+    whole = langid.portion_ngrams("\n".join(texts))
+    assert dict(zip(keys.tolist(), counts.tolist())) == dict(zip(*(a.tolist() for a in whole)))
+    assert max(map(len, portions)) <= most + 301 and langid.added_up([])[0].size == 0
+
+
+def test_long_texts_are_counted_by_portions(monkeypatch):
+    text = "It was a day, été 12, and a night. " * 50
+    whole = langid.ngrams(text)
+    monkeypatch.setattr(langid, "PORTION", 100)
+    monkeypatch.setattr(langid.portions, "__defaults__", (100,))
+    parts = langid.ngrams(text)
+    assert dict(zip(*(a.tolist() for a in parts))) == dict(zip(*(a.tolist() for a in whole)))
+
+
+def test_nearest_language_by_plain_ranks_and_ties_by_name():
+    profiles = {"b": [5, 9, 7], "a": [5, 9, 7], "c": [9, 5]}
+    tables = langid.Profiles(profiles)
+    text = "the sun of the day"
+    grams = langid.ranked(*langid.ngrams(text), langid.LISTED).tolist()
+    own = {"a": grams[:3][::-1], "b": grams[:3], "c": grams[:3]}
+    far = {
+        lang: sum(min(abs(ranks.index(g) - i), 3) if g in ranks else 3 for i, g in enumerate(grams)) for lang, ranks in own.items()
+    }
+    assert langid.Profiles(own).predict(text) == ("b", pytest.approx(1 - far["b"] / (3 * len(grams)))) and far["b"] < far["a"]
+    assert tables.predict(text)[0] == "a"
+
+
 def test_languages_of_odd_rows(odd, spark):
     train = spark.createDataFrame([("en", "the day of the night and the sun"), ("fr", "le jour de la nuit et le soleil"), (None, "x"), ("de", None)], "lang string, text string")
     profiles = langid.learn_profiles(train)
