@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: What stands between words, and what ends a text block: a line end or a sentence mark before white space.
-BETWEEN, BLOCK_END = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"\n|[.!?][ \t\r\n]"
+#: What stands between words, and what ends a passage: a blank line, or a sentence mark and white space before a word that
+#: starts with no digit (`v. 2.0` goes on). A line end alone ends nothing: notices are wrapped.
+BETWEEN, PASSAGE_END = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"\n[ \t\r]*\n|[.!?][ \t\r\n](?![\x00-\x2F\x3A-\x60\x7B-\x7F]*[0-9])"
 
 #: Phrases with the labels they stand for.
 PHRASES = {
@@ -20,7 +21,7 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Usual notice sentences (one block each) with their labels.
+#: Usual notice sentences with their labels.
 TEMPLATES = (
     ("released under the MIT license", "mit"),
     ("licensed under the MIT license", "mit"),
@@ -46,12 +47,13 @@ THRESHOLD = 0.9
 
 @dataclass(frozen=True)
 class Template:
-    """A template's distinct words, rare first, and the overlap a block needs."""
+    """A template's distinct words, rare first, the overlap a block needs and the stretch of words it may be spread over."""
 
     number: int
     label: str
     words: tuple[str, ...]
     need: int
+    reach: int
 
     @property
     def prefix(self) -> tuple[str, ...]:
@@ -69,6 +71,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
+def reach(text: str) -> int:
+    """Words over which a notice may be spread: the power of four from twice the template's words on, 16 at least."""
+    words = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text))
+    return max(16, 4 ** math.ceil(math.log(2 * words, 4) - 1e-9))
+
+
+def windows(words: Column, step: int) -> Column:
+    """Overlapping blocks of 2 * step words, `step` apart: each stretch of `step` words lies in one of them."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - step - 1, F.lit(0)), F.lit(step))
+    return F.transform(starts, lambda i: F.slice(words, i + 1, 2 * step))
+
+
 def strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
@@ -83,7 +97,7 @@ def ordered(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     hits = docs.select(F.explode(F.array_intersect(strings(vocabulary), words_of(F.col("text")))).alias("word"))
     counts = {row["word"]: row["n"] for row in hits.groupBy("word").agg(F.count("*").alias("n")).collect()}
     return [
-        Template(i, label, tuple(sorted(words, key=lambda w: (counts.get(w, 0), w))), math.ceil(threshold * len(words) - 1e-9))
+        Template(i, label, tuple(sorted(words, key=lambda w: (counts.get(w, 0), w))), math.ceil(threshold * len(words) - 1e-9), reach(templates[i][0]))
         for i, (words, label) in enumerate(sets)
     ], sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -98,8 +112,9 @@ def phrase_starts(words: Column, phrase: str) -> Column:
 def scan(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
-    A block (sentence or line) has a template's label if it holds at least `threshold` of the template's distinct
-    words. Blocks are cut only in documents that have a word of a template's prefix; a block's words in global order
+    A block has a template's label if it holds at least `threshold` of the template's distinct words. Blocks are windows of
+    a passage (16 and 64 words apart, twice as long, by the template's length), which ends at blank lines and sentence marks, not at line ends; a shorter passage is one block. They are cut
+    only in documents that have a word of a template's prefix; a block's words in global order
     are joined with the prefixes, thinned by length and position, and verified. score: 1 with a phrase, else the
     best containment found, else 0. Null text is empty; repeated rows and null ids give a row each.
     """
@@ -107,8 +122,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES
     spark = docs.sparkSession
     prefix_words = sorted({word for t in found for word in t.prefix})
     prefixes = spark.createDataFrame(
-        [(w, i, t.number, t.label, list(t.words), len(t.words), t.need) for t in found for i, w in enumerate(t.prefix)],
-        "word string, at int, template int, label string, template_words array<string>, n int, need int",
+        [(w, t.reach, i, t.number, t.label, list(t.words), len(t.words), t.need) for t in found for i, w in enumerate(t.prefix)],
+        "word string, reach int, at int, template int, label string, template_words array<string>, n int, need int",
     )
     starts = F.flatten(
         F.array(*[
@@ -119,10 +134,15 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES
     base = F.array_sort(F.array_distinct(F.array_compact(F.array(*[
         F.when(F.contains(F.col("joined"), F.lit(f" {p} ")), F.lit(label)) for p, label in phrases.items()
     ]))))
-    blocks = F.filter(
-        F.transform(F.split("text", BLOCK_END), lambda block: F.array_intersect(strings(order), words_of(block))),
-        lambda own: F.arrays_overlap(own, strings(prefix_words)),
-    )
+    passages = F.transform(F.split("text", PASSAGE_END), words_of)
+
+    def blocks_of(step: int) -> Column:
+        firsts = strings(sorted({word for t in found if t.reach == step for word in t.prefix}))
+        cut = F.flatten(F.transform(passages, lambda own: windows(own, step)))
+        known = F.filter(F.transform(cut, lambda block: F.array_intersect(strings(order), block)), lambda own: F.arrays_overlap(own, firsts))
+        return F.transform(known, lambda own: F.struct(F.lit(step).alias("reach"), own.alias("own")))
+
+    blocks = F.concat(*[blocks_of(step) for step in sorted({t.reach for t in found})])
     rows = (
         docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("words", words_of(F.col("text")))
@@ -132,11 +152,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES
             F.when(F.arrays_overlap("words", strings(prefix_words)), blocks).alias("blocks"),
         )
     )
-    tokens = rows.withColumn("own", F.explode_outer("blocks")).select(
-        "row", "doc_id", "n_words", "starts", "base", "own", F.posexplode_outer("own").alias("own_at", "word")
+    tokens = rows.withColumn("block", F.explode_outer("blocks")).select("*", "block.reach", "block.own").select(
+        "row", "doc_id", "n_words", "starts", "base", "reach", "own", F.posexplode_outer("own").alias("own_at", "word")
     )
     most = F.least("at", "own_at") + 1 + F.least(F.col("n") - F.col("at") - 1, F.size("own") - F.col("own_at") - 1)
-    joined = tokens.join(prefixes, "word", "left").withColumn(
+    joined = tokens.join(prefixes, ["word", "reach"], "left").withColumn(
         "share",
         F.when((F.size("own") >= F.col("need")) & (most >= F.col("need")), F.size(F.array_intersect("template_words", "own")) / F.col("n")),
     )
@@ -162,24 +182,33 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES
 
 
 def twin_sql(templates=TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> str:
-    """The same scan as DuckDB SQL: every block against every template, without filters."""
+    """The same scan as DuckDB SQL: every block against every template, without filters.
+
+    Paragraphs are split first, then sentences, after what stands between a mark and a number is taken out.
+    """
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    values = ", ".join(f"('{label}', {quoted(template_words(text))})" for text, label in templates)
+    values = ", ".join(f"('{label}', {quoted(template_words(text))}, {reach(text)})" for text, label in templates)
     bases = ", ".join(f"('{label}', {quoted(phrase.split())})" for phrase, label in phrases.items())
     lowered = f"translate(coalesce({{}}, ''), '{UPPER}', '{LOWER}')"
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lowered.format("text")}, '{word}') AS words, text FROM documents),
 phrases(label, parts) AS (VALUES {bases}),
-templates(label, parts) AS (VALUES {values}),
+templates(label, parts, reach) AS (VALUES {values}),
 places AS (
   SELECT r, label, i FROM (SELECT r, words, unnest(range(len(words))) AS i FROM docs) w, phrases
   WHERE words[i + 1] = parts[1] AND words[i + 1 : i + len(parts)] = parts),
 base AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS b, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY r),
-blocks AS (SELECT r, unnest(string_split_regex(coalesce(text, ''), '{BLOCK_END}')) AS block FROM docs),
-sets AS (SELECT r, list_distinct(regexp_extract_all({lowered.format("block")}, '{word}')) AS own FROM blocks),
+paragraphs AS (SELECT r, unnest(string_split_regex(coalesce(text, ''), '\\n[ \\t\\r]*\\n')) AS p FROM docs),
+sentences AS (
+  SELECT r, unnest(string_split_regex(regexp_replace(p, '([.!?])[ \\t\\r\\n][\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*([0-9])', '\\1\\2', 'g'), '[.!?][ \\t\\r\\n]')) AS sentence
+  FROM paragraphs),
+passages AS (SELECT r, regexp_extract_all({lowered.format("sentence")}, '{word}') AS w FROM sentences),
+blocks AS (
+  SELECT r, w, reach, unnest(range(0, greatest(len(w) - reach, 1), reach)) AS i FROM passages, (SELECT DISTINCT reach FROM templates) t),
+sets AS (SELECT r, reach, list_distinct(w[i + 1 : i + 2 * reach]) AS own FROM blocks),
 found AS (
-  SELECT r, label, len(list_intersect(parts, own)) / len(parts) AS share FROM sets, templates WHERE len(list_intersect(parts, own)) / len(parts) >= {threshold}),
+  SELECT r, label, len(list_intersect(parts, own)) / len(parts) AS share FROM sets JOIN templates USING (reach) WHERE len(list_intersect(parts, own)) / len(parts) >= {threshold}),
 more AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS best FROM found GROUP BY r)
 SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,

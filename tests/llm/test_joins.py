@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from reelmetrics.llm import decontam, jaccard, licenses, linededup, vectors
 from reelmetrics.llm.components import components, linked_groups
@@ -273,6 +277,48 @@ def test_licenses_equal_sql_on_odd_texts(spark):
     assert licenses.scan(frame.limit(0)).count() == 0
 
 
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use'
+)
+
+
+def test_wrapped_notices_are_found_whatever_stands_around_them(spark):
+    texts, labels = [], []
+    for notice, label in [*licenses.TEMPLATES, (MPL, "mpl-2"), (MIT, "mit")]:
+        for width, mark in ((1000, ""), (72, " * "), (30, "# "), (12, "// ")):
+            lines = [mark + line for line in textwrap.wrap(notice, width, break_long_words=False)]
+            texts.append("\n".join(["int main() {", *lines, mark + "x = 1", "}"]))
+            labels.append(label)
+    far = " ".join(f"w{i}" for i in range(200))
+    clean = [MIT.replace("hereby", f"hereby {far}"), "permission is hereby granted free\n\nof charge to any person", f"all {far} rights {far} reserved", far,
+             f"Licensed under the Apache license, {far[:300]} mit x"]
+    late = [f"{far * n} {MIT.lower()}" for n in (1, 2, 3)] + [f"{far} {MIT} {far}"]
+    rows = list(enumerate(texts + clean + late))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan(frame).collect()}
+    for i, label in enumerate(labels):
+        assert label in found[i]["labels"].split(","), texts[i]
+    for i in range(len(texts), len(texts) + len(clean)):
+        assert found[i]["labels"] == "" and found[i]["score"] == 0.0, rows[i]
+    for i in range(len(texts) + len(clean), len(rows)):
+        assert found[i]["labels"] == "mit", rows[i]
+    documents = frame.toPandas()  # noqa: F841 (the query's table)
+    wanted = duckdb.sql(licenses.twin_sql()).df().set_index("doc_id")
+    assert {i: (r["labels"], r["score"]) for i, r in found.items()} == {i: (r["labels"], r["score"]) for i, r in wanted.iterrows()}
+
+
+@given(st.lists(st.sampled_from(["\n", ". ", " ", "\n \n", "! ", "v. 2.0", "\t", ".\n3", "#", "all", "rights", "reserved", "mit", ".\r\n"]), max_size=14))
+@settings(max_examples=40, deadline=None)
+def test_passages_end_where_the_sql_ends_them(parts):
+    text = "".join(parts)
+    own = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", p) for p in re.split(licenses.PASSAGE_END, text)]
+    documents = pd.DataFrame({"doc_id": [1], "text": [text]})  # noqa: F841 (the query's table)
+    passages = licenses.twin_sql().split("blocks AS")[0].rstrip().rstrip(",") + " SELECT w FROM passages"
+    assert sorted(w for w in own if w) == sorted(list(r[0]) for r in duckdb.sql(passages).fetchall() if r[0])
+
+
 # Benchmark items
 
 ITEMS = [
