@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,11 @@ SHORT, STRETCH = 6, 14
 WORD, NUMBER, UNIT, NAME = range(4)
 #: Words whose windows a task holds at a time.
 HELD = 1 << 17
+#: Rows that a task holds as Python strings, and what it returns of the windows met.
+FRAME = 256
+MET = pa.schema([
+    ("doc_id", pa.string()), ("name", pa.int64()), ("width", pa.int32()), ("place", pa.int32()), ("hash", pa.int64()), ("values", pa.list_(pa.string())),
+])
 
 #: Words that stand for numbers and units, and given names known at the start of a sentence.
 NUMBER_WORDS = frozenset(
@@ -41,50 +48,59 @@ NAMES = frozenset(
 NUMERIC = re.compile(r"[+-]?\d[\d.,:/]*\d*(?:st|nd|rd|th|%)?")
 MEASURE = re.compile(r"([+-]?\d[\d.,]*)([a-z]{1,3})")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+KNOWN = dict.fromkeys(NAMES, NAME) | dict.fromkeys(UNITS, UNIT) | dict.fromkeys(NUMBER_WORDS, NUMBER)
+
+
+def core_of(chunk: str) -> str:
+    """The run without marks at its ends."""
+    return chunk[:-1] if chunk[:-1].isalnum() and not chunk[-1].isalnum() else EDGE.sub("", chunk)
 
 
 class Chunks(dict):
-    """What the runs between white space are: (kind, hash, value, ends a sentence, starts with a capital), by number."""
+    """What the runs between white space are: a code (kind, ends a sentence, starts with a capital) and a hash, by number.
+
+    Codes and hashes take 9 bytes a run; its value is made anew from the run where it is asked for.
+    """
 
     LIMIT = 300_000
 
     def __init__(self) -> None:
-        self.table = np.zeros(1024, [("kind", "i8"), ("end", "?"), ("capital", "?"), ("hash", "u8")])
-        self.values: list[str] = []
+        self.codes = bytearray()
+        self.hashes = array("Q")
+        self.runs: list[str] = []
+
+    def empty(self) -> None:
+        self.clear()
+        self.__init__()
 
     def __missing__(self, chunk: str) -> int:
-        core = EDGE.sub("", chunk)
+        plain = chunk.isalnum()
+        core = chunk if plain else core_of(chunk)
         low = core.lower()
-        measure = MEASURE.fullmatch(low)
-        if NUMERIC.fullmatch(low) or low in NUMBER_WORDS or (measure and measure.group(2) in UNITS):
+        if low.isalpha():
+            kind = KNOWN.get(low, WORD)
+        elif NUMERIC.fullmatch(low) or ((measure := MEASURE.fullmatch(low)) and measure.group(2) in UNITS):
             kind = NUMBER
-        elif low in UNITS:
-            kind = UNIT
-        elif low in NAMES:
-            kind = NAME
         else:
             kind = WORD if core else -1
-        number = self[chunk] = len(self.values)
-        self.values.append(low)
-        if number == len(self.table):
-            self.table = np.concatenate([self.table, self.table])
-        self.table[number] = (
-            kind,
-            chunk.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", ";"),
-            len(core) > 1 and core[0].isupper() and core[1:].islower(),
-            xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")),
-        )
+        ends = not plain and chunk.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", ";")
+        capital = core[:1].isupper() and core[1:].islower()
+        number = self[chunk] = len(self.runs)
+        self.runs.append(chunk)
+        self.codes.append(kind + 1 | ends << 3 | capital << 4)
+        self.hashes.append(xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")))
         return number
 
     def columns(self, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        rows = self.table[at]
-        return rows["kind"], rows["end"], rows["capital"], rows["hash"]
+        """Kinds, which end a sentence, which start with a capital, hashes."""
+        codes = np.frombuffer(self.codes, np.uint8)[at] if len(at) else np.zeros(0, np.uint8)
+        hashes = np.frombuffer(self.hashes, np.uint64)[at] if len(at) else np.zeros(0, np.uint64)
+        return (codes & 7).astype(np.int8) - np.int8(1), codes & 8 > 0, codes & 16 > 0, hashes
 
     def numbers(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The chunks' numbers, and which chunks come first in a line."""
         if len(self) > self.LIMIT:
-            self.clear()
-            self.__init__()
+            self.empty()
         lines = [line.split() for line in text.splitlines()]
         at = np.fromiter(map(self.__getitem__, chain.from_iterable(lines)), np.int64)
         first = np.zeros(len(at) + 1, bool)
@@ -109,14 +125,22 @@ def canonical(text: str | None) -> Words:
     """A name is a capitalised word inside a sentence, or a known given name anywhere. Marks without a letter or digit
     are no words.
     """
-    at, first = CHUNKS.numbers(text or "")
+    return canonical_all([CHUNKS.numbers(text or "")])[0]
+
+
+def canonical_all(read: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Words, np.ndarray]:
+    """The words of texts read by CHUNKS.numbers in one sequence, and how many each text has."""
+    at, first = (np.concatenate(parts) for parts in zip(*read))
+    edges = np.cumsum([0, *(len(own) for own, _ in read)])
     kinds, ends, capitals, hashes = CHUNKS.columns(at)
-    inside = np.zeros(len(at), bool)
-    inside[1:] = ~ends[:-1]
-    running = np.where((kinds == WORD) & inside & capitals, NAME, kinds)
+    inside = np.ones(len(at) + 1, bool)
+    inside[1:-1] = ~ends[:-1]
+    inside[edges] = False  # a text's first word stands after none
+    running = np.where((kinds == WORD) & inside[:-1] & capitals, np.int8(NAME), kinds)
     kinds = np.where(first, kinds, running)
     real = kinds >= 0
-    return Words(kinds[real], running[real], hashes[real], at[real], capitals[real])
+    sizes = np.diff(np.concatenate([[0], np.cumsum(real)])[edges])
+    return Words(kinds[real], running[real], hashes[real], at[real], capitals[real]), sizes
 
 
 class Reading:
@@ -145,7 +169,7 @@ def literal_hashes(runs: Runs, at: np.ndarray, width: int) -> np.ndarray:
 
 def values_at(at: np.ndarray) -> list[str]:
     """The lower-cased words of numbers given since CHUNKS was last emptied."""
-    return [CHUNKS.values[i] for i in at.tolist()]
+    return [core_of(CHUNKS.runs[i]).lower() for i in at.tolist()]
 
 
 def both_readings(words: Words) -> tuple[Reading, Reading, np.ndarray]:
@@ -193,13 +217,11 @@ def item_windows(text: str, width: int, literals: int) -> list[tuple]:
     return out
 
 
-def windows_met(documents: list[Words], widths: list[int], literals: int, bits: np.ndarray) -> Iterator[tuple]:
+def windows_met(words: Words, sizes: np.ndarray, widths: list[int], literals: int, bits: np.ndarray) -> Iterator[tuple]:
     """(document number, width, place, hash, values) of all windows of some texts that the bit map may hold.
 
     The texts' words stand in one sequence, so that each width costs a few array operations for all of them.
     """
-    words = Words(*map(np.concatenate, zip(*documents)))
-    sizes = np.array([len(own.kinds) for own in documents])
     ends = np.cumsum(sizes)
     end_of = np.repeat(ends, sizes)
     first, second, moved = both_readings(words)
@@ -222,6 +244,13 @@ def windows_met(documents: list[Words], widths: list[int], literals: int, bits:
                 yield i, width, start, h, None if kinds is None else slots_of(kinds, words.numbers, place, width)
 
 
+def frames_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """FRAME rows at a time as pandas: a whole batch of 10,000 texts would stand in memory twice, and the one before it too."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, FRAME):
+            yield batch.slice(at, FRAME).to_pandas()
+
+
 def rows_met(frames: Iterator[pd.DataFrame], widths: list[int], literals: int, bits: np.ndarray) -> Iterator[pd.DataFrame]:
     """doc_id, name, width, place, hash, values of the windows that the bit map may hold, about HELD words at a time.
 
@@ -231,7 +260,8 @@ def rows_met(frames: Iterator[pd.DataFrame], widths: list[int], literals: int, b
     size = 0
 
     def rows() -> pd.DataFrame:
-        out = [(*held[i][:2], *row) for i, *row in windows_met([own for _, _, own in held], widths, literals, bits)]
+        words, sizes = canonical_all([own for _, _, own in held])
+        out = [(*held[i][:2], *row) for i, *row in windows_met(words, sizes, widths, literals, bits)]
         held.clear()
         return pd.DataFrame(out, columns=["doc_id", "name", "width", "place", "hash", "values"])
 
@@ -241,10 +271,11 @@ def rows_met(frames: Iterator[pd.DataFrame], widths: list[int], literals: int, b
             if held and (size > HELD or len(CHUNKS) > CHUNKS.LIMIT):
                 yield rows()
                 size = 0
-            held.append((doc, name, canonical(text)))
-            size += len(held[-1][2].kinds)
+            held.append((doc, name, CHUNKS.numbers(text or "")))
+            size += len(held[-1][2][0])
     if held:
         yield rows()
+    CHUNKS.empty()  # a worker that waits for its next task holds none
 
 
 def longest_stretch(spans):
@@ -282,11 +313,12 @@ def leaks(
     widths = sorted(row["width"] for row in known.select("width").distinct().collect())
     bits = membership_map(known, "hash")
 
-    def doc_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return rows_met(frames, widths, literals, bits)
+    def doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in rows_met(frames_of(batches), widths, literals, bits):
+            yield pa.RecordBatch.from_pandas(frame, MET, preserve_index=False)
 
     source = named_texts(docs).where("text is not null")
-    found = source.mapInPandas(doc_rows, "doc_id string, name long, width int, place int, hash long, values array<string>")
+    found = source.mapInArrow(doc_rows, "doc_id string, name long, width int, place int, hash long, values array<string>")
     values = F.coalesce("values", "slots")
     matched = with_long_id(found).join(known, ["hash", "width"]).where(F.size("slots") == F.size(values))
     matched = saved(matched.select(

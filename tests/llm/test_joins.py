@@ -9,7 +9,9 @@ import textwrap
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -460,6 +462,37 @@ def test_windows_of_many_texts_equal_those_of_each_alone(monkeypatch):
     assert len(alone) > 1000 and alone == together == found(iter([frame]))
 
 
+def test_window_search_holds_few_texts_and_leaves_nothing_in_the_worker():
+    """A batch of many texts reaches Python in small frames, and the table of words is empty once the task is done."""
+    n = 3 * decontam.FRAME + 5
+    batch = pa.RecordBatch.from_pydict({"doc_id": [str(i) for i in range(n)], "name": list(range(n)), "text": [f"Words of text {i} stand here in a row" for i in range(n)]})
+    frames = list(decontam.frames_of(iter([batch, batch.slice(0, 0), batch.slice(1, 2)])))
+    assert [len(frame) for frame in frames] == [decontam.FRAME] * 3 + [5, 2]
+    assert list(frames[3]["doc_id"]) == [str(i) for i in range(n - 5, n)]
+    rows = pd.concat(list(decontam.rows_met(iter(frames), [6], 4, np.full(1 << 22, 255, np.uint8))))
+    assert set(rows["doc_id"]) == {str(i) for i in range(n)}
+    assert not len(decontam.CHUNKS) and not decontam.CHUNKS.runs and not len(decontam.CHUNKS.hashes)
+
+
+def test_runs_between_blanks_are_read_as_the_patterns_say():
+    """Shortcuts for runs of letters or with one mark at the end change no reading."""
+    parts = ["", "a", "Bob", "KM", "two", "Σ", "ΑΣ", "ǅa", "İx", "Ⅷ", "²", "½", "٣", "5", "12km", "5xy", "+3.5", "7th", "x_y", "_", "'", ".", "?\"", "é", "e\u0301", "ⓐ", "中文"]
+    table = decontam.Chunks()
+    for chunk in {a + b + c for a in parts for b in parts for c in parts if a + b + c}:
+        core = decontam.EDGE.sub("", chunk)
+        low = core.lower()
+        measure = decontam.MEASURE.fullmatch(low)
+        if decontam.NUMERIC.fullmatch(low) or low in decontam.NUMBER_WORDS or (measure and measure.group(2) in decontam.UNITS):
+            kind = decontam.NUMBER
+        else:
+            kind = decontam.UNIT if low in decontam.UNITS else decontam.NAME if low in decontam.NAMES else decontam.WORD if core else -1
+        ends = chunk.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", ";")
+        capital = len(core) > 1 and core[0].isupper() and core[1:].islower()
+        found = [column[0] for column in table.columns(np.array([table[chunk]]))]
+        assert found == [kind, ends, capital, xxhash.xxh64_intdigest(low.encode())], chunk
+        assert decontam.core_of(chunk).lower() == low
+
+
 def test_lines_ending_in_carriage_returns_go_whole(spark):
     """A text whose lines all repeat counts as emptied, though its line ends keep blanks."""
     rows = [(1, "one line of some length here\r\nanother line of some length\r\n\u3000"), (2, "one line of some length here\r\n\x1c\r\nanother line of some length\r\n")]
