@@ -175,30 +175,50 @@ class Network:
         return found
 
     def log_probabilities(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural log probabilities of classes given contexts, normalised over all classes."""
+        """Natural log probabilities of classes given contexts, normalised over all classes.
+
+        A logit is a sum of one number for each context word, so its exp is a product of CONTEXT table entries (classes x
+        classes each, scaled to 1 at most). Tokens whose products all but vanish are reckoned from their logits.
+        """
+        logits = [(self.weight[i] * self.context) @ self.out.T for i in range(CONTEXT)]
+        logits[0] += self.bias
+        tops = [table.max(axis=1) for table in logits]
+        exps = [np.exp(table - top[:, None]) for table, top in zip(logits, tops)]
+        sums = np.empty(len(classes), np.float32)
+        held, factor = (np.empty((256, len(self.bias)), np.float32) for _ in range(2))
+        for at in range(0, len(classes), 256):
+            rows = contexts[at : at + 256]
+            product, other = held[: len(rows)], factor[: len(rows)]
+            np.take(exps[0], rows[:, 0], axis=0, out=product, mode="clip")
+            for i in range(1, CONTEXT):
+                np.take(exps[i], rows[:, i], axis=0, out=other, mode="clip")
+                if i < CONTEXT - 1:
+                    product *= other
+            sums[at : at + len(rows)] = np.vecdot(product, other)
+        found = -np.log(np.maximum(sums, 1e-30).astype(np.float64))
+        for i, (table, top) in enumerate(zip(logits, tops)):
+            found += table[contexts[:, i], classes].astype(np.float64) - top[contexts[:, i]]
+        far = np.flatnonzero(sums < 1e-30)
+        found[far] = self.shifted_log_probabilities(contexts[far], classes[far])
+        return found
+
+    def shifted_log_probabilities(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The same at any size of the logits."""
         found = np.empty(len(classes))
-        top = float(np.abs(self.bias).max())
-        reach = float(np.sqrt((self.out * self.out).sum(axis=1).max()))
-        outs = np.concatenate([self.out, self.bias[:, None]], axis=1).T.copy()
-        ones = np.ones(len(self.bias), np.float32)
         for at in range(0, len(classes), 256):
             rows = slice(at, at + 256)
             h = self.predicted(contexts[rows])
-            logits = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1) @ outs
+            logits = h @ self.out.T + self.bias
             own = logits[np.arange(len(h)), classes[rows]].astype(np.float64)
-            shift = 0.0
-            if top + reach * np.sqrt((h * h).sum(axis=1).max()) > 60:  # exp could overflow
-                shift = logits.max(axis=1, keepdims=True)
-                logits -= shift
-                shift = shift[:, 0]
-            np.exp(logits, out=logits)
-            found[rows] = own - shift - np.log((logits @ ones).astype(np.float64))
+            shift = logits.max(axis=1, keepdims=True)
+            sums = np.exp(logits - shift).sum(axis=1, dtype=np.float64)
+            found[rows] = own - shift[:, 0] - np.log(sums)
         return found
 
 
 def add_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their values."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # classes are few: 16 bits are sorted by digits
     sorted_rows = rows[order]
     starts = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
     return sorted_rows[starts], np.add.reduceat(values[order], starts, axis=0)
@@ -224,7 +244,10 @@ class Trainer:
         real = (h * own).sum(axis=1) + net.bias[classes] - self.log_noise[classes]
         false = h @ others.T + (net.bias[noise] - self.log_noise[noise])
         g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        e = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+        e = np.clip(np.negative(false, out=false), -30, 30, out=false)
+        np.exp(e, out=e)
+        e += 1
+        np.divide(-1, e, out=e)
         back = g[:, None] * own + e @ others
         both = np.concatenate([classes, noise])
         values = np.empty((len(both), WIDTH + 1), np.float32)

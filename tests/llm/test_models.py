@@ -129,6 +129,32 @@ def test_training_follows_the_gradient_of_the_noise_contrastive_likelihood():
         assert math.isclose((high - low) / 0.02, value, rel_tol=0.02, abs_tol=0.02)
 
 
+def test_normalising_takes_exps_of_classes_not_of_tokens(monkeypatch):
+    """Log probabilities at small, large and opposed logits as in double precision; their cost in exps does not grow with the tokens."""
+    random = np.random.default_rng(5)
+    contexts, classes = random.integers(0, 40, (20_000, lm.CONTEXT)), random.integers(0, 40, 20_000)
+    for scale in (0.3, 2.0, 9.0):
+        network = lm.Network(random.random(40) + 0.5)
+        network.out[:], network.context[:] = random.normal(0, scale, (2, 40, lm.WIDTH))
+        network.bias += 30 * scale
+        taken, exp = [0], np.exp
+
+        def counted(x, *args, **named):
+            taken[0] += np.size(x)
+            return exp(x, *args, **named)
+
+        monkeypatch.setattr(np, "exp", counted)
+        found = network.log_probabilities(contexts, classes)
+        monkeypatch.setattr(np, "exp", exp)
+        h = sum((network.weight[i] * network.context)[contexts[:, i]].astype(float) for i in range(lm.CONTEXT))
+        logits = h @ network.out.T.astype(float) + network.bias
+        logits -= logits.max(axis=1, keepdims=True)
+        wanted = logits[np.arange(len(classes)), classes] - np.log(np.exp(logits).sum(axis=1))
+        assert np.allclose(found, wanted, rtol=1e-5, atol=1e-4 * scale)
+        assert scale > 1 or taken[0] <= lm.CONTEXT * 40 * 40
+    assert len(network.log_probabilities(contexts[:0], classes[:0])) == 0
+
+
 def test_model_beats_unigrams_on_held_out_texts(spark, sf_dir):
     found = QUERIES["op11_lm"](spark, sf_dir.replace("sf0.001", "sf0.01")).toPandas()
     unseen = found[found["held_out"]]
