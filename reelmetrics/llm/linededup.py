@@ -63,17 +63,27 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
 RUNS = (1, 2, 3)
 
 
-def parities(line: str) -> list[int]:
-    """For each run length a long whose bit i tells whether an odd number of the line's runs falls on i.
+def parities(lines: list[str]) -> list[list[int]]:
+    """Of each line for each run length a long whose bit i tells whether an odd number of the line's runs falls on i.
 
-    An edit takes away and adds at most as many runs as a run is long, so near lines differ in few bits.
+    An edit takes away and adds at most as many runs as a run is long, so near lines differ in few bits. A line shorter
+    than a run is one run.
     """
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    length = np.array([len(line) for line in lines], np.int64)
+    ends = np.cumsum(length)
+    owner = np.repeat(np.arange(len(lines)), length)
     found = []
     for width in RUNS:
-        odd = np.bincount((windows(points, width) >> np.uint64(40)).astype(np.int64) & 63, minlength=64) & 1
-        found.append(int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0]))
-    return found
+        runs = windows(points, width)
+        whole = np.arange(len(runs)) + width <= ends[owner[: len(runs)]]
+        at, runs = owner[: len(runs)][whole], runs[whole]
+        short = [(i, windows(points[ends[i] - length[i] : ends[i]], width)) for i in np.flatnonzero(length < width)]
+        at, runs = np.concatenate([at, *([i] * len(own) for i, own in short)]).astype(np.int64), np.concatenate([runs, *(own for _, own in short)])
+        bit = (runs >> np.uint64(40)).astype(np.int64) & 63
+        odd = np.bincount(at * 64 + bit, minlength=64 * len(lines)).reshape(-1, 64) & 1
+        found.append(np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view("<i8")[:, 0])
+    return np.column_stack(found).tolist()
 
 
 def may_be_near(edits: int):
@@ -206,7 +216,7 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
             columns = {
                 "body": [own[i] for i in some],
                 "keys": [np.unique(keys[i][hit[i]]) for i in some],
-                "p": [parities(own[i]) for i in some],
+                "p": parities([own[i] for i in some]) if some else [],
             }
             yield pd.DataFrame({"node": [line_name(own[i]) for i in some], **{name: pd.Series(values, dtype=object) for name, values in columns.items()}})
 
@@ -235,6 +245,14 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     return saved(again.groupBy("doc_id", "name").agg(F.collect_set("line").alias("dropped")))
 
 
+def not_blank(line):
+    """Column condition: most lines show by their first character, as a range of strings, that they are not blank; the others are trimmed."""
+    first = F.lit(False)
+    for low, high in (("!", "\x7f"), ("\u00c0", "\u1680"), ("\u3001", None)):
+        first = first | ((line >= low) & (line < high) if high else line >= low)
+    return first | (F.length(F.btrim(line, F.lit(BLANK))) > 0)
+
+
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The input with repeated lines taken out of `text`, n_lines (non-blank) and n_removed; see kept_first.
 
@@ -249,7 +267,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     joined = some.join(dropped.hint("merge"), same, "left").unionByName(rest, allowMissingColumns=True)
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
-    filled = F.size(F.filter(lines, lambda x: F.length(F.btrim(x, F.lit(BLANK))) > 0))
+    filled = F.size(F.filter(lines, not_blank))
     filled = F.coalesce(filled, F.lit(0)).cast("long")
     removed = F.coalesce(F.size("dropped"), F.lit(0)).cast("long")
     text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))

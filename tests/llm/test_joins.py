@@ -498,3 +498,29 @@ def test_lines_ending_in_carriage_returns_go_whole(spark):
     rows = [(1, "one line of some length here\r\nanother line of some length\r\n\u3000"), (2, "one line of some length here\r\n\x1c\r\nanother line of some length\r\n")]
     found = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {1: (2, 0), 2: (2, 2)}
+
+
+def test_parities_of_many_lines_equal_those_of_each_alone():
+    random.seed(4)
+    lines = ["".join(random.choice("ab é中😀") for _ in range(random.choice([1, 2, 3, 20, 70]))) for _ in range(200)]
+
+    def alone(line, width):
+        points = np.array([ord(char) + 1 for char in line], np.uint64)
+        odd = 0
+        for run in linededup.windows(points, width).tolist():
+            odd ^= 1 << (run >> 40 & 63)
+        return odd - (1 << 64) if odd >> 63 else odd
+
+    wanted = [[alone(line, width) for width in linededup.RUNS] for line in lines]
+    assert linededup.parities(lines) == wanted == [linededup.parities([line])[0] for line in lines]
+
+
+def test_lines_are_blank_as_isspace_says_and_few_are_trimmed(spark):
+    chars = [chr(i) for i in range(1, 0x3100) if i != 10]
+    rows = [(line,) for c in chars for line in (c, f" {c}", f"{c}a", f"　{c}\t")] + [("",), ("\U0001f600",)]
+    lines = spark.createDataFrame(rows, "line string")
+    found = {r["line"]: r["full"] for r in lines.select("line", linededup.not_blank(lines["line"]).alias("full")).collect()}
+    assert found == {line: bool(line) and not line.isspace() for line, in rows}
+    # What starts with a letter, a digit or a mark is told by comparison, before the trimming.
+    plan = lines.select(linededup.not_blank(lines["line"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index(">= !") < plan.index("trim(")
