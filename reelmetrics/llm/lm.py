@@ -3,7 +3,7 @@
 Tokens are lower-cased words and one end. A frequent word is a class of its own, the others share classes by their last
 bytes. The model predicts the next class from the three before: each context vector is weighted by a diagonal matrix, their sum
 meets the vectors of all classes. Training is noise-contrastive: a token is told from class samples. Scoring
-normalises over all classes by matrix products; inside a class a word has its share of the class's count.
+normalises over all classes by products of table entries; inside a class a word has its share of the class's count.
 """
 
 from __future__ import annotations
