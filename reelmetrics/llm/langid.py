@@ -178,5 +178,6 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
         return pd.DataFrame([tables.predict(text) for text in texts], columns=["lang_pred", "score"])
 
     kept = docs.drop("lang_pred", "score")
-    found = kept.withColumn("_found", predicted("text"))
+    # Nondeterministic by name only: else Spark pushes a filter on the result below, predicts twice and holds two workers a task.
+    found = kept.withColumn("_found", predicted.asNondeterministic()("text"))
     return found.select(*[found[name] for name in kept.columns], "_found.lang_pred", "_found.score")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+import pandas as pd
 from test_joins import brute_jaccard, brute_lines
 
 
@@ -42,3 +43,34 @@ def test_stages(spark, tmp_path):
     whole = corpus_pipeline.run(spark, sf_dir)
     assert whole.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert {r["doc_id"] for r in whole.collect()} == {i for i, _ in kept}
+
+
+def test_language_is_predicted_once(spark):
+    docs = spark.createDataFrame([(1, "the old man and the sea", "en", "s", 23), (2, "12 34", "en", "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.by_language(spark, docs, "")
+    assert [r["doc_id"] for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # a second one is a second pass over the texts, in a second worker of each task
+
+
+def test_texts_go_to_python_in_small_batches(spark, tmp_path):
+    limit = corpus_pipeline.BATCH_LIMIT
+    before = spark.conf.get(limit, None)
+    spark.range(200).selectExpr("id as doc_id", "repeat('the old man and the sea ', 4000) as text", "'en' as lang", "'s' as source", "96000L as n_chars").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+
+    def sizes(frames):
+        for frame in frames:
+            yield pd.DataFrame({"bytes": [frame["text"].str.len().sum()]})
+
+    try:
+        for _, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[2:3]:
+            spark.conf.unset(limit)
+            stage(spark, docs, "")
+            found = [r["bytes"] for r in docs.select("text").mapInPandas(sizes, "bytes long").collect()]
+            assert sum(found) == 200 * 96_000 and max(found) < 5 << 20
+        spark.conf.set(limit, "1m")
+        corpus_pipeline.by_language(spark, docs, "")
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
