@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import released, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -58,8 +58,13 @@ def linked_groups(
     shared = buckets.join(ends, "key").join(attributes, "node")
     shared = saved(shared.withColumn("met", F.count("*").over(Window.partitionBy("node"))))
     side = F.struct("group", *[c for c in shared.columns if c not in ("key", "met")])
-    placed, links, groups = shared.withColumn("group", F.col("node")), None, None
-    for turn in range(turns + 1):
+
+    def new_links(turn: int, groups: DataFrame | None) -> tuple[DataFrame, ...]:
+        """Links among pairs of the turn; nothing if no bucket has nodes of two groups."""
+        if groups is None:
+            placed = shared.withColumn("group", F.col("node"))
+        else:
+            placed = saved(shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"))
         order = F.xxhash64("node", F.lit(turn)).alias("order")
         least = F.struct(order, side.alias("row"))
         most = F.struct((F.col("met") if turn == 0 else F.lit(0)).alias("met"), order, side.alias("row"))
@@ -68,7 +73,7 @@ def linked_groups(
         )
         heads = saved(heads.where("low <> high").select("key", "x.row", F.col("z.row").alias("last")))
         if heads.isEmpty():
-            break
+            return ()
         y = placed.select("key", side.alias("y"))
         if turn < turns:
             tried = y.join(heads, "key")
@@ -82,10 +87,15 @@ def linked_groups(
             x, y = (open_.select("key", side.alias(s)) for s in "xy")
             pairs = x.join(y, "key").where(f"x.group < y.group and {may_link('x', 'y')}")
             pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        found = verify(saved(once(pairs)))
-        links = found if links is None else links.unionByName(found)
-        groups = components(links)
-        placed = saved(shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"))
+        return (verify(saved(once(pairs))),)
+
+    links, groups = None, None
+    for turn in range(turns + 1):
+        found = released(new_links, turn, groups)
+        if not found:
+            break
+        links = found[0] if links is None else links.unionByName(found[0])
+        (groups,) = released(lambda links: (components(links),), links)
     return groups if groups is not None else shared.select("node", F.col("node").alias("component")).limit(0)
 
 

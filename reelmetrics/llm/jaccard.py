@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SKETCH_CELLS, count_sketch, in_map, mapped, may_meet, membership_map, named_texts, saved, shingles, text_name, with_long_id
+from .common import SKETCH_CELLS, count_sketch, in_map, mapped, may_meet, membership_map, named_texts, released, saved, shingles, text_name, with_long_id
 from .components import linked_groups
 
 #: Words of the parity sketch that bounds how far two sets differ (the suffix filter), 64 bits each.
@@ -101,11 +101,12 @@ def grouped_rows(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     texts and texts without words have no n-gram and link with nothing. Equal sets are one node, so copies
     and repeated rows cost nothing; component_id is the least doc_id of the group (rows without id are linked too).
     """
-    rows = described(docs, width, threshold)
-    sets = saved(rows.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min("name").alias("source"),
-        F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("parts").alias("parts")
-    ))
+    return released(placed_rows, docs, width, threshold)[0]
+
+
+def placed_rows(docs: DataFrame, width: int, threshold: int) -> tuple[DataFrame]:
+    """The rows of grouped_rows, not yet saved."""
+    rows, sets = released(rows_and_sets, docs, width, threshold)
     buckets = sets.select(F.col("key").alias("node"), F.posexplode("prefix").alias("at", "key"))
     attributes = sets.select(F.col("key").alias("node"), "n", *[F.col("parity")[i].alias(f"p{i}") for i in range(SKETCH_WORDS)])
 
@@ -128,9 +129,20 @@ def grouped_rows(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     placed = saved(placed.withColumn("component", F.coalesce("component", "key")))
     least = saved(placed.groupBy("component").agg(F.min("first").alias("component_id")))
     named = placed.join(least, "component").select("key", "component", "component_id")
-    return rows.join(named, "key", "left").select(
+    out = rows.join(named, "key", "left").select(
         "doc_id", "name", F.col("n").cast("long").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    return (out,)
+
+
+def rows_and_sets(docs: DataFrame, width: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, name, key, n of every row, without the prefixes; and one row per key with its set's n, prefix, parity and parts."""
+    found = described(docs, width, threshold)
+    sets = found.where("key is not null").groupBy("key").agg(
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min("name").alias("source"),
+        F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("parts").alias("parts")
+    )
+    return found.select("doc_id", "name", "key", "n"), sets
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
@@ -139,7 +151,7 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
 
     Documents without n-grams stay. Rows with one id, or none, and different texts are different documents.
     """
-    groups = saved(grouped_rows(docs, width, threshold))
+    groups = grouped_rows(docs, width, threshold)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "name")
     firsts = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("first"))
     later = groups.withColumn("place", place).join(saved(firsts), "component").where(~F.col("place").eqNullSafe(F.col("first")))

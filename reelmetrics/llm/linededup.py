@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Runs, in_map, may_meet, membership_map, mix, named_texts, saved, text_name, windows, with_long_id
+from .common import Powers, Runs, in_map, may_meet, membership_map, mix, named_texts, released, saved, text_name, windows, with_long_id
 from .components import linked_groups
 
 #: Edits that near-equal lines may differ by, and the length from which lines are compared at all but for equality.
@@ -258,7 +258,8 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
 
     Null and empty texts stay as they are with 0 lines. Other columns stay; columns of the two names are replaced.
     """
-    dropped = kept_first(docs, edits, least_chars).select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "dropped")
+    (dropped,) = released(lambda: (kept_first(docs, edits, least_chars),))
+    dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "dropped")
     own = docs.drop("n_lines", "n_removed", "_id", "_name", "dropped")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_name() == F.col("_name"))
     # Only texts that lose lines are exchanged; a bit map of fixed size proves of most that they lose none.

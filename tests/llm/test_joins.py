@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import textwrap
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -16,6 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from reelmetrics.llm import decontam, jaccard, licenses, linededup, vectors
+from reelmetrics.llm.common import released, saved
 from reelmetrics.llm.components import components, linked_groups
 from reelmetrics.llm.queries import ORACLE, QUERIES
 
@@ -34,6 +36,72 @@ def least_reachable(nodes, links):
     return {n: root(n) for n in nodes}
 
 
+# Work tables
+
+
+def work_tables(spark):
+    """Folders of the work tables that are there."""
+    return set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("llm-*"))
+
+
+def test_released_keeps_what_it_returns(spark):
+    before = work_tables(spark)
+
+    def inner():
+        return saved(spark.range(3)), saved(spark.range(4)).where("id > 1")
+
+    def outer():
+        saved(spark.range(9))
+        a, b = released(inner)
+        assert len(work_tables(spark) - before) == 3  # the range of 4 is gone, what was taken of it is there
+        return a, a.join(b, "id")
+
+    a, b = released(outer)
+    assert (a.count(), b.count(), len(work_tables(spark) - before)) == (3, 1, 2)
+    alone = saved(spark.range(2))
+
+    def broken():
+        saved(spark.range(9))
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        released(broken)
+    assert alone.count() == 2 and len(work_tables(spark) - before) == 3
+
+
+def test_work_tables_go_with_their_step(spark, monkeypatch):
+    """When texts are read again the first table of prefixes is gone; results leave narrow tables only."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(words[i:] + [f"x{i}"] * (i % 3))) for i in range(40)] + [(50, None), (51, "")]
+    docs = spark.createDataFrame([(i, f"{t}\nline {i} of its own, unlike the others" if t else t) for i, t in rows], "doc_id long, text string")
+    before, seen = work_tables(spark), []
+
+    def columns():
+        return [set(spark.read.parquet(str(path)).columns) for path in work_tables(spark) - before]
+
+    exact = jaccard.contents
+    monkeypatch.setattr(jaccard, "contents", lambda *a: (seen.append(columns()), exact(*a))[1])
+    assert jaccard.one_of_each(docs, 3, 80).count() < len(rows)
+    assert seen and all(sum("prefix" in c for c in own) == 1 and not any("own" in c for c in own) for own in seen)
+    assert not any({"prefix", "own", "at", "row"} & c for c in columns())
+    assert linededup.dedup_lines(docs).count() == len(rows)
+    assert not any({"keys", "body", "line"} & c for c in columns())
+
+
+def test_work_tables_of_a_turn_go_with_it(spark):
+    """Numbers that take several turns: a turn adds its links and groups to what stays, not its buckets, pairs and rounds."""
+    numbers = [3 * i for i in range(20)] + list(range(100, 140))
+    rows = spark.createDataFrame([(1, n) for n in numbers], "key long, node long")
+    before, seen = work_tables(spark), []
+
+    def verify(pairs):
+        seen.append(len(work_tables(spark) - before))
+        return pairs.where("abs(a - b) in (1, 7)")
+
+    linked_groups(rows, rows.select("node").distinct(), lambda x, y: "true", verify)
+    assert len(seen) == 3 and seen[2] <= seen[0] + 6
+
+
 # Components
 
 
