@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,19 @@ EDITS, LEAST_CHARS = 2, 20
 #: White space as str.isspace knows it: lines of it alone are never compared or removed.
 BLANK = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 #: Characters whose hashes a task holds at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: What a task returns of the lines that may have near-equal ones.
+BODIES = pa.schema([("node", pa.int64()), ("body", pa.string()), ("keys", pa.list_(pa.int64())), ("p", pa.list_(pa.int64()))])
+
+
+def char_hashes(points: np.ndarray) -> np.ndarray:
+    return mix((points.astype(np.uint64) + np.uint64(1)) * np.uint64(Powers.base))
+
+
+#: Hashes of the characters that most texts are made of; others are hashed where they stand.
+CHARS = char_hashes(np.arange(1 << 14))
+
+
 def probes(edits: int) -> list[tuple[int, int, int]]:
     """(shorter, segment, shift): where a line looks for segments of lines `shorter` than itself by 0 to `edits`.
 
@@ -40,8 +53,11 @@ def segment_keys(lines: list[str], edits: int) -> np.ndarray:
 
     Lines that share no key differ by more than `edits`. A probe outside the line repeats the line's first key.
     """
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    runs = Runs(mix((points + np.uint64(1)) * np.uint64(Powers.base)))
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    values = CHARS.take(points, mode="clip")
+    rare = np.flatnonzero(points >= len(CHARS))
+    values[rare] = char_hashes(points[rare])
+    runs = Runs(values)
     length = np.array([len(line) for line in lines], np.int64)
     start = np.cumsum(length) - length
     columns = []
@@ -96,10 +112,9 @@ def may_be_near(edits: int):
     return condition
 
 
-def line_name(line: str) -> int:
-    """64-bit name of a line, signed."""
-    value = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
-    return value - (1 << 64) if value >> 63 else value
+def line_names(lines: list[str]) -> np.ndarray:
+    """64-bit names of lines, signed."""
+    return np.array([xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) for line in lines], np.uint64).view(np.int64)
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -159,10 +174,10 @@ def banded(a: str, b: str, edits: int) -> bool:
     return distance <= edits
 
 
-def chunks(frame: pd.DataFrame):
+def chunks(texts: Iterable[str | None]):
     """(document numbers, line numbers, lines) of a batch's non-blank lines, about CHUNK characters at a time."""
     at, number, lines, size = [], [], [], 0
-    for i, text in enumerate(frame["text"]):
+    for i, text in enumerate(texts):
         for k, line in enumerate(text.split("\n") if text else ()):
             if line and not line.isspace():
                 at.append(i)
@@ -184,43 +199,43 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     Ids that are null come last. Rows with one id, or none, and different texts are different documents, told apart by
     the name of the text, which also breaks ties; equal rows count as one, so each keeps the lines that come first.
     """
-    source = named_texts(docs).where("text is not null")
-
-    def named(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids, names = frame["doc_id"].to_numpy(), frame["name"].to_numpy()
-            for at, number, lines in chunks(frame):
-                keys = [None] * len(lines)
-                long_ = [i for i, line in enumerate(lines) if len(line) >= least_chars]
-                if long_:
-                    for i, row in zip(long_, segment_keys([lines[i] for i in long_], edits)):
-                        keys[i] = row
-                yield pd.DataFrame({
-                    "doc_id": ids[at], "name": names[at], "line": number, "node": [line_name(x) for x in lines], "keys": keys,
-                })
-
-    lines = saved(with_long_id(source.mapInPandas(named, "doc_id string, name long, line int, node long, keys array<long>")))
-    entries = lines.where("keys is not null").select(F.explode("keys").alias("key"), "node")
+    source = with_long_id(named_texts(docs)).where("text is not null")
+    columns = [f"key{i}" for i in range(len(probes(edits)))]
+    schema = pa.schema([("doc_id", pa.int64()), ("name", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), *[(c, pa.int64()) for c in columns]])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, number, lines in chunks(batch["text"].to_pylist()):
+                short = np.array([len(line) < least_chars for line in lines])
+                keys = np.zeros((len(lines), len(columns)), np.int64)
+                if not short.all():
+                    keys[~short] = segment_keys([line for line in lines if len(line) >= least_chars], edits)
+                own = [batch["doc_id"].take(pa.array(at)), batch["name"].take(pa.array(at)), pa.array(number, pa.int32()), pa.array(line_names(lines))]
+                own += [pa.array(keys[:, i], mask=short) for i in range(len(columns))]
+                yield pa.RecordBatch.from_arrays(own, schema=schema)
+
+    # The keys stand in columns of their own: Parquet writes and reads those for much less than an array of them.
+    longs = ", ".join(f"{c} long" for c in columns)
+    lines = saved(source.mapInArrow(named, f"doc_id long, name long, line int, node long, {longs}"))
+    entries = lines.where(F.col(columns[0]).isNotNull()).select(F.explode(F.array(*columns)).alias("key"), "node")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = saved(shared.where("low <> high").select("key"))
     bits = membership_map(shared, "key")
 
-    def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, _, own in chain.from_iterable(map(chunks, frames)):
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, own in chain.from_iterable(chunks(batch["text"].to_pylist()) for batch in batches):
             own = list({line for line in own if len(line) >= least_chars})
             if not own:
                 continue
             keys = segment_keys(own, edits)
             hit = in_map(keys.view(np.uint64), bits)
             some = np.flatnonzero(hit.any(1)).tolist()
-            columns = {
-                "body": [own[i] for i in some],
-                "keys": [np.unique(keys[i][hit[i]]) for i in some],
-                "p": parities([own[i] for i in some]) if some else [],
-            }
-            yield pd.DataFrame({"node": [line_name(own[i]) for i in some], **{name: pd.Series(values, dtype=object) for name, values in columns.items()}})
-
-    bodies = source.select("text").mapInPandas(candidates, "node long, body string, keys array<long>, p array<long>")
+            if some:
+                bodies = [own[i] for i in some]
+                found = [line_names(bodies), bodies, [np.unique(keys[i][hit[i]]) for i in some], parities(bodies)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(found, BODIES.types)], schema=BODIES)
+
+    bodies = source.select("text").mapInArrow(candidates, "node long, body string, keys array<long>, p array<long>")
     found = saved(bodies.dropDuplicates(["node"]))
     entries = found.select("node", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
     bodies = found.select("node", "body")
@@ -237,8 +252,9 @@ def kept_first(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     groups = linked_groups(entries, attributes, may_be_near(edits), verify)
 
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "name")
-    firsts = saved(lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(groups, "node", "left"))
-    grouped = firsts.withColumn("component", F.coalesce("component", "node"))
+    firsts = lines.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(groups, "node", "left")
+    # Most lines stand once and are linked with none: they are groups of their own, from which nothing goes.
+    grouped = saved(firsts.where("n > 1 or component is not null").withColumn("component", F.coalesce("component", "node")))
     best = saved(grouped.groupBy("component").agg(F.min("first").alias("best"), F.sum("n").alias("n")).where("n > 1"))
     repeated = saved(grouped.select("node", "component").join(best, "component").select("node", "best"))
     again = lines.select("doc_id", "name", "line", "node", place.alias("place")).join(repeated, "node").where(~F.col("place").eqNullSafe(F.col("best")))
@@ -266,7 +282,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     there = may_meet(membership_map(dropped, "_name"))(text_name())
     some, rest = own.where(there), own.where(~there)
     joined = some.join(dropped.hint("merge"), same, "left").unionByName(rest, allowMissingColumns=True)
-    lines = F.split("text", "\n", -1)
+    # A column of its own, used more than once, so that a text is split once, not again for every line that stays.
+    split = "_lines" + "_" * max(map(len, own.columns))
+    joined = joined.withColumn(split, F.split("text", "\n", -1))
+    lines = F.col(split)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
     filled = F.size(F.filter(lines, not_blank))
     filled = F.coalesce(filled, F.lit(0)).cast("long")

@@ -592,3 +592,39 @@ def test_lines_are_blank_as_isspace_says_and_few_are_trimmed(spark):
     # What starts with a letter, a digit or a mark is told by comparison, before the trimming.
     plan = lines.select(linededup.not_blank(lines["line"]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index(">= !") < plan.index("trim(")
+
+
+def test_a_text_is_split_once_however_many_lines_stay(spark):
+    rows = [(1, "one line of some length here\nanother line of some length\nmore", "a"), (2, "more\none line of some length here\nless\nmost", "b"), (3, None, "c")]
+    found = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, _lines string"))
+    wanted = [(1, rows[0][1], "a", 3, 0), (2, "less\nmost", "b", 4, 2), (3, None, "c", 0, 0)]
+    assert sorted(map(tuple, found.collect())) == wanted
+    # Once on either side of the union, and in no function of a line.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+
+
+def test_only_lines_that_repeat_are_grouped(spark, monkeypatch):
+    grouped = []
+
+    def watched(df):
+        out = saved(df)
+        if "component" in out.columns and "first" in out.columns:
+            grouped.append({(row["node"], row["n"]) for row in out.select("node", "n").collect()})
+        return out
+
+    saved = linededup.saved
+    monkeypatch.setattr(linededup, "saved", watched)
+    lines = ["a line that stands once only", "a line that stands in two texts", "a line with a near copy, here", "a line with a near copy, hers", "short"]
+    rows = [(1, "\n".join(lines)), (2, lines[1] + "\nshort too")]
+    linededup.kept_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    names = linededup.line_names(lines).tolist()
+    assert grouped == [{(names[1], 2), (names[2], 1), (names[3], 1)}]
+
+
+def test_keys_of_frequent_and_rare_characters_have_one_formula(monkeypatch):
+    random.seed(5)
+    lines = ["".join(random.choice("ab é中😀\U0010ffff\u3fff\u4000") for _ in range(random.choice([3, 20, 70]))) for _ in range(100)]
+    keys = linededup.segment_keys(lines, 2)
+    assert keys.tolist() == [linededup.segment_keys([line], 2)[0].tolist() for line in lines]
+    monkeypatch.setattr(linededup, "CHARS", linededup.CHARS[:1])
+    assert (linededup.segment_keys(lines, 2) == keys).all()
