@@ -3,38 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from .common import saved
+from .common import released, saved
 from .components import components
 
-#: Vectors of a block and of a tile inside it, and how many leading dimensions the first steps take.
-BLOCK, TILE, STEPS = 4096, 2048, (16, 32)
+#: Least vectors of a block; blocks grow beyond, up to so many bytes, before there are more than MANY of them.
+BLOCK, BLOCK_BYTES, MANY = 4096, 1 << 23, 16
+#: Vectors of a tile on either side, and how many leading dimensions the first steps take.
+TILE, STEPS = (512, 2048), (24, 48)
 #: Slack of the single-precision bounds; what passes them is decided in double precision.
 SLACK = 1e-4
+#: Tasks that send moments; partitions that blocks are read in for their pairs, and most blocks of one beyond that.
+MOMENT_TASKS, SIDES, SIDE_BLOCKS = 32, 32, 8
 
 
-def unit_rows(values: pd.Series) -> np.ndarray:
+def unit_rows(rows: np.ndarray) -> np.ndarray:
     """Double-precision unit vectors."""
-    rows = np.array(values.tolist(), float)
+    rows = rows.astype(float)
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
-def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
+def unpacked(rows: bytes, kind: str, width: int) -> np.ndarray:
+    """Double-precision unit vectors of a block."""
+    return unit_rows(np.frombuffer(rows, kind).reshape(-1, width))
+
+
+def principal_axes(blocks: DataFrame, kind: str, width: int) -> np.ndarray:
     """Axes by falling variance, from the second moments of all unit vectors (width x width numbers a task)."""
 
     def moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((width, width))
         for frame in frames:
-            rows = unit_rows(frame["v"])
-            total += rows.T @ rows
+            for packed in frame["rows"]:
+                rows = unpacked(packed, kind, width)
+                total += rows.T @ rows
         yield pd.DataFrame({"at": np.arange(width * width), "m": total.ravel()})
 
-    sums = vectors.select("v").mapInPandas(moments, "at int, m double").groupBy("at").agg(F.sum("m").alias("m")).collect()
+    tasks = blocks.select("rows").coalesce(MOMENT_TASKS).mapInPandas(moments, "at int, m double")
+    sums = tasks.groupBy("at").agg(F.sum("m").alias("m")).collect()
     matrix = np.zeros(width * width)
     for row in sums:
         matrix[row["at"]] = row["m"]
@@ -42,26 +56,49 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     return axes[:, ::-1]
 
 
-def near_pairs(left: np.ndarray, right: np.ndarray, exact_left: np.ndarray, exact_right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def heads(rows: np.ndarray, to: int) -> np.ndarray:
+    """The leading dimensions and the norm of the rest: products of two heads bound those of their rows."""
+    return np.concatenate([rows[:, :to], np.sqrt((rows[:, to:] ** 2).sum(1, keepdims=True))], axis=1)
+
+
+def positions(flags: np.ndarray) -> np.ndarray:
+    """Where flat flags are set, eight at once: mostly none is."""
+    whole = len(flags) // 8 * 8
+    words = np.flatnonzero(flags[:whole].view(np.uint64))
+    at, bit = np.nonzero(flags[:whole].reshape(-1, 8)[words])
+    return np.concatenate([words[at] * 8 + bit, whole + np.flatnonzero(flags[whole:])])
+
+
+def steps(width: int) -> list[int]:
+    return [*(step for step in STEPS if step < width), width]
+
+
+def near_pairs(
+    left: np.ndarray, right: np.ndarray, exact_left: np.ndarray, exact_right: np.ndarray, threshold: float,
+    first: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of pairs with cosine >= threshold. left, right: single-precision rotated unit vectors.
 
     The product over the leading dimensions is bounded by the norms of the rest; pairs that cannot reach the
-    threshold stop, the others take the next dimensions; survivors are decided in double precision.
+    threshold stop, the others take the next dimensions; survivors are decided in double precision. first: both
+    sides' heads of the first step, if they are known.
     """
     width = left.shape[1]
-    at, total, dense = 0, np.zeros((len(left), len(right)), np.float32), True
-    for to in [*(step for step in STEPS if step < width), width]:
-        rest = np.sqrt((left[:, to:] ** 2).sum(1)), np.sqrt((right[:, to:] ** 2).sum(1))
+    at, dense = 0, True
+    for to in steps(width):
         if dense:
-            total += left[:, at:to] @ right[:, at:to].T
-            open_ = total + rest[0][:, None] * rest[1][None, :] >= threshold - SLACK
+            a, b = first if first and not at else (heads(left, to), heads(right, to))
+            bound = (a @ b.T).ravel()
+            open_ = bound >= threshold - SLACK
             dense = to < width and np.count_nonzero(open_) > open_.size // 20
             if not dense:
-                i, j = np.nonzero(open_)
-                total = total[i, j]
+                flat = positions(open_)
+                i, j = np.divmod(flat, len(right))
+                total = bound[flat] - a[i, to] * b[j, to]
         else:
             total = total + np.einsum("ij,ij->i", left[i, at:to], right[j, at:to])
-            open_ = total + rest[0][i] * rest[1][j] >= threshold - SLACK
+            a, b = left[i, to:], right[j, to:]
+            open_ = total + np.sqrt((a * a).sum(1) * (b * b).sum(1)) >= threshold - SLACK
             i, j, total = i[open_], j[open_], total[open_]
         at = to
     keep = np.zeros(len(i), bool)
@@ -71,57 +108,79 @@ def near_pairs(left: np.ndarray, right: np.ndarray, exact_left: np.ndarray, exac
     return i[keep], j[keep]
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Links of a spanning forest: at most one for every node."""
-    parent: dict[int, int] = {}
+def forest(part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of links (a, b) that unite parts, one fewer than parts that they unite.
+
+    part: the part of every node, named by one of its nodes; brought up to date. In each round every part takes one
+    link to another part, so the rounds are few, however many links there are.
+    """
+    kept: list[int] = []
+    rest = np.flatnonzero(part[a] != part[b])
+    while len(rest):
+        taken = np.full(len(part), -1)
+        taken[part[a[rest]]] = rest
+        taken[part[b[rest]]] = rest
+        taken = np.unique(taken[taken >= 0])
+        parent: dict[int, int] = {}
 
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
-        return x
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
 
-    kept = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            kept.append((x, y))
-    return kept
+        for at, x, y in zip(taken.tolist(), part[a[taken]].tolist(), part[b[taken]].tolist()):
+            p, q = root(x), root(y)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                kept.append(at)
+        now = np.arange(len(part))
+        for x in list(parent):
+            now[x] = root(x)
+        part[:] = now[part]
+        rest = rest[part[a[rest]] != part[b[rest]]]
+    return np.array(kept, int)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding).
 
     Null, empty or zero vectors, and those with null or non-finite components, link with nothing; so do vectors of
-    different lengths. Equal vectors are one node with a count, so copies cost nothing. Nodes are dealt into blocks of
-    about `block`; each pair of blocks is one row of work whose task reads two blocks and returns link counts and a
-    spanning forest, never its pairs. Rows without an id take part in no component but count as links.
+    different lengths. Equal vectors are one node with a count, so copies cost nothing. Nodes are packed into blocks of
+    `block` or more; a task compares pairs of blocks and returns link counts and a spanning forest, never its pairs. Blocks are stored once and read by the tasks of their pairs, so disk grows with the vectors, only
+    the work with their square. Rows without an id take part in no component but count as links.
     """
+    single = isinstance(vectors.select("embedding").schema[0].dataType.elementType, FloatType)
     doubles = F.col("embedding").cast("array<double>")
-    fine = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     norm = F.aggregate(doubles, F.lit(0.0), lambda s, x: s + x * x)
-    usable = F.coalesce(fine & (norm > 0) & (norm < float("inf")), F.lit(False))
-    source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(usable, doubles).alias("v"))
-    nodes = source.where("v is not null").groupBy("v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
-    nodes = nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", F.size("v"))
-    nodes = saved(nodes)
-    found = [
-        links_of_width(nodes.where(F.col("width") == row["width"]), row["width"], row["n"], threshold, block)
-        for row in nodes.groupBy("width").agg(F.count("*").alias("n")).collect()
-    ]
+    usable = F.coalesce((norm > 0) & (norm < float("inf")), F.lit(False))
+    name = F.struct(*(F.xxhash64(F.lit(k), "embedding" if single else doubles).alias(f"h{k}") for k in range(2)))
+    source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(usable, name).alias("name"))
+
+    def linked() -> tuple[DataFrame, ...]:
+        rows = vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), (F.col("embedding") if single else doubles).alias("v"))
+        nodes = rows.groupBy("v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
+        nodes = nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", F.size("v"))
+        nodes = saved(nodes)
+        found = [
+            links_of_width(nodes.where(F.col("width") == row["width"]), "<f4" if single else "<f8", row["width"], row["n"], threshold, block)
+            for row in nodes.groupBy("width").agg(F.count("*").alias("n")).collect()
+        ]
+        if not found:
+            return ()
+        names = F.struct(*(F.xxhash64(F.lit(k), "v").alias(f"h{k}") for k in range(2)))
+        return nodes.select(names.alias("name"), "node", "copies", "first"), reduce(DataFrame.unionByName, found)
+
+    found = released(linked)
     if not found:
         return source.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    links = found[0]
-    for other in found[1:]:
-        links = links.unionByName(other)
-    counts = links.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
-    groups = components(links.where("n is null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    placed = nodes.select("node", "v", "copies", "first").join(groups, "node", "left").join(counts, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
-    placed = saved(placed)
-    least = saved(placed.groupBy("component").agg(F.min("first").alias("component_id")))
-    known = placed.join(least, "component").select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    out = source.join(known, "v", "left")
+    nodes, links = found
+    forests = links.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    (groups,) = released(lambda: (components(forests),))
+    least = nodes.join(groups, "node").groupBy("component").agg(F.min("first").alias("least"))
+    groups = groups.join(least, "component").join(links.where("other is null").select("node", "n"), "node")
+    placed = nodes.join(saved(groups.select("node", "least", "n")), "node", "left")
+    known = placed.select("name", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "first").alias("component_id"))
+    out = source.join(known, "name", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id",
@@ -131,69 +190,127 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLO
     )
 
 
-def links_of_width(nodes: DataFrame, width: int, count: int, threshold: float, block: int) -> DataFrame:
-    """(node, n, null): links to n further rows; (node, null, other): links of a spanning forest.
+def packed_blocks(nodes: DataFrame, kind: str, width: int, count: int, size: int) -> DataFrame:
+    """(block, nodes, copies, rows): vectors in the order they are read in, as one packed row and one file a block."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def whole(least: int) -> Iterator[pa.RecordBatch]:
+            nodes, copies, rows = map(np.concatenate, zip(*held))
+            at = 0
+            while len(nodes) - at >= least:
+                own = slice(at, at := min(at + size, len(nodes)))
+                yield pa.RecordBatch.from_pydict({"nodes": [nodes[own].tobytes()], "copies": [copies[own].tobytes()], "rows": [rows[own].tobytes()]})
+            held[:] = [(nodes[at:], copies[at:], rows[at:])] if at < len(nodes) else []
+
+        for batch in batches:
+            values = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, width)
+            held.append((batch.column("node").to_numpy().astype("<i8"), batch.column("copies").to_numpy().astype("<i8"), values))
+            if sum(len(nodes) for nodes, _, _ in held) >= size:
+                yield from whole(size)
+        if held:
+            yield from whole(1)
+
+    tasks = nodes.select("node", "copies", "v").coalesce(-(-count // size))
+    blocks = tasks.mapInArrow(packed, "nodes binary, copies binary, rows binary")
+    return saved(blocks.withColumn("block", F.monotonically_increasing_id()), maxRecordsPerFile=1)
 
-    Blocks are hash ranges of the nodes. Block pairs are spread over the cluster; each block's rows go to every
-    pair it is in, as one packed row.
+
+def links_of_width(nodes: DataFrame, kind: str, width: int, count: int, threshold: float, block: int) -> DataFrame:
+    """(node, null, n): links to n further rows; (node, other, null): links of spanning forests.
+
+    The tasks of the pairs read the stored blocks of either side: no exchange, whatever the number of pairs. Of the two
+    tasks that read two blocks each has the pair or not by the blocks' parities, so all have about as many pairs.
     """
-    axes = principal_axes(nodes, width)
-    blocks = -(-count // block)
-    slot = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
+    size = max(block, min(-(-count // MANY), BLOCK_BYTES // (width * np.dtype(kind).itemsize)))
+    blocks = packed_blocks(nodes, kind, width, count, size)
+    axes = principal_axes(blocks, kind, width)
+    read = blocks.coalesce(max(SIDES, count // size // SIDE_BLOCKS))
+    x, y = (read.select(*(F.col(c).alias(f"{s}_{c}") for c in ("block", "nodes", "copies", "rows"))) for s in "xy")
+    same = F.col("x_block") == F.col("y_block")
+    here = (F.col("x_block") < F.col("y_block")) == ((F.col("x_block") + F.col("y_block")) % 2 == 0)
+    other = (F.when(~same, F.col(f"y_{c}")).alias(f"y_{c}") for c in ("nodes", "copies", "rows"))
+    work = x.join(y, same | here).select("x_block", "x_nodes", "x_copies", "x_rows", "y_block", *other)
+
+    def turned(rows: bytes) -> tuple[np.ndarray, ...]:
+        exact = unpacked(rows, kind, width)
+        rotated = (exact @ axes).astype(np.float32)
+        return exact, rotated, heads(rotated, steps(width)[0])
 
-    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        links = Links()
         for frame in frames:
-            rows = unit_rows(frame["v"])
-            for number, own in frame.groupby("block"):
-                at = own.index.to_numpy()
-                yield pd.DataFrame({
-                    "block": [number],
-                    "nodes": [own["node"].to_numpy("<i8").tobytes()],
-                    "copies": [own["copies"].to_numpy("<i8").tobytes()],
-                    "rows": [rows[at].astype("<f8").tobytes()],
-                })
-
-    chunks = nodes.select("node", "copies", "v", slot.alias("block")).repartition("block").mapInPandas(
-        packed, "block int, nodes binary, copies binary, rows binary"
-    )
-    whole = saved(chunks)
-    spread = whole.select("block", "nodes", "copies", "rows", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("to"))
-    work = spread.select(
-        F.least("block", "to").alias("x"), F.greatest("block", "to").alias("y"), "block", "nodes", "copies", "rows"
-    )
-    schema = "node long, n long, other long"
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        def side(number):
-            own = frame[frame["block"] == number]
-            nodes = np.frombuffer(b"".join(own["nodes"]), "<i8")
-            copies = np.frombuffer(b"".join(own["copies"]), "<i8")
-            rows = np.frombuffer(b"".join(own["rows"]), "<f8").reshape(len(nodes), -1)
-            return nodes, copies, rows, (rows @ axes).astype(np.float32)
-
-        x, y = frame["x"].iloc[0], frame["y"].iloc[0]
-        left = side(x)
-        right = left if x == y else side(y)
-        if not len(left[0]) or not len(right[0]):
-            return pd.DataFrame({"node": [], "n": [], "other": []}).astype("Int64")
-        found = [
-            (i + a, j + b)
-            for a in range(0, len(left[0]), TILE)
-            for b in range(a if x == y else 0, len(right[0]), TILE)
-            for i, j in [near_pairs(*(s[k][at : at + TILE] for k in (3, 2) for s, at in ((left, a), (right, b))), threshold)]
-        ]
-        i, j = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
-        if x == y:
-            upper = i < j
-            i, j = i[upper], j[upper]
-        out = []
-        sides = ((left, i, right[1][j]), (right, j, left[1][i]))
-        for (nodes, *_), at, copies in sides:
-            sums = np.bincount(at, weights=copies, minlength=len(nodes))
-            hit = np.flatnonzero(sums)
-            out.append(pd.DataFrame({"node": nodes[hit], "n": sums[hit].astype(np.int64), "other": None}))
-        kept = forest(left[0][i], right[0][j])
-        out.append(pd.DataFrame({"node": [a for a, _ in kept], "n": None, "other": [b for _, b in kept]}))
-        return pd.concat([part.astype("Int64") for part in out])
-
-    return saved(work.groupBy("x", "y").applyInPandas(compare, schema))
+            for row in frame.itertuples(index=False):
+                left, x = turned(row.x_rows), links.place(row.x_block, row.x_nodes, row.x_copies)
+                if row.y_rows is None:
+                    right, y = left, x
+                else:
+                    right, y = turned(row.y_rows), links.place(row.y_block, row.y_nodes, row.y_copies)
+                for i, j in pairs_of_blocks(left, right, threshold):
+                    links.add(i + x, j + y)
+        yield from links.frames()
+
+    return work.mapInPandas(compare, "node long, other long, n long").groupBy("node", "other").agg(F.sum("n").alias("n"))
+
+
+def pairs_of_blocks(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of two blocks (unit rows, rotated rows, heads), or of one with itself, tile by tile."""
+    same = left is right
+    for a in range(0, len(left[0]), TILE[0]):
+        for b in range(a // TILE[1] * TILE[1] if same else 0, len(right[0]), TILE[1]):
+            x, y = slice(a, a + TILE[0]), slice(b, b + TILE[1])
+            i, j = near_pairs(left[1][x], right[1][y], left[0][x], right[0][y], threshold, (left[2][x], right[2][y]))
+            i, j = i + a, j + b
+            if same:
+                upper = i < j
+                i, j = i[upper], j[upper]
+            if len(i):
+                yield i, j
+
+
+class Links:
+    """Link counts and a spanning forest of all pairs of a task: at most two rows a vector that it reads."""
+
+    def __init__(self) -> None:
+        self.starts: dict[int, int] = {}
+        self.nodes, self.copies, self.part = np.zeros((3, 0), np.int64)
+        self.sums = np.zeros(0)
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+        self.kept: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def place(self, block: int, nodes: bytes, copies: bytes) -> int:
+        """Number of the block's first vector in this task."""
+        if block not in self.starts:
+            start = self.starts[block] = len(self.nodes)
+            self.nodes = np.concatenate([self.nodes, np.frombuffer(nodes, "<i8")])
+            self.copies = np.concatenate([self.copies, np.frombuffer(copies, "<i8")])
+            self.part = np.concatenate([self.part, np.arange(start, len(self.nodes))])
+            self.sums = np.concatenate([self.sums, np.zeros(len(self.nodes) - start)])
+        return self.starts[block]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        self.held.append((i, j))
+        self.waiting += len(i)
+        if self.waiting > 1 << 18:
+            self.fold()
+
+    def fold(self) -> None:
+        i, j = map(np.concatenate, zip(*self.held))
+        self.sums += np.bincount(i, self.copies[j], len(self.sums)) + np.bincount(j, self.copies[i], len(self.sums))
+        at = forest(self.part, i, j)
+        self.kept.append((i[at], j[at]))
+        self.held.clear()
+        self.waiting = 0
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        """(node, null, n): links to n further rows; (node, other, null): links of the forest."""
+        if self.held:
+            self.fold()
+        if not self.kept:
+            return
+        hit = np.flatnonzero(self.sums)
+        i, j = map(np.concatenate, zip(*self.kept))
+        yield pd.DataFrame({"node": self.nodes[hit], "other": None, "n": self.sums[hit].astype(np.int64)}).astype("Int64")
+        yield pd.DataFrame({"node": self.nodes[i], "other": self.nodes[j], "n": None}).astype("Int64")

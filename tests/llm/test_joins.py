@@ -16,7 +16,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reelmetrics.llm import decontam, jaccard, licenses, linededup, vectors
+from reelmetrics.llm import common, decontam, jaccard, licenses, linededup, vectors
 from reelmetrics.llm.common import released, saved
 from reelmetrics.llm.components import components, linked_groups
 from reelmetrics.llm.queries import ORACLE, QUERIES
@@ -186,6 +186,74 @@ def test_vectors_of_empty_and_unusable_tables(spark):
     assert [tuple(r) for r in rows] == [(1, 0, 1, True)]
 
 
+def shuffled(spark) -> dict[str, int]:
+    """Bytes of every shuffle file that is on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = {}
+    while files.hasNext():
+        file = files.next()
+        if file.getName().startswith("shuffle_"):
+            found[file.getPath()] = file.length()
+    return found
+
+
+def test_shuffle_of_vectors_does_not_grow_with_the_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(2000, 64))
+    rows = np.concatenate([base, base[:60] + rng.normal(size=(60, 64)) * 0.1]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<float>")
+    before, seen, write = shuffled(spark), {}, common.saved
+
+    def watched(df, **options):
+        out = write(df, **options)
+        seen.update(shuffled(spark))
+        return out
+
+    for module in (common, vectors):
+        monkeypatch.setattr(module, "saved", watched)
+    found = {r["vec_id"]: r for r in vectors.near_duplicates(frame, 0.9, 130).collect()}
+    written = sum(size for path, size in (seen | shuffled(spark)).items() if path not in before)
+    assert written < 4 * rows.nbytes  # 16 blocks: a copy of every vector for each would be 16 and more
+    assert all((found[i]["n_links"], found[i]["component_id"]) == (int(i < 60 or i >= 2000), i - 2000 * (i >= 2000)) for i in range(2060))
+
+
+@pytest.mark.parametrize("element", ["float", "double", "int"])
+def test_equal_vectors_are_one_node_whatever_their_type(spark, element):
+    rows = [(9, [0, 3, 4]), (4, [0, 3, 4]), (None, [0, 3, 4]), (5, [4, -3, 0]), (2, [0, 30, 40]), (1, [3, 0, 0]), (7, [3, 0])]
+    if element != "int":
+        rows = [(key, [float(x) for x in v]) for key, v in rows] + [(3, [-0.0, 3.0, 4.0])]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<{element}>"), 0.9, 2).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=repr) == brute_vectors(rows, 0.9)
+
+
+def test_links_of_a_task_are_counts_and_a_forest():
+    """All pairs of a large group leave two rows a vector at most, whatever the tiles and the order of the blocks."""
+    rng = np.random.default_rng(8)
+    rows = np.concatenate([rng.normal(size=(1, 24)) + rng.normal(size=(700, 24)) * 0.02, rng.normal(size=(60, 24))])
+    exact = vectors.unit_rows(rows[rng.permutation(760)])
+    wanted = exact @ exact.T >= 0.9
+    np.fill_diagonal(wanted, False)
+    copies = rng.integers(1, 4, 760)
+    links, starts = vectors.Links(), [300, 0, 500]
+    for x in starts:
+        for y in starts:
+            if x <= y:
+                sides = []
+                for at in (x, y):
+                    own = slice(at, {0: 300, 300: 500, 500: 760}[at])
+                    rotated = exact[own].astype(np.float32)
+                    nodes = np.arange(760)[own]
+                    sides.append(((exact[own], rotated, vectors.heads(rotated, vectors.steps(24)[0])), links.place(at, nodes.tobytes(), copies[own].tobytes())))
+                (left, a), (right, b) = sides
+                for i, j in vectors.pairs_of_blocks(left, left if x == y else right, 0.9):
+                    links.add(i + a, j + b)
+    counts, kept = links.frames()
+    assert dict(zip(counts["node"], counts["n"])) == {i: n for i, n in enumerate((wanted * copies).sum(1)) if n}
+    groups = least_reachable(range(760), np.argwhere(wanted).tolist())
+    assert least_reachable(range(760), list(zip(kept["node"].astype(int), kept["other"].astype(int)))) == groups
+    assert len(kept) == 760 - len(set(groups.values() if isinstance(groups, dict) else groups))
+
+
 def test_early_stop_loses_no_pair():
     rng = np.random.default_rng(4)
     base = rng.normal(size=(300, 48))
